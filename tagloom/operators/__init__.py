@@ -2,10 +2,19 @@
 
 from .gaps import last_gap
 from .grouped import GroupTag, group_tag, group_tags
-from .ranking import latest_rows, longest_text, metric_mean, top_items, top_value
+from .ranking import (
+    best_value,
+    latest_rows,
+    longest_text,
+    metric_mean,
+    top_items,
+    top_value,
+    value_counts,
+)
 
 __all__ = [
     "GroupTag",
+    "best_value",
     "group_tag",
     "group_tags",
     "last_gap",
@@ -14,4 +23,5 @@ __all__ = [
     "metric_mean",
     "top_items",
     "top_value",
+    "value_counts",
 ]

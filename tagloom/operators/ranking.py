@@ -2,29 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def value_counts(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value, _n): how often each value occurs; a null value counts 0."""
+    return df.groupBy(key, value).agg(F.count(value).alias("_n"))
+
+
+def best_value(value: str, ascending: bool = False) -> Column:
+    """Aggregate over `value_counts`: the most (least) frequent value, as a struct.
+
+    Ties go to the smaller value, null last.
+    """
+    rank = F.col("_n") if ascending else -F.col("_n")
+    missing = F.col(value).isNull()
+    return F.min(
+        F.struct(rank.alias("rank"), missing.alias("missing"), F.col(value).alias("value"))
+    )
+
+
 def top_value(
     df: DataFrame, key: str, value: str, ascending: bool = False, count_as: str = "n"
 ) -> DataFrame:
     """Most (or least) frequent `value` of each `key`: (key, value, count).
 
-    A null value counts 0. Ties go to the smaller value, null last. The rows are
-    counted by (key, value) first, which spreads a hot key over its values, and
-    the best of the counts is again a map-side combinable aggregate.
+    The rows are counted by (key, value) first, which spreads a hot key over its
+    values, and the best of the counts is again a map-side combinable aggregate.
     """
-    counts = df.groupBy(key, value).agg(F.count(value).alias("_n"))
-    rank = F.col("_n") if ascending else -F.col("_n")
-    best = F.min(
-        F.struct(
-            rank.alias("rank"),
-            F.col(value).isNull().alias("missing"),
-            F.col(value).alias("value"),
-        )
+    best = value_counts(df, key, value).groupBy(key).agg(
+        best_value(value, ascending).alias("_best")
     )
-    return counts.groupBy(key).agg(best.alias("_best")).select(
+    return best.select(
         key,
         F.col("_best.value").alias(value),
         F.abs(F.col("_best.rank")).alias(count_as),
@@ -41,15 +53,22 @@ def latest_rows(df: DataFrame, key: str, stamp: str) -> DataFrame:
     return df.join(newest, [key, stamp], "left_semi")
 
 
-def longest_text(text: str) -> Column:
-    """Aggregate: the longest `text`, the first in order among equally long ones.
+def longest_text(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    """(keys, text): the longest `text` of each group, cut at its first comma.
 
-    Cut at the first comma; an all-null group gives an empty text.
+    Equally long texts are taken in order; a group without any gives an empty
+    text. Copies of a text are dropped by a hash aggregate first, so only
+    distinct texts are sorted and compared.
     """
     value = F.col(text)
     order = F.when(value.isNotNull(), F.struct(-F.length(value), value))
-    longest = F.min_by(value, order)
-    return F.coalesce(F.substring_index(longest, ",", 1), F.lit(""))
+    longest = F.substring_index(F.min_by(value, order), ",", 1)
+    return (
+        df.select(*keys, text)
+        .distinct()
+        .groupBy(*keys)
+        .agg(F.coalesce(longest, F.lit("")).alias(text))
+    )
 
 
 def top_items(df: DataFrame, user: str, item: str, rating: str, k: int) -> DataFrame:

@@ -124,7 +124,7 @@ SQL: dict[str, str] = {}
 
 # --- sources ---
 
-SQL["read_users"] = _with("SELECT * FROM users", USERS)
+SQL["read_users"] = _with("SELECT * REPLACE (CAST(id AS BIGINT) AS id) FROM users", USERS)
 SQL["read_orders"] = _with(
     """SELECT sn AS id, member AS "memberId", sn AS "orderSn", amount AS "orderAmount",
        status AS "orderStatus", finished AS "finishTime", payment AS "paymentCode"
@@ -142,7 +142,7 @@ SQL["read_logs"] = _with(
     LOGS,
 )
 SQL["read_renamed"] = "SELECT c_custkey AS id, c_mktsegment AS user_agent FROM customer"
-SQL["preview_users"] = _with("SELECT id, job FROM users ORDER BY id LIMIT 10", USERS)
+SQL["preview_users"] = _with("SELECT CAST(id AS BIGINT) AS id, job FROM users ORDER BY 1 LIMIT 10", USERS)
 
 # --- user attributes ---
 
@@ -343,7 +343,7 @@ WHERE r = 1""",
     GOODS,
 )
 SQL["purchased_product_list"] = f"""
-SELECT id, string_agg("purchaseName", ',' ORDER BY "purchaseName") AS "productPurchased"
+SELECT id, 0 AS part, string_agg("purchaseName", ',' ORDER BY "purchaseName") AS "productPurchased"
 FROM ({SQL["purchased_products"]}) p GROUP BY id"""
 SQL["latest_orders"] = _with(
     """SELECT CAST(uid AS VARCHAR) AS id, CAST(sn AS VARCHAR) AS "orderSn", finished AS "finishTime"

@@ -15,13 +15,14 @@ from ..tags import attribute, behaviour, consumption
 def merge_tags(parts: Sequence[DataFrame], key: str = "id") -> DataFrame:
     """One row per id with the columns of all `parts`, each of which has one row per id.
 
-    The parts are stacked and grouped once: one shuffle however many they are,
-    where outer joins would shuffle again and again.
+    The parts are stacked, moved to their id once and grouped there: one shuffle
+    and one sort however many they are, where outer joins would shuffle again and
+    again. An id has at most one row per part, so no id is hot.
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     tags = [c for c in stacked.columns if c != key]
     order = [c for c in PROFILE_TAGS if c in tags] + [c for c in tags if c not in PROFILE_TAGS]
-    return stacked.groupBy(key).agg(*[F.max(c).alias(c) for c in order])
+    return stacked.repartition(key).groupBy(key).agg(*[F.max(c).alias(c) for c in order])
 
 
 def first_by_name(products: DataFrame, name: str, key: str = "id") -> DataFrame:
@@ -40,15 +41,15 @@ def build_profile(
 ) -> DataFrame:
     """Every tag of every user; `extra` holds further parts, such as preferences.
 
-    Tags over the same rows share one pass: eight over the orders, four over the
-    page views and ten over the users.
+    Tags over the same rows share one pass: ten over the users, eight over the
+    orders, three over the URLs and two over the times and agents of page views.
     """
     parts = [
         attribute.user_attributes(users),
         behaviour.last_login(users, max_id=max_id),
-        behaviour.log_tags(logs, max_id),
+        behaviour.page_tags(logs, max_id),
+        behaviour.activity_tags(logs, max_id),
         behaviour.browse_time(logs, max_id=max_id),
-        behaviour.url_browse(logs, max_id=max_id),
         first_by_name(behaviour.last_browsed_product(logs, goods, max_id=max_id), "productName"),
         first_by_name(behaviour.purchased_products(orders, goods, max_id), "purchaseName"),
         consumption.order_tags(orders, max_id),

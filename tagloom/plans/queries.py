@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import last_path_segment, product_id_from_url
 from ..models import als, ratings, rfm
 from ..operators import metric_mean, top_items
+from ..session import configure
 from ..sources import profiles, sample, shared_folder
 from ..tags import attribute, behaviour, consumption
 from ..tags import dictionaries as d
@@ -22,12 +23,11 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(name: str):
-    """Register a query; sample times carry no zone, so the session reads them as UTC."""
+    """Register a query; it runs with the settings the library counts on."""
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
+            return fn(configure(spark), sf_dir)
 
         QUERIES[name] = run
         return fn

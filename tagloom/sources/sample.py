@@ -106,7 +106,7 @@ def users(spark: SparkSession, sf_dir: str, last_login: bool = False) -> DataFra
     raw = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
     key = F.col("c_custkey")
     base = raw.select(
-        key.cast("string").alias("id"),
+        key.alias("id"),
         F.date_add(F.lit("1945-01-01").cast("date"), ((key * 37) % 30000).cast("int"))
         .cast("string")
         .alias("birthday"),
@@ -129,7 +129,7 @@ def users(spark: SparkSession, sf_dir: str, last_login: bool = False) -> DataFra
     if not last_login:
         return base
     seen = table(spark, sf_dir, "events", "user_id", "ts")
-    newest = seen.groupBy(F.col("user_id").cast("string").alias("id")).agg(
+    newest = seen.groupBy(F.col("user_id").alias("id")).agg(
         F.max(F.unix_timestamp("ts")).alias("lastLoginTime")
     )
     return base.join(newest, "id", "left")

@@ -21,6 +21,10 @@ CODE_TAGS = {
 COPIED_TAGS = ("email", "mobile", "username")
 
 
+def _id() -> Column:
+    return F.col("id").cast("string").alias("id")
+
+
 def coded_tag(
     users: DataFrame, tag: str, labels: Mapping | None = None, default: str | None = None
 ) -> DataFrame:
@@ -29,12 +33,12 @@ def coded_tag(
     label = code_label(
         F.col(tag), known if labels is None else labels, other if default is None else default
     )
-    return users.select("id", label.alias(tag))
+    return users.select(_id(), label.alias(tag))
 
 
 def passthrough(users: DataFrame, tag: str) -> DataFrame:
     """Column `tag` as it is."""
-    return users.select("id", tag)
+    return users.select(_id(), tag)
 
 
 def _decade(users: DataFrame, birthday: str) -> Column:
@@ -50,14 +54,14 @@ def _sign(users: DataFrame, birthday: str, null_label: str | None) -> Column:
 
 def age_band(users: DataFrame, birthday: str = "birthday") -> DataFrame:
     """Decade of birth."""
-    return users.select("id", _decade(users, birthday).alias("age"))
+    return users.select(_id(), _decade(users, birthday).alias("age"))
 
 
 def constellation(
     users: DataFrame, birthday: str = "birthday", null_label: str | None = None
 ) -> DataFrame:
     """Star sign; a missing or bad birthday counts as the last sign unless `null_label`."""
-    return users.select("id", _sign(users, birthday, null_label).alias("constellation"))
+    return users.select(_id(), _sign(users, birthday, null_label).alias("constellation"))
 
 
 def mobile_region(
@@ -81,7 +85,7 @@ def mobile_regions(
     keyed = users.withColumn("prefix", F.substring("mobile", 1, digits))
     joined = keyed.join(regions, "prefix", "left")
     return joined.select(
-        "id",
+        _id(),
         *[
             F.coalesce(F.nullif(F.col(f"_{tag}"), F.lit("")), F.lit(d.UNKNOWN)).alias(tag)
             for tag in parts
@@ -92,7 +96,7 @@ def mobile_regions(
 def user_attributes(users: DataFrame) -> DataFrame:
     """Every tag of this module that needs nothing but the user row, in one projection."""
     return users.select(
-        "id",
+        _id(),
         *[
             code_label(F.col(tag), labels, other).alias(tag)
             for tag, (labels, other) in CODE_TAGS.items()

@@ -21,12 +21,14 @@ from ..functions import (
 )
 from ..operators import (
     GroupTag,
+    best_value,
     group_tag,
     group_tags,
     last_gap,
     latest_rows,
     longest_text,
     top_value,
+    value_counts,
 )
 from . import dictionaries as d
 
@@ -65,13 +67,18 @@ def frequency_tag(
     patterns: Sequence[str],
     bands: Sequence[tuple[float, str]],
     rare: str,
+    views: str | None = None,
 ) -> GroupTag:
-    """Number of views of pages that match `patterns`; users without one have no tag."""
+    """Number of views of pages that match `patterns`; users without one have no tag.
+
+    A row is one view, or as many as its column `views` says.
+    """
     hit = any_like(F.col("loc_url"), patterns)
     hits = f"_{name}"
+    count = F.count_if(hit) if views is None else F.sum(F.when(hit, F.col(views)))
     return GroupTag(
         name,
-        {hits: F.count_if(hit)},
+        {hits: count},
         band(F.col(hits), bands, rare),
         present=F.col(hits) > 0,
         rows=hit,
@@ -79,14 +86,16 @@ def frequency_tag(
     )
 
 
-def browse_frequency_tag(bands=None) -> GroupTag:
+def browse_frequency_tag(bands=None, views=None) -> GroupTag:
     return frequency_tag(
-        "browseFrequency", BROWSE_PATTERNS, bands or d.BROWSE_BANDS, d.BROWSE_RARE
+        "browseFrequency", BROWSE_PATTERNS, bands or d.BROWSE_BANDS, d.BROWSE_RARE, views
     )
 
 
-def login_frequency_tag(bands=None) -> GroupTag:
-    return frequency_tag("loginFrequency", LOGIN_PATTERNS, bands or d.LOGIN_BANDS, d.LOGIN_RARE)
+def login_frequency_tag(bands=None, views=None) -> GroupTag:
+    return frequency_tag(
+        "loginFrequency", LOGIN_PATTERNS, bands or d.LOGIN_BANDS, d.LOGIN_RARE, views
+    )
 
 
 def browse_period_tag() -> GroupTag:
@@ -172,6 +181,28 @@ def log_tags(logs: DataFrame, max_id: int | None = 950) -> DataFrame:
     return group_tags(rows, "id", tags)
 
 
+def page_tags(logs: DataFrame, max_id: int | None = 950) -> DataFrame:
+    """Browse frequency, login frequency and least viewed URL in one pass over the URLs.
+
+    Views are counted by user and URL, as the URL tag needs anyway, and all three
+    tags are read off the counts.
+    """
+    pages = value_counts(_views(logs, max_id, "loc_url"), "id", "loc_url")
+    url = GroupTag(
+        "urlBrowse",
+        {"_best": best_value("loc_url", ascending=True)},
+        F.col("_best.value"),
+    )
+    tags = [browse_frequency_tag(views="_n"), login_frequency_tag(views="_n"), url]
+    return group_tags(pages, "id", tags)
+
+
+def activity_tags(logs: DataFrame, max_id: int | None = 950) -> DataFrame:
+    """Browse period and device in one pass over the times and agents."""
+    rows = _views(logs, max_id, _hour(logs).alias("_hour"), _device().alias("_device"))
+    return group_tags(rows, "id", [browse_period_tag(), device_tag()])
+
+
 def page_type_counts(logs: DataFrame) -> DataFrame:
     """Views by page type of every user, zeros included; views without a user group as null."""
     return (
@@ -248,7 +279,7 @@ def url_browse(
 def product_names(goods: DataFrame) -> DataFrame:
     """Longest name of every product: (productId, productName), one row per product."""
     named = goods.select(F.col("productId").cast("string").alias("productId"), "productName")
-    return named.groupBy("productId").agg(longest_text("productName").alias("productName"))
+    return longest_text(named, ["productId"], "productName")
 
 
 def last_browsed_product(
@@ -288,27 +319,34 @@ def purchased_products(
 ) -> DataFrame:
     """Products a user ordered, each with its longest name: (id, productId, purchaseName)."""
     lines = _ordered_lines(orders, goods, max_id)
-    return lines.groupBy("id", "productId").agg(
-        longest_text("productName").alias("purchaseName")
-    ).select(F.col("id").cast("string").alias("id"), "productId", "purchaseName")
+    return longest_text(lines, ["id", "productId"], "productName").select(
+        F.col("id").cast("string").alias("id"),
+        "productId",
+        F.col("productName").alias("purchaseName"),
+    )
 
 
 def purchased_product_list(
-    orders: DataFrame, goods: DataFrame, max_id: int | None = 950, parts: int = 1
+    orders: DataFrame,
+    goods: DataFrame,
+    max_id: int | None = 950,
+    names_per_row: int = 100_000,
 ) -> DataFrame:
-    """Names of a user's products in one comma-joined text: (id, productPurchased).
+    """Names of a user's products in a comma-joined text: (id, part, productPurchased).
 
-    A user has one name per distinct product, so a text is bounded by the
-    catalogue and not by the orders. With more than one of `parts` the products
-    of a user are dealt out by product over that many rows: (id, part, ...).
+    A user has one name per distinct product. While the catalogue has no more
+    products than `names_per_row`, every user has one row, of part 0; a larger
+    catalogue is dealt out by product over as many parts as it takes, so that no
+    row grows with the data. The size of the catalogue is a scalar subquery.
     """
     products = purchased_products(orders, goods, max_id)
-    keys = ["id"]
-    if parts > 1:
-        products = products.withColumn("part", F.pmod(F.hash("productId"), F.lit(parts)))
-        keys.append("part")
+    catalogue = goods.agg(F.approx_count_distinct("productId")).scalar()
+    parts = F.greatest(F.ceil(catalogue / names_per_row), F.lit(1))
+    part = F.pmod(F.xxhash64("productId"), parts).cast("int")
     names = F.array_sort(F.collect_list("purchaseName"))
-    return products.groupBy(*keys).agg(F.concat_ws(",", names).alias("productPurchased"))
+    return products.groupBy("id", part.alias("part")).agg(
+        F.concat_ws(",", names).alias("productPurchased")
+    )
 
 
 def latest_orders(orders: DataFrame, max_id: int | None = 950) -> DataFrame:
