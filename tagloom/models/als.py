@@ -24,7 +24,9 @@ def fit_als(
 
     The ratings are written once to the shared checkpoint folder, so that a lost
     executor does not send the iterations back to the logs. `blocks` is the
-    number of user and item blocks; by default as many as the session's tasks.
+    number of user and item blocks, by default as many as the session runs tasks
+    at a time. Every pair of blocks exchanges factors, so the default stays under
+    a thousand.
     """
     rows = ratings.select("userId", item, F.col("rating").cast("float").alias("rating"))
     rows = rows.dropna()
@@ -43,7 +45,7 @@ def fit_als(
         seed=seed,
     ).setPredictionCol("predict")
     parallel = rows.sparkSession.sparkContext.defaultParallelism
-    return als.setNumBlocks(blocks or max(10, parallel)).fit(rows)
+    return als.setNumBlocks(blocks or min(1000, max(10, parallel))).fit(rows)
 
 
 def save_model(model: ALSModel, path: str) -> None:
