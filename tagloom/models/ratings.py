@@ -103,15 +103,24 @@ def category_rating_rows(
     )
 
 
-def split_ratings(
-    ratings: DataFrame, item: str, share: float = 0.8, seed: int = 0, user: str = "userId"
-) -> tuple[DataFrame, DataFrame]:
-    """Training and test part of `ratings`.
+def in_training(item: str, share: float = 0.8, seed: int = 0, user: str = "userId") -> Column:
+    """True for the `share` of ratings that belong to the training part.
 
     A rating's side depends only on its user, its item and `seed`, so the parts
     never overlap, whatever is recomputed and however the rows are partitioned.
     """
     text = F.concat_ws(",", F.col(user).cast("string"), F.col(item).cast("string"), F.lit(str(seed)))
     slot = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint") % 1000
-    train = slot < round(share * 1000)
+    return slot < round(share * 1000)
+
+
+def split_ratings(
+    ratings: DataFrame, item: str, share: float = 0.8, seed: int = 0
+) -> tuple[DataFrame, DataFrame]:
+    """Training and test part of `ratings`.
+
+    The two parts are read separately: pass ratings that are stored or
+    checkpointed, or each part computes them again.
+    """
+    train = in_training(item, share, seed)
     return ratings.where(train), ratings.where(~train)

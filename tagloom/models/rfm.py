@@ -67,7 +67,7 @@ def fit_segments(
     the result independent of how the members are partitioned.
     """
     points = scores.groupBy(*SCORES).agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    ordered = _features(points).coalesce(1).sortWithinPartitions(*SCORES)
+    ordered = _features(points).repartition(1).sortWithinPartitions(*SCORES)
     return KMeans(
         k=k,
         seed=seed,

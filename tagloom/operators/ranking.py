@@ -57,18 +57,12 @@ def longest_text(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     """(keys, text): the longest `text` of each group, cut at its first comma.
 
     Equally long texts are taken in order; a group without any gives an empty
-    text. Copies of a text are dropped by a hash aggregate first, so only
-    distinct texts are sorted and compared.
+    text. Every task sends at most one row per group.
     """
     value = F.col(text)
     order = F.when(value.isNotNull(), F.struct(-F.length(value), value))
     longest = F.substring_index(F.min_by(value, order), ",", 1)
-    return (
-        df.select(*keys, text)
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.coalesce(longest, F.lit("")).alias(text))
-    )
+    return df.groupBy(*keys).agg(F.coalesce(longest, F.lit("")).alias(text))
 
 
 def top_items(df: DataFrame, user: str, item: str, rating: str, k: int) -> DataFrame:

@@ -358,7 +358,8 @@ WHERE finished = newest""",
 
 def _order_tag(tag: str, measure: str, pairs, other: str, where: str = "TRUE", scale: int | None = None,
                known: str = "uid <= 950") -> str:
-    metric = "m" if scale is None else f"round(m, {scale})"
+    value = "m + 1e-9" if measure.startswith("avg") else "m"
+    metric = "m" if scale is None else f"round({value}, {scale})"
     return _with(
         f"""SELECT CAST(uid AS VARCHAR) AS id, {_cuts('m', pairs, other)} AS "{tag}", {metric} AS metric
 FROM (SELECT uid, {measure} AS m FROM shop_orders WHERE {known} AND {where} GROUP BY uid) x""",
@@ -402,7 +403,7 @@ SQL["order_value"] = _order_tag(
     [(5000, "5000-9999"), (3000, "3000-4999"), (1000, "1000-2999")],
     "1-999",
     _DONE,
-    6,
+    4,
 )
 SQL["order_value_scaled"] = _order_tag(
     "monovalent",
@@ -410,7 +411,7 @@ SQL["order_value_scaled"] = _order_tag(
     [(300000, "5000-9999"), (250000, "3000-4999"), (200000, "1000-2999")],
     "1-999",
     _DONE,
-    6,
+    4,
 )
 _WHOLE = "max(CAST(trunc(amount) AS INTEGER))"
 SQL["max_amount"] = _order_tag(

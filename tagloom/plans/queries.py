@@ -12,7 +12,7 @@ from ..functions import last_path_segment, product_id_from_url
 from ..models import als, ratings, rfm
 from ..operators import metric_mean, top_items
 from ..session import configure
-from ..sources import profiles, sample, shared_folder
+from ..sources import checkpointed, profiles, sample, shared_folder
 from ..tags import attribute, behaviour, consumption
 from ..tags import dictionaries as d
 from . import variants as v
@@ -39,8 +39,15 @@ def _over(name: str, source: Callable, fn: Callable[[DataFrame], DataFrame]) ->
     query(name)(lambda spark, sf_dir: fn(source(spark, sf_dir)))
 
 
-def _rounded(df: DataFrame, column: str = "metric", scale: int = 6) -> DataFrame:
-    return df.withColumn(column, F.round(column, scale))
+def _rounded(
+    df: DataFrame, column: str = "metric", scale: int = 6, shift: float = 0.0
+) -> DataFrame:
+    """`column` rounded for comparison with SQL.
+
+    A mean of amounts may lie half-way between two rounded values, where the order
+    of the sum would decide; `shift` moves it clear of them.
+    """
+    return df.withColumn(column, F.round(F.col(column) + shift if shift else column, scale))
 
 
 def _scratch(spark: SparkSession) -> str:
@@ -188,23 +195,23 @@ _over(
     sample.orders,
     lambda t: consumption.order_frequency(t, v.ORDER_COUNT, with_metric=True),
 )
-for _name, _measure, _bands, _scale in (
-    ("consumption_power", "sum", v.POWER, 2),
-    ("order_value", "avg", v.ORDER_VALUE, 6),
-    ("max_amount", "max", v.MAX_AMOUNT, 0),
+for _name, _measure, _bands, _scale, _shift in (
+    ("consumption_power", "sum", v.POWER, 2, 0.0),
+    ("order_value", "avg", v.ORDER_VALUE, 4, 1e-9),
+    ("max_amount", "max", v.MAX_AMOUNT, 0, 0.0),
 ):
     _over(
         _name,
         sample.orders,
-        lambda t, m=_measure, s=_scale: _rounded(
-            consumption.order_amount_band(t, m, with_metric=True), scale=s
+        lambda t, m=_measure, s=_scale, h=_shift: _rounded(
+            consumption.order_amount_band(t, m, with_metric=True), scale=s, shift=h
         ),
     )
     _over(
         f"{_name}_scaled",
         sample.orders,
-        lambda t, m=_measure, b=_bands, s=_scale: _rounded(
-            consumption.order_amount_band(t, m, b, with_metric=True), scale=s
+        lambda t, m=_measure, b=_bands, s=_scale, h=_shift: _rounded(
+            consumption.order_amount_band(t, m, b, with_metric=True), scale=s, shift=h
         ),
     )
 _over(
@@ -313,10 +320,8 @@ _rating_query(
 @query("split_ratings")
 def _split(spark, sf_dir):
     rows = ratings.product_ratings(sample.logs(spark, sf_dir))
-    train, test = ratings.split_ratings(rows, "productId")
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
-    )
+    part = F.when(ratings.in_training("productId"), "train").otherwise("test")
+    return rows.withColumn("part", part)
 
 
 def _top_brands(goods, logs, k):
@@ -359,9 +364,9 @@ def _product_list(spark, sf_dir):
 
 @query("als_rmse")
 def _als_rmse(spark, sf_dir):
-    rows = ratings.product_ratings(sample.logs(spark, sf_dir))
+    rows = checkpointed(ratings.product_ratings(sample.logs(spark, sf_dir)))
     train, test = ratings.split_ratings(rows, "productId")
-    return als.als_rmse(als.fit_als(train, "productId"), test)
+    return als.als_rmse(als.fit_als(train, "productId", checkpoint=False), test)
 
 
 @query("als_favor_products")

@@ -277,9 +277,13 @@ def url_browse(
 
 
 def product_names(goods: DataFrame) -> DataFrame:
-    """Longest name of every product: (productId, productName), one row per product."""
+    """Longest name of every product: (productId, productName), one row per product.
+
+    Order lines repeat the few names of a product; a hash aggregate drops the
+    copies before names are compared.
+    """
     named = goods.select(F.col("productId").cast("string").alias("productId"), "productName")
-    return longest_text(named, ["productId"], "productName")
+    return longest_text(named.distinct(), ["productId"], "productName")
 
 
 def last_browsed_product(
