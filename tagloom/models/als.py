@@ -123,8 +123,9 @@ def favor_types(recs: DataFrame, k: int = 10) -> DataFrame:
 
 
 def favor_products(recs: DataFrame) -> DataFrame:
-    """(id, favorProducts): recommended product ids."""
-    return recs_to_csv(recs, "productId", "favorProducts")
+    """(id, favorProducts): recommended product ids; the id is text, as in the profile."""
+    lists = recs_to_csv(recs, "productId", "favorProducts")
+    return lists.select(F.col("id").cast("string").alias("id"), "favorProducts")
 
 
 def label_histogram(df: DataFrame, column: str) -> DataFrame:

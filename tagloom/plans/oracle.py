@@ -24,7 +24,7 @@ users AS (
 
 LOGINS = """
 logins AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS id, c_custkey, seen
+  SELECT CAST(c_custkey AS VARCHAR) AS id, seen
   FROM customer
   LEFT JOIN (SELECT user_id, max(CAST(floor(epoch(ts)) AS BIGINT)) AS seen
              FROM events GROUP BY user_id) e ON e.user_id = c_custkey)"""
@@ -120,6 +120,11 @@ def _wide(parts: dict[str, str]) -> str:
     return f"SELECT k.id, {columns} FROM ({ids}) k {joins}"
 
 
+def _known(sql: str) -> str:
+    """The rows of known users."""
+    return f"SELECT * FROM ({sql}) q WHERE CAST(id AS BIGINT) <= 950"
+
+
 SQL: dict[str, str] = {}
 
 # --- sources ---
@@ -205,7 +210,7 @@ _BROWSE = (
 def _frequency(tag: str, hit: str, pairs, other: str) -> str:
     return _with(
         f"""SELECT CAST(uid AS VARCHAR) AS id, {_cuts('n', pairs, other)} AS "{tag}", n AS metric
-FROM (SELECT uid, count(*) AS n FROM logs WHERE uid <= 950 AND {hit} GROUP BY uid) c""",
+FROM (SELECT uid, count(*) AS n FROM logs WHERE {hit} GROUP BY uid) c""",
         LOGS,
     )
 
@@ -246,7 +251,7 @@ FROM (SELECT uid,
              count(*) FILTER (hour(stamp) BETWEEN 13 AND 17) AS c,
              count(*) FILTER (hour(stamp) BETWEEN 18 AND 21) AS d,
              count(*) FILTER (hour(stamp) BETWEEN 22 AND 24) AS e
-      FROM logs WHERE uid <= 950 GROUP BY uid) h""",
+      FROM logs GROUP BY uid) h""",
     LOGS,
 )
 
@@ -257,7 +262,7 @@ def _gap(pairs) -> str:
        {_cuts('gap', pairs, '1分钟内', '>')} AS "browseTime", gap AS metric
 FROM (SELECT l.uid, CAST(epoch(m.stamp) - epoch(max(l.stamp)) AS BIGINT) AS gap
       FROM logs l JOIN (SELECT uid, max(stamp) AS stamp FROM logs GROUP BY uid) m ON m.uid = l.uid
-      WHERE l.uid <= 950 AND l.stamp < m.stamp AND CAST(l.stamp AS DATE) = CAST(m.stamp AS DATE)
+      WHERE l.stamp < m.stamp AND CAST(l.stamp AS DATE) = CAST(m.stamp AS DATE)
       GROUP BY l.uid, m.stamp) g""",
         LOGS,
     )
@@ -274,7 +279,7 @@ FROM (SELECT uid, device, n, row_number() OVER (PARTITION BY uid ORDER BY n DESC
                               WHEN agent LIKE '%Linux%' THEN 'Linux'
                               WHEN agent LIKE '%iPhone%' OR agent LIKE '%iPad%' THEN 'IOS'
                               WHEN agent LIKE '%Mac%' THEN 'Mac' END AS device
-                  FROM logs WHERE uid <= 950) a
+                  FROM logs) a
             WHERE device IS NOT NULL GROUP BY uid, device) c) x
 WHERE r = 1""",
     LOGS,
@@ -286,7 +291,7 @@ def _urls(direction: str) -> str:
         f"""SELECT CAST(uid AS VARCHAR) AS id, loc_url AS "urlBrowse", n AS metric
 FROM (SELECT uid, loc_url, n,
              row_number() OVER (PARTITION BY uid ORDER BY n {direction}, loc_url NULLS LAST) AS r
-      FROM (SELECT uid, loc_url, count(loc_url) AS n FROM logs WHERE uid <= 950
+      FROM (SELECT uid, loc_url, count(loc_url) AS n FROM logs
             GROUP BY uid, loc_url) c) x
 WHERE r = 1""",
         LOGS,
@@ -301,8 +306,7 @@ def _logins(unit: int) -> str:
     return _with(
         f"""SELECT id, CASE WHEN age > 14 * {unit} THEN '30天内' WHEN age > 7 * {unit} THEN '14天内'
        WHEN age > {unit} THEN '7天内' ELSE '1天内' END AS "lastLogin", age AS metric
-FROM (SELECT id, c_custkey, abs(seen - (SELECT max(seen) FROM logins)) AS age FROM logins) a
-WHERE c_custkey <= 950""",
+FROM (SELECT id, abs(seen - (SELECT max(seen) FROM logins)) AS age FROM logins) a""",
         LOGINS,
     )
 
@@ -322,7 +326,7 @@ FROM (SELECT uid, stamp, max(stamp) OVER (PARTITION BY uid) AS newest,
 JOIN (SELECT pid, split_part(name, ',', 1) AS name,
              row_number() OVER (PARTITION BY pid ORDER BY length(name) DESC, name) AS r
       FROM goods) n ON n.pid = v.pid AND n.r = 1
-WHERE v.stamp = v.newest AND v.uid <= 950""",
+WHERE v.stamp = v.newest""",
         LOGS,
         GOODS,
     )
@@ -337,7 +341,7 @@ SQL["purchased_products"] = _with(
     """SELECT CAST(uid AS VARCHAR) AS id, pid AS "productId", split_part(name, ',', 1) AS "purchaseName"
 FROM (SELECT o.uid, g.pid, g.name,
              row_number() OVER (PARTITION BY o.uid, g.pid ORDER BY length(g.name) DESC, g.name) AS r
-      FROM shop_orders o JOIN goods g ON g.sn = o.sn WHERE o.uid <= 950) x
+      FROM shop_orders o JOIN goods g ON g.sn = o.sn) x
 WHERE r = 1""",
     ORDERS,
     GOODS,
@@ -348,7 +352,7 @@ FROM ({SQL["purchased_products"]}) p GROUP BY id"""
 SQL["latest_orders"] = _with(
     """SELECT CAST(uid AS VARCHAR) AS id, CAST(sn AS VARCHAR) AS "orderSn", finished AS "finishTime"
 FROM (SELECT uid, sn, finished, max(finished) OVER (PARTITION BY uid) AS newest
-      FROM shop_orders WHERE uid <= 950) x
+      FROM shop_orders) x
 WHERE finished = newest""",
     ORDERS,
 )
@@ -356,13 +360,12 @@ WHERE finished = newest""",
 # --- consumption ---
 
 
-def _order_tag(tag: str, measure: str, pairs, other: str, where: str = "TRUE", scale: int | None = None,
-               known: str = "uid <= 950") -> str:
+def _order_tag(tag: str, measure: str, pairs, other: str, where: str = "TRUE", scale: int | None = None) -> str:
     value = "m + 1e-9" if measure.startswith("avg") else "m"
     metric = "m" if scale is None else f"round({value}, {scale})"
     return _with(
         f"""SELECT CAST(uid AS VARCHAR) AS id, {_cuts('m', pairs, other)} AS "{tag}", {metric} AS metric
-FROM (SELECT uid, {measure} AS m FROM shop_orders WHERE {known} AND {where} GROUP BY uid) x""",
+FROM (SELECT uid, {measure} AS m FROM shop_orders WHERE {where} GROUP BY uid) x""",
         ORDERS,
     )
 
@@ -472,7 +475,7 @@ _PAYMENT = """CASE payment WHEN 'alipay' THEN '支付宝' WHEN 'wxpay' THEN '微
 SQL["payment_mode"] = _with(
     f"""SELECT CAST(uid AS VARCHAR) AS id, {_PAYMENT}
 FROM (SELECT uid, payment, n, row_number() OVER (PARTITION BY uid ORDER BY n DESC, payment) AS r
-      FROM (SELECT uid, payment, count(*) AS n FROM shop_orders WHERE uid <= 950
+      FROM (SELECT uid, payment, count(*) AS n FROM shop_orders
             GROUP BY uid, payment) c) x
 WHERE r = 1""",
     ORDERS,
@@ -481,7 +484,7 @@ SQL["payment_mode_by_member"] = _with(
     f"""SELECT CAST(member AS VARCHAR) AS "memberId", CAST(member % 1000 AS VARCHAR) AS id, {_PAYMENT}
 FROM (SELECT member, payment, n, row_number() OVER (PARTITION BY member ORDER BY n DESC, payment) AS r
       FROM (SELECT member, payment, count(*) AS n FROM shop_orders GROUP BY member, payment) c) x
-WHERE r = 1 AND member % 1000 <= 950""",
+WHERE r = 1""",
     ORDERS,
 )
 
@@ -504,7 +507,10 @@ _ORDER_TAGS = {
     "consultationFrequency": SQL["consultation_frequency"],
 }
 SQL["log_tags"] = _wide(_LOG_TAGS)
+SQL["log_tags_known"] = _known(SQL["log_tags"])
 SQL["order_tags"] = _wide(_ORDER_TAGS)
+SQL["order_tags_known"] = _known(SQL["order_tags"])
+SQL["last_login_known"] = _known(SQL["last_login"])
 
 # --- ratings ---
 
@@ -603,7 +609,10 @@ SQL["brand_histogram"] = f"""SELECT "favorBrand", count(*) AS count
 FROM ({_list("brand_ratings", "brandId", 1, "favorBrand")}) l GROUP BY "favorBrand\""""
 SQL["type_slots"] = _slots("category_ratings", "productType", 10, "favorType", _TYPE)
 SQL["type_slots_from_list"] = _slots("category_ratings", "productType", 10, "favorType", None)
-SQL["product_list"] = _list("product_ratings", "productId", 10, "favorProducts")
+SQL["product_list"] = f"""SELECT CAST(id AS VARCHAR) AS id, "favorProducts"
+FROM ({_list("product_ratings", "productId", 10, "favorProducts")}) l"""
+SQL["preferences"] = f"""SELECT * FROM ({SQL["brand_slots"]}) b
+FULL JOIN ({SQL["type_slots"]}) t USING (id) FULL JOIN ({SQL["product_list"]}) p USING (id)"""
 
 # --- recency, frequency and money ---
 
@@ -642,41 +651,35 @@ FROM ({SQL["rfm"]}) x"""
 
 # --- the profile ---
 
-SQL["profile"] = _wide(
-    {
-        **{tag: SQL[f"attr_{tag}"] for tag in _CODES},
-        "nativePlace": SQL["attr_nativePlace"],
-        "nativeProvince": SQL["attr_nativeProvince"],
-        **_LOG_TAGS,
-        "browseTime": SQL["browse_time"],
-        "lastLogin": SQL["last_login"],
-        "productName": SQL["last_browsed_product_first"],
-        "purchaseName": f"""SELECT id, min("purchaseName") AS "purchaseName"
-                            FROM ({SQL["purchased_products"]}) p GROUP BY id""",
-        "urlBrowse": SQL["url_browse"],
-        **_ORDER_TAGS,
-        "paymentMode": SQL["payment_mode"],
-    }
-)
-_POWER_ALL = _order_tag("consumptionPower", "sum(amount)", _POWER, "很低", _DONE, 2, known="TRUE")
+_USER_TAGS = {
+    **{tag: SQL[f"attr_{tag}"] for tag in _CODES},
+    "nativePlace": SQL["attr_nativePlace"],
+    "nativeProvince": SQL["attr_nativeProvince"],
+}
+_TAGS = {
+    **_LOG_TAGS,
+    "browseTime": SQL["browse_time"],
+    "lastLogin": SQL["last_login"],
+    "productName": SQL["last_browsed_product_first"],
+    "purchaseName": f"""SELECT id, min("purchaseName") AS "purchaseName"
+                        FROM ({SQL["purchased_products"]}) p GROUP BY id""",
+    "urlBrowse": SQL["url_browse"],
+    **_ORDER_TAGS,
+    "paymentMode": SQL["payment_mode"],
+}
+SQL["profile"] = _wide({**_USER_TAGS, **_TAGS})
+SQL["profile_known"] = _wide({**_USER_TAGS, **{tag: _known(sql) for tag, sql in _TAGS.items()}})
+_FINISHED_COUNT = _order_tag("purchaseFrequency", "count(*)", [(10, "高"), (6, "中")], "低", _DONE)
 SQL["profile_upsert"] = f"""
 SELECT coalesce(p.id, n.id) AS id, p.gender,
-       CASE WHEN n.id IS NOT NULL THEN n."consumptionPower" ELSE p."consumptionPower" END
-         AS "consumptionPower",
-       p."purchaseFrequency"
-FROM ({_wide({"gender": SQL["attr_gender"], "consumptionPower": SQL["consumption_power"],
-              "purchaseFrequency": SQL["purchase_frequency"]})}) p
-FULL JOIN ({_POWER_ALL}) n ON n.id = p.id"""
-
-
-def _rate_all(tag: str, status: str, high: float, mid: float, known: str) -> str:
-    return _order_tag(tag, _share(status), [(high, "高"), (mid, "中")], "低", _KEPT, 6, known)
-
-
+       CASE WHEN n.id IS NOT NULL THEN n."purchaseFrequency" ELSE p."purchaseFrequency" END
+         AS "purchaseFrequency"
+FROM ({_wide({"gender": SQL["attr_gender"], "purchaseFrequency": SQL["purchase_frequency_scaled"]})}) p
+FULL JOIN ({_FINISHED_COUNT}) n ON n.id = p.id"""
 SQL["profile_promote"] = _wide(
     {
         "gender": SQL["attr_gender"],
-        "exchangeRate": _rate_all("exchangeRate", "1", 0.15, 0.05, "uid <= 950"),
-        "consultationFrequency": _rate_all("consultationFrequency", "204", 0.2, 0.1, "TRUE"),
+        "exchangeRate": _known(SQL["exchange_rate_scaled"]),
+        "consultationFrequency": SQL["consultation_frequency_scaled"],
     }
 )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..sources.schemas import PROFILE_TAGS
 from ..tags import attribute, behaviour, consumption
+from ..tags import dictionaries as d
 
 
 def merge_tags(parts: Sequence[DataFrame], key: str = "id") -> DataFrame:
@@ -37,7 +38,7 @@ def build_profile(
     logs: DataFrame,
     prefixes: DataFrame | None = None,
     extra: Sequence[DataFrame] = (),
-    max_id: int | None = 950,
+    max_id: int | None = d.MAX_ID,
 ) -> DataFrame:
     """Every tag of every user; `extra` holds further parts, such as preferences.
 

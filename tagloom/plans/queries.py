@@ -1,4 +1,8 @@
-"""Every operator as a query over the sample tables: name -> (spark, folder) -> DataFrame."""
+"""Every operator as a query over the sample tables: name -> (spark, folder) -> DataFrame.
+
+The queries keep every id. Those named "_known" leave out the ids above the last
+known user, as the tags do unless told otherwise.
+"""
 
 from __future__ import annotations
 
@@ -103,40 +107,41 @@ def _native_province(spark, sf_dir):
 
 # --- behaviour ---
 
-_over("browse_frequency", sample.logs, lambda t: behaviour.browse_frequency(t, with_metric=True))
+_over("browse_frequency", sample.logs, lambda t: behaviour.browse_frequency(t, max_id=None, with_metric=True))
 _over(
     "browse_frequency_scaled",
     sample.logs,
-    lambda t: behaviour.browse_frequency(t, v.BROWSE, with_metric=True),
+    lambda t: behaviour.browse_frequency(t, v.BROWSE, max_id=None, with_metric=True),
 )
-_over("login_frequency", sample.logs, lambda t: behaviour.login_frequency(t, with_metric=True))
+_over("login_frequency", sample.logs, lambda t: behaviour.login_frequency(t, max_id=None, with_metric=True))
 _over(
     "login_frequency_scaled",
     sample.logs,
-    lambda t: behaviour.login_frequency(t, v.LOGIN, with_metric=True),
+    lambda t: behaviour.login_frequency(t, v.LOGIN, max_id=None, with_metric=True),
 )
 _over(
     "order_page_frequency",
     sample.logs,
     lambda t: behaviour.event_frequency(
-        t, "orderPageFrequency", d.ORDER_PAGES, [(15, "高"), (10, "中")], "低", with_metric=True
+        t, "orderPageFrequency", d.ORDER_PAGES, [(15, "高"), (10, "中")], "低", max_id=None, with_metric=True
     ),
 )
 _over("page_type_counts", sample.logs, behaviour.page_type_counts)
-_over("browse_period", sample.logs, lambda t: behaviour.browse_period(t, with_metric=True))
-_over("browse_time", sample.logs, lambda t: behaviour.browse_time(t, with_metric=True))
+_over("browse_period", sample.logs, lambda t: behaviour.browse_period(t, max_id=None, with_metric=True))
+_over("browse_time", sample.logs, lambda t: behaviour.browse_time(t, max_id=None, with_metric=True))
 _over(
     "browse_time_scaled",
     sample.logs,
-    lambda t: behaviour.browse_time(t, v.GAP, with_metric=True),
+    lambda t: behaviour.browse_time(t, v.GAP, max_id=None, with_metric=True),
 )
-_over("device_type", sample.logs, lambda t: behaviour.device_type(t, with_metric=True))
-_over("log_tags", sample.logs, behaviour.log_tags)
-_over("url_browse", sample.logs, lambda t: behaviour.url_browse(t, with_metric=True))
+_over("device_type", sample.logs, lambda t: behaviour.device_type(t, max_id=None, with_metric=True))
+_over("log_tags", sample.logs, lambda t: behaviour.log_tags(t, max_id=None))
+_over("log_tags_known", sample.logs, behaviour.log_tags)
+_over("url_browse", sample.logs, lambda t: behaviour.url_browse(t, max_id=None, with_metric=True))
 _over(
     "url_browse_most",
     sample.logs,
-    lambda t: behaviour.url_browse(t, ascending=False, with_metric=True),
+    lambda t: behaviour.url_browse(t, ascending=False, max_id=None, with_metric=True),
 )
 
 
@@ -144,23 +149,26 @@ def _users_with_login(spark, sf_dir):
     return sample.users(spark, sf_dir, last_login=True)
 
 
-_over("last_login", _users_with_login, lambda t: behaviour.last_login(t, with_metric=True))
+_over("last_login_known", _users_with_login, lambda t: behaviour.last_login(t, with_metric=True))
+_over("last_login", _users_with_login, lambda t: behaviour.last_login(t, max_id=None, with_metric=True))
 _over(
     "last_login_scaled",
     _users_with_login,
-    lambda t: behaviour.last_login(t, with_metric=True, unit_seconds=v.LOGIN_AGE_UNIT),
+    lambda t: behaviour.last_login(t, max_id=None, with_metric=True, unit_seconds=v.LOGIN_AGE_UNIT),
 )
 
 
 @query("last_browsed_product")
 def _last_browsed(spark, sf_dir):
-    return behaviour.last_browsed_product(sample.logs(spark, sf_dir), sample.goods(spark, sf_dir))
+    return behaviour.last_browsed_product(
+        sample.logs(spark, sf_dir), sample.goods(spark, sf_dir), max_id=None
+    )
 
 
 @query("last_browsed_product_referrer")
 def _last_referred(spark, sf_dir):
     return behaviour.last_browsed_product(
-        sample.logs(spark, sf_dir), sample.goods(spark, sf_dir), by="ref_url"
+        sample.logs(spark, sf_dir), sample.goods(spark, sf_dir), by="ref_url", max_id=None
     )
 
 
@@ -171,29 +179,31 @@ def _last_browsed_first(spark, sf_dir):
 
 @query("purchased_products")
 def _purchased(spark, sf_dir):
-    return behaviour.purchased_products(sample.orders(spark, sf_dir), sample.goods(spark, sf_dir))
+    return behaviour.purchased_products(
+        sample.orders(spark, sf_dir), sample.goods(spark, sf_dir), max_id=None
+    )
 
 
 @query("purchased_product_list")
 def _purchased_list(spark, sf_dir):
     return behaviour.purchased_product_list(
-        sample.orders(spark, sf_dir), sample.goods(spark, sf_dir)
+        sample.orders(spark, sf_dir), sample.goods(spark, sf_dir), max_id=None
     )
 
 
-_over("latest_orders", sample.orders, behaviour.latest_orders)
+_over("latest_orders", sample.orders, lambda t: behaviour.latest_orders(t, max_id=None))
 
 # --- consumption ---
 
 _over(
     "purchase_frequency",
     sample.orders,
-    lambda t: consumption.order_frequency(t, with_metric=True),
+    lambda t: consumption.order_frequency(t, max_id=None, with_metric=True),
 )
 _over(
     "purchase_frequency_scaled",
     sample.orders,
-    lambda t: consumption.order_frequency(t, v.ORDER_COUNT, with_metric=True),
+    lambda t: consumption.order_frequency(t, v.ORDER_COUNT, max_id=None, with_metric=True),
 )
 for _name, _measure, _bands, _scale, _shift in (
     ("consumption_power", "sum", v.POWER, 2, 0.0),
@@ -204,25 +214,25 @@ for _name, _measure, _bands, _scale, _shift in (
         _name,
         sample.orders,
         lambda t, m=_measure, s=_scale, h=_shift: _rounded(
-            consumption.order_amount_band(t, m, with_metric=True), scale=s, shift=h
+            consumption.order_amount_band(t, m, max_id=None, with_metric=True), scale=s, shift=h
         ),
     )
     _over(
         f"{_name}_scaled",
         sample.orders,
         lambda t, m=_measure, b=_bands, s=_scale, h=_shift: _rounded(
-            consumption.order_amount_band(t, m, b, with_metric=True), scale=s, shift=h
+            consumption.order_amount_band(t, m, b, max_id=None, with_metric=True), scale=s, shift=h
         ),
     )
 _over(
     "consumption_cycle",
     sample.orders,
-    lambda t: _rounded(consumption.purchase_cycle(t, with_metric=True)),
+    lambda t: _rounded(consumption.purchase_cycle(t, max_id=None, with_metric=True)),
 )
 _over(
     "consumption_cycle_scaled",
     sample.orders,
-    lambda t: _rounded(consumption.purchase_cycle(t, v.CYCLE, with_metric=True)),
+    lambda t: _rounded(consumption.purchase_cycle(t, v.CYCLE, max_id=None, with_metric=True)),
 )
 for _name, _status, _bands in (
     ("return_rate", d.RETURNED, v.RETURN),
@@ -232,21 +242,22 @@ for _name, _status, _bands in (
     _over(
         _name,
         sample.orders,
-        lambda t, s=_status: _rounded(consumption.status_rate(t, s, with_metric=True)),
+        lambda t, s=_status: _rounded(consumption.status_rate(t, s, max_id=None, with_metric=True)),
     )
     _over(
         f"{_name}_scaled",
         sample.orders,
         lambda t, s=_status, b=_bands: _rounded(
-            consumption.status_rate(t, s, b, with_metric=True)
+            consumption.status_rate(t, s, b, max_id=None, with_metric=True)
         ),
     )
-_over("order_tags", sample.orders, consumption.order_tags)
-_over("payment_mode", sample.orders, lambda t: consumption.payment_mode(t, with_metric=True))
+_over("order_tags", sample.orders, lambda t: consumption.order_tags(t, max_id=None))
+_over("order_tags_known", sample.orders, consumption.order_tags)
+_over("payment_mode", sample.orders, lambda t: consumption.payment_mode(t, max_id=None, with_metric=True))
 _over(
     "payment_mode_by_member",
     sample.orders,
-    lambda t: consumption.payment_mode(t, by_member=True, with_metric=True),
+    lambda t: consumption.payment_mode(t, by_member=True, max_id=None, with_metric=True),
 )
 
 
@@ -356,10 +367,21 @@ def _type_slots_from_list(spark, sf_dir):
     return als.csv_slots(lists, "favorTypes", 10, "favorType")
 
 
-@query("product_list")
-def _product_list(spark, sf_dir):
-    rows = ratings.product_ratings(sample.logs(spark, sf_dir))
-    return als.favor_products(top_items(rows, "userId", "productId", "rating", 10))
+def _top_products(logs, k):
+    return top_items(ratings.product_ratings(logs), "userId", "productId", "rating", k)
+
+
+_over("product_list", sample.logs, lambda t: als.favor_products(_top_products(t, 10)))
+_rating_query(
+    "preferences",
+    lambda g, l: merge_tags(
+        [
+            als.favor_brands(_top_brands(g, l, 2)),
+            als.favor_types(_top_types(g, l, 10)),
+            als.favor_products(_top_products(l, 10)),
+        ]
+    ),
+)
 
 
 @query("als_rmse")
@@ -412,29 +434,34 @@ _over("rfm_segments", sample.orders, lambda t: rfm.rfm_segments(_scores(t)))
 # --- the profile ---
 
 
-@query("profile")
-def _profile(spark, sf_dir):
+def _build(spark, sf_dir, **options):
     return build_profile(
         sample.users(spark, sf_dir, last_login=True),
         sample.orders(spark, sf_dir),
         sample.goods(spark, sf_dir),
         sample.logs(spark, sf_dir),
         sample.prefixes(spark, sf_dir),
+        **options,
     )
 
 
+query("profile")(lambda spark, sf_dir: _build(spark, sf_dir, max_id=None))
+query("profile_known")(_build)
+
+
 @query("profile_upsert")
 def _upsert(spark, sf_dir):
+    """Order counts of all orders, replaced by those of finished orders where there are any."""
     orders = sample.orders(spark, sf_dir)
     profile = merge_tags(
         [
             attribute.coded_tag(sample.users(spark, sf_dir), "gender"),
-            consumption.consumption_power(orders),
-            consumption.order_frequency(orders),
+            consumption.order_frequency(orders, v.ORDER_COUNT, max_id=None),
         ]
     )
-    changed = consumption.consumption_power(orders, v.POWER, max_id=None)
-    return profiles.upsert_tag(profile, changed, "consumptionPower")
+    finished = orders.where(F.col("orderStatus") == d.FINISHED)
+    changed = consumption.order_frequency(finished, v.FINISHED_COUNT, max_id=None)
+    return profiles.upsert_tag(profile, changed, "purchaseFrequency")
 
 
 @query("profile_promote")

@@ -13,6 +13,7 @@ LOGIN = [(31, "经常"), (27, "一般"), (23, "较少")]
 GAP = [(21600, "5分钟以上"), (7200, "1-5分钟")]
 LOGIN_AGE_UNIT = 3600
 ORDER_COUNT = [(20, "高"), (12, "中")]
+FINISHED_COUNT = [(10, "高"), (6, "中")]
 POWER = [
     (4500000, "超高"),
     (3000000, "高"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import within
+from ..tags import dictionaries as d
 from .schemas import TAG_PREFIX
 
 
@@ -92,7 +93,7 @@ def promote_tag(
     name: str,
     target: str,
     profile: DataFrame,
-    max_id: int | None = 950,
+    max_id: int | None = d.MAX_ID,
     all_ids: bool = False,
     fmt: str = "parquet",
     **options,

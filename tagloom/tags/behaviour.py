@@ -140,7 +140,7 @@ def event_frequency(
     patterns: Sequence[str],
     bands: Sequence[tuple[float, str]],
     rare: str,
-    max_id: int | None = 950,
+    max_id: int | None = d.MAX_ID,
     with_metric: bool = False,
 ) -> DataFrame:
     """Band of the number of views that match any of `patterns`."""
@@ -148,31 +148,31 @@ def event_frequency(
     return group_tag(_views(logs, max_id, "loc_url"), "id", tag, with_metric)
 
 
-def browse_frequency(logs, bands=None, max_id=950, with_metric=False) -> DataFrame:
+def browse_frequency(logs, bands=None, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
     """How often a user views shop pages."""
     rows = _views(logs, max_id, "loc_url")
     return group_tag(rows, "id", browse_frequency_tag(bands), with_metric)
 
 
-def login_frequency(logs, bands=None, max_id=950, with_metric=False) -> DataFrame:
+def login_frequency(logs, bands=None, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
     """How often a user views login and home pages."""
     rows = _views(logs, max_id, "loc_url")
     return group_tag(rows, "id", login_frequency_tag(bands), with_metric)
 
 
-def browse_period(logs, max_id=950, with_metric=False) -> DataFrame:
+def browse_period(logs, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
     """Part of the day in which a user views most pages."""
     rows = _views(logs, max_id, _hour(logs).alias("_hour"))
     return group_tag(rows, "id", browse_period_tag(), with_metric)
 
 
-def device_type(logs, max_id=950, with_metric=False) -> DataFrame:
+def device_type(logs, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
     """Device a user views most pages with."""
     rows = _views(logs, max_id, _device().alias("_device"))
     return group_tag(rows, "id", device_tag(), with_metric)
 
 
-def log_tags(logs: DataFrame, max_id: int | None = 950) -> DataFrame:
+def log_tags(logs: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
     """The four tags above in one pass over the page views."""
     rows = _views(
         logs, max_id, "loc_url", _hour(logs).alias("_hour"), _device().alias("_device")
@@ -181,7 +181,7 @@ def log_tags(logs: DataFrame, max_id: int | None = 950) -> DataFrame:
     return group_tags(rows, "id", tags)
 
 
-def page_tags(logs: DataFrame, max_id: int | None = 950) -> DataFrame:
+def page_tags(logs: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
     """Browse frequency, login frequency and least viewed URL in one pass over the URLs.
 
     Views are counted by user and URL, as the URL tag needs anyway, and all three
@@ -197,7 +197,7 @@ def page_tags(logs: DataFrame, max_id: int | None = 950) -> DataFrame:
     return group_tags(pages, "id", tags)
 
 
-def activity_tags(logs: DataFrame, max_id: int | None = 950) -> DataFrame:
+def activity_tags(logs: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
     """Browse period and device in one pass over the times and agents."""
     rows = _views(logs, max_id, _hour(logs).alias("_hour"), _device().alias("_device"))
     return group_tags(rows, "id", [browse_period_tag(), device_tag()])
@@ -218,7 +218,7 @@ def page_type_counts(logs: DataFrame) -> DataFrame:
 def browse_time(
     logs: DataFrame,
     bands=None,
-    max_id: int | None = 950,
+    max_id: int | None = d.MAX_ID,
     with_metric: bool = False,
     short: str = d.GAP_SHORT,
 ) -> DataFrame:
@@ -233,7 +233,7 @@ def browse_time(
 def last_login(
     users: DataFrame,
     bands=None,
-    max_id: int | None = 950,
+    max_id: int | None = d.MAX_ID,
     with_metric: bool = False,
     unit_seconds: int = 86400,
 ) -> DataFrame:
@@ -262,7 +262,7 @@ def last_login(
 def url_browse(
     logs: DataFrame,
     ascending: bool = True,
-    max_id: int | None = 950,
+    max_id: int | None = d.MAX_ID,
     with_metric: bool = False,
 ) -> DataFrame:
     """Least (or, with `ascending=False`, most) viewed URL of a user."""
@@ -287,7 +287,7 @@ def product_names(goods: DataFrame) -> DataFrame:
 
 
 def last_browsed_product(
-    logs: DataFrame, goods: DataFrame, by: str = "loc_url", max_id: int | None = 950
+    logs: DataFrame, goods: DataFrame, by: str = "loc_url", max_id: int | None = d.MAX_ID
 ) -> DataFrame:
     """Products on the product pages of a user's last such second: (id, productId, productName).
 
@@ -319,7 +319,7 @@ def _ordered_lines(orders: DataFrame, goods: DataFrame, max_id: int | None) -> D
 
 
 def purchased_products(
-    orders: DataFrame, goods: DataFrame, max_id: int | None = 950
+    orders: DataFrame, goods: DataFrame, max_id: int | None = d.MAX_ID
 ) -> DataFrame:
     """Products a user ordered, each with its longest name: (id, productId, purchaseName)."""
     lines = _ordered_lines(orders, goods, max_id)
@@ -333,7 +333,7 @@ def purchased_products(
 def purchased_product_list(
     orders: DataFrame,
     goods: DataFrame,
-    max_id: int | None = 950,
+    max_id: int | None = d.MAX_ID,
     names_per_row: int = 100_000,
 ) -> DataFrame:
     """Names of a user's products in a comma-joined text: (id, part, productPurchased).
@@ -353,7 +353,7 @@ def purchased_product_list(
     )
 
 
-def latest_orders(orders: DataFrame, max_id: int | None = 950) -> DataFrame:
+def latest_orders(orders: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
     """Orders at a user's newest finish time: (id, orderSn, finishTime); ties are kept."""
     rows = within(
         orders.withColumn("_user", member_tail_user(orders)), max_id, "_user"

@@ -145,12 +145,12 @@ def consult_tag(bands=None) -> GroupTag:
     return rate_tag("consultationFrequency", d.CONSULTED, bands or d.CONSULT_BANDS)
 
 
-def order_frequency(orders, bands=None, max_id=950, with_metric=False) -> DataFrame:
+def order_frequency(orders, bands=None, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
     """How many orders a user placed, of any status."""
     return group_tag(_rows(orders, max_id), "id", order_count_tag(bands), with_metric)
 
 
-def order_amount_band(orders, measure, bands=None, max_id=950, with_metric=False) -> DataFrame:
+def order_amount_band(orders, measure, bands=None, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
     """Band of the sum, mean ("avg") or greatest ("max") amount of finished orders."""
     tag, amount = {
         "sum": (power_tag, _amount),
@@ -161,19 +161,19 @@ def order_amount_band(orders, measure, bands=None, max_id=950, with_metric=False
     return group_tag(rows, "id", tag(bands), with_metric)
 
 
-def consumption_power(orders, bands=None, max_id=950, with_metric=False) -> DataFrame:
+def consumption_power(orders, bands=None, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
     """Total amount of a user's finished orders."""
     return order_amount_band(orders, "sum", bands, max_id, with_metric)
 
 
-def purchase_cycle(orders, bands=None, max_id=950, with_metric=False) -> DataFrame:
+def purchase_cycle(orders, bands=None, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
     """Mean time between a user's finished orders."""
     rows = _rows(orders, max_id, "orderStatus", _finished_at(orders))
     return group_tag(rows, "id", cycle_tag(bands), with_metric)
 
 
 def status_rate(
-    orders, status, bands=None, max_id=950, with_metric=False, name=None
+    orders, status, bands=None, max_id=d.MAX_ID, with_metric=False, name=None
 ) -> DataFrame:
     """Share of a user's orders that have `status`."""
     known = {
@@ -185,7 +185,7 @@ def status_rate(
     return group_tag(_rows(orders, max_id, "orderStatus"), "id", tag, with_metric)
 
 
-def order_tags(orders: DataFrame, max_id: int | None = 950) -> DataFrame:
+def order_tags(orders: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
     """The eight tags above in one pass over the orders."""
     rows = _rows(
         orders, max_id, "orderStatus", _amount(orders), _whole(orders), _finished_at(orders)
@@ -205,7 +205,7 @@ def order_tags(orders: DataFrame, max_id: int | None = 950) -> DataFrame:
 
 def payment_mode(
     orders: DataFrame,
-    max_id: int | None = 950,
+    max_id: int | None = d.MAX_ID,
     by_member: bool = False,
     with_metric: bool = False,
 ) -> DataFrame:

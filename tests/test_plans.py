@@ -11,6 +11,7 @@ from tagloom import sources as s
 from tagloom.models import ratings
 from tagloom.plans.profile import build_profile, merge_tags
 from tagloom.plans.queries import QUERIES
+from tagloom.sources import sample
 from tagloom.session import configure
 from tagloom.tags import behaviour, consumption
 
@@ -50,7 +51,7 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     text = plan(consumption.consumption_power(s.load_orders(spark, path)))
     assert "EqualTo(orderStatus,202)" in text
     assert "ReadSchema: struct<memberId:string,orderAmount:string,orderStatus:string>" in text
-    text = plan(QUERIES["browse_time"](spark, SF))
+    text = plan(behaviour.browse_time(sample.logs(spark, SF)))
     assert "LessThanOrEqual(user_id,950)" in text
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in text
 
