@@ -45,7 +45,7 @@ def fit_als(
         seed=seed,
     ).setPredictionCol("predict")
     parallel = rows.sparkSession.sparkContext.defaultParallelism
-    return als.setNumBlocks(blocks or min(1000, max(10, parallel))).fit(rows)
+    return als.setNumBlocks(blocks or min(1000, parallel)).fit(rows)
 
 
 def save_model(model: ALSModel, path: str) -> None:
@@ -54,10 +54,22 @@ def save_model(model: ALSModel, path: str) -> None:
 
 
 def load_model(path: str) -> ALSModel:
-    """The model at `path`."""
+    """The model at `path`.
+
+    The factor tables of a loaded model are files of a known size, so Spark
+    broadcasts the item side of a recommendation where it is small enough. A
+    model fresh from the fit has no sizes, and every pair of its partitions is
+    made a task.
+    """
     return ALSModel.load(path).setPredictionCol("predict")
 
 
+def fit_saved(ratings: DataFrame, item: str, path: str, seed: int = 0) -> ALSModel:
+    """Fit, write to `path` and load again."""
+    save_model(fit_als(ratings, item, seed), path)
+    return load_model(path)
+
+
 def als_rmse(model: ALSModel, test: DataFrame) -> DataFrame:
     """One row: test ratings that got a prediction, and the RMSE of the predictions."""
     error = F.col("rating").cast("double") - F.col("predict").cast("double")
@@ -67,7 +79,10 @@ def als_rmse(model: ALSModel, test: DataFrame) -> DataFrame:
 
 
 def recommend(model: ALSModel, k: int) -> DataFrame:
-    """The `k` best items of every user: (userId, recommendations)."""
+    """The `k` best items of every user: (userId, recommendations).
+
+    Every user is scored against every item. Take a loaded model; see `load_model`.
+    """
     return model.recommendForAllUsers(k)
 
 

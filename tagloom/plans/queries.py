@@ -391,31 +391,33 @@ def _als_rmse(spark, sf_dir):
     return als.als_rmse(als.fit_als(train, "productId", checkpoint=False), test)
 
 
+def _fitted(spark: SparkSession, rows: DataFrame, item: str):
+    return als.fit_saved(rows, item, f"{_scratch(spark)}/{item}")
+
+
 @query("als_favor_products")
 def _als_products(spark, sf_dir):
     rows = ratings.product_ratings(sample.logs(spark, sf_dir))
-    path = f"{_scratch(spark)}/products"
-    als.save_model(als.fit_als(rows, "productId"), path)
-    return als.favor_products(als.recommend(als.load_model(path), 10))
+    return als.favor_products(als.recommend(_fitted(spark, rows, "productId"), 10))
 
 
 @query("als_favor_brands")
 def _als_brands(spark, sf_dir):
     rows = ratings.brand_ratings(sample.goods(spark, sf_dir), sample.logs(spark, sf_dir))
-    return als.favor_brands(als.recommend(als.fit_als(rows, "brandId"), 2))
+    return als.favor_brands(als.recommend(_fitted(spark, rows, "brandId"), 2))
 
 
 @query("als_brand_histogram")
 def _als_histogram(spark, sf_dir):
     rows = ratings.brand_ratings(sample.goods(spark, sf_dir), sample.logs(spark, sf_dir))
-    recs = als.recommend(als.fit_als(rows, "brandId"), 1)
+    recs = als.recommend(_fitted(spark, rows, "brandId"), 1)
     return als.label_histogram(als.recs_to_csv(recs, "brandId", "favorBrand"), "favorBrand")
 
 
 @query("als_favor_types")
 def _als_types(spark, sf_dir):
     rows = ratings.category_ratings(sample.goods(spark, sf_dir), sample.logs(spark, sf_dir))
-    return als.favor_types(als.recommend(als.fit_als(rows, "productType"), 10))
+    return als.favor_types(als.recommend(_fitted(spark, rows, "productType"), 10))
 
 
 # --- recency, frequency and money ---

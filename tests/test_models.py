@@ -102,6 +102,9 @@ def test_als(spark, rated, tmp_path):
     assert als.als_rmse(loaded, unseen).collect()[0].predictions == 0
     repeated = als.recommend(als.fit_als(rated, "productId", blocks=2), 4)
     assert rows(als.favor_products(repeated)) == rows(als.favor_products(recs))
+    # The item side of a loaded model is broadcast by its size.
+    plan = recs._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan and "CartesianProduct" not in plan
 
 
 def test_fit_drops_null_ratings(spark, rated):
