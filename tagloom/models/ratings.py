@@ -77,30 +77,43 @@ def category_ratings(
     return _item_ratings(goods, logs, _category(categories), "productType", dedupe)
 
 
+def _rating_rows(products: DataFrame, logs: DataFrame, name: str) -> DataFrame:
+    """Rated order lines, equal rows counted: (userId, item, rating, copies).
+
+    The ratings are the left side of an inner join, which a hot product can split.
+    """
+    return (
+        product_ratings(logs)
+        .join(products, "productId")
+        .groupBy("userId", name, "rating")
+        .agg(F.sum("lines").alias("copies"))
+    )
+
+
 def brand_rating_rows(goods: DataFrame, logs: DataFrame) -> DataFrame:
     """The ratings of every order line's brand, equal rows counted: (userId, brandId, rating, copies).
 
-    Products nobody viewed stay, with a null user and rating.
+    Lines of products that nobody viewed stay, with a null user and rating. They
+    are added by an anti join, because the ratings of an outer join could not be
+    split.
     """
     products = _products(goods, _brand(goods), "brandId")
-    return (
-        products.join(product_ratings(logs), "productId", "left")
-        .groupBy("userId", "brandId", "rating")
+    rated = _rating_rows(products, logs, "brandId")
+    viewed = product_ratings(logs).select("productId").distinct()
+    unrated = (
+        products.join(viewed, "productId", "left_anti")
+        .groupBy("brandId")
         .agg(F.sum("lines").alias("copies"))
     )
+    return rated.unionByName(unrated, allowMissingColumns=True)
 
 
 def category_rating_rows(
     goods: DataFrame, logs: DataFrame, categories: Mapping[str, int] | None = None
 ) -> DataFrame:
-    """As `brand_rating_rows`, by category code and without unrated rows."""
+    """As `brand_rating_rows`, by category code and without unrated lines."""
     products = _products(goods, _category(categories), "productType")
-    return (
-        products.join(product_ratings(logs), "productId", "left")
-        .dropna(subset=["rating"])
-        .groupBy("userId", "productType", "rating")
-        .agg(F.sum("lines").alias("copies"))
-    )
+    return _rating_rows(products, logs, "productType")
 
 
 def in_training(item: str, share: float = 0.8, seed: int = 0, user: str = "userId") -> Column:

@@ -95,7 +95,7 @@ prefixes AS (
 
 RATINGS = """
 ratings AS (
-  SELECT uid AS "userId", pid AS "productId", count(*) AS rating
+  SELECT CAST(uid AS INTEGER) AS "userId", pid AS "productId", count(*) AS rating
   FROM (SELECT uid, TRY_CAST(split_part(split_part(loc_url, '/product/', 2), '.html', 1) AS INTEGER) AS pid
         FROM logs WHERE loc_url LIKE '%/product/%.html%') v
   WHERE pid IS NOT NULL GROUP BY uid, pid)"""
@@ -575,7 +575,7 @@ def _ranked(source: str, item: str, k: int) -> str:
 
 
 def _list(source: str, item: str, k: int, name: str) -> str:
-    return f"""SELECT "userId" AS id, string_agg(CAST(item AS VARCHAR), ',' ORDER BY r) AS "{name}"
+    return f"""SELECT CAST("userId" AS BIGINT) AS id, string_agg(CAST(item AS VARCHAR), ',' ORDER BY r) AS "{name}"
 FROM ({_ranked(source, item, k)}) x GROUP BY "userId\""""
 
 
@@ -594,7 +594,7 @@ def _slots(source: str, item: str, k: int, prefix: str, label: str | None) -> st
     if label is None:
         cells = [f'max(CASE WHEN r = {i + 1} THEN CAST(item AS VARCHAR) END) AS "{prefix}_{i}"'
                  for i in range(k)]
-        user = '"userId"'
+        user = 'CAST("userId" AS BIGINT)'
     else:
         cells = [f"""coalesce(max(CASE WHEN r = {i + 1} THEN {label} END), '其他') AS "{prefix}_{i}\""""
                  for i in range(k)]
@@ -618,8 +618,8 @@ FULL JOIN ({SQL["type_slots"]}) t USING (id) FULL JOIN ({SQL["product_list"]}) p
 
 SQL["rfm"] = _with(
     """SELECT CAST(member AS VARCHAR) AS "memberId",
-       date_diff('day', CAST(make_timestamp(max(finished) * 1000000) AS DATE),
-                 DATE '2003-05-20' - 660) AS rencency,
+       CAST(date_diff('day', CAST(make_timestamp(max(finished) * 1000000) AS DATE),
+                      DATE '2003-05-20' - 660) AS INTEGER) AS rencency,
        count(*) AS frequency, round(sum(amount), 2) AS "moneyTotal"
 FROM shop_orders GROUP BY member""",
     ORDERS,

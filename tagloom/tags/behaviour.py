@@ -315,7 +315,8 @@ def _ordered_lines(orders: DataFrame, goods: DataFrame, max_id: int | None) -> D
         F.col("productId").cast("string").alias("productId"),
         "productName",
     )
-    return buyers.select(F.col("_user").alias("id"), "orderSn").join(lines, "orderSn")
+    # The lines are the streamed and splittable side, whatever one order holds of them.
+    return lines.join(buyers.select(F.col("_user").alias("id"), "orderSn"), "orderSn")
 
 
 def purchased_products(
