@@ -1,7 +1,7 @@
 """DataFrame operators the tags are composed of."""
 
 from .gaps import last_gap
-from .grouped import GroupTag, group_tag, group_tags
+from .grouped import GroupTag, group_tag, group_tags, one_per_key
 from .ranking import (
     best_value,
     latest_rows,
@@ -21,6 +21,7 @@ __all__ = [
     "latest_rows",
     "longest_text",
     "metric_mean",
+    "one_per_key",
     "top_items",
     "top_value",
     "value_counts",

@@ -67,3 +67,15 @@ def group_tags(df: DataFrame, key: str, tags: Sequence[GroupTag]) -> DataFrame:
     if any(tag.present is None for tag in tags):
         return wide
     return wide.where(reduce(Column.__or__, [F.col(t.name).isNotNull() for t in tags]))
+
+
+def one_per_key(df: DataFrame, key: str, *aggregates: Column) -> DataFrame:
+    """One row per `key`, to be looked up by a join: (key, aggregates).
+
+    Adaptive execution splits a hot partition of a join only where both sides come
+    straight from a shuffle. Grouping by a digest of the key as well leaves the
+    result not partitioned by the key alone, so the join shuffles these few rows
+    once more, and the rows that look them up may be split.
+    """
+    grouped = df.groupBy(key, F.xxhash64(key).alias("_digest")).agg(*aggregates)
+    return grouped.drop("_digest")

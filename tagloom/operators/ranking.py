@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,16 +51,15 @@ def latest_rows(df: DataFrame, key: str, stamp: str) -> DataFrame:
     return df.join(newest, [key, stamp], "left_semi")
 
 
-def longest_text(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
-    """(keys, text): the longest `text` of each group, cut at its first comma.
+def longest_text(text: str) -> Column:
+    """Aggregate: the longest `text`, cut at its first comma.
 
-    Equally long texts are taken in order; a group without any gives an empty
-    text. Every task sends at most one row per group.
+    Equally long texts are taken in order; a group without any gives an empty text.
     """
     value = F.col(text)
     order = F.when(value.isNotNull(), F.struct(-F.length(value), value))
     longest = F.substring_index(F.min_by(value, order), ",", 1)
-    return df.groupBy(*keys).agg(F.coalesce(longest, F.lit("")).alias(text))
+    return F.coalesce(longest, F.lit("")).alias(text)
 
 
 def top_items(df: DataFrame, user: str, item: str, rating: str, k: int) -> DataFrame:

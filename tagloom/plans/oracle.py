@@ -337,14 +337,24 @@ SQL["last_browsed_product_referrer"] = _last_product("ref_url")
 SQL["last_browsed_product_first"] = (
     f'SELECT id, min("productName") AS "productName" FROM ({SQL["last_browsed_product"]}) p GROUP BY id'
 )
-SQL["purchased_products"] = _with(
-    """SELECT CAST(uid AS VARCHAR) AS id, pid AS "productId", split_part(name, ',', 1) AS "purchaseName"
+
+
+def _purchases(source: str) -> str:
+    return _with(
+        f"""SELECT CAST(uid AS VARCHAR) AS id, pid AS "productId", split_part(name, ',', 1) AS "purchaseName"
 FROM (SELECT o.uid, g.pid, g.name,
              row_number() OVER (PARTITION BY o.uid, g.pid ORDER BY length(g.name) DESC, g.name) AS r
-      FROM shop_orders o JOIN goods g ON g.sn = o.sn) x
+      FROM {source} o JOIN goods g ON g.sn = o.sn) x
 WHERE r = 1""",
-    ORDERS,
-    GOODS,
+        ORDERS,
+        GOODS,
+    )
+
+
+SQL["purchased_products"] = _purchases("shop_orders")
+SQL["purchased_products_latest"] = _purchases(
+    "(SELECT * FROM shop_orders s WHERE finished = "
+    "(SELECT max(finished) FROM shop_orders t WHERE t.uid = s.uid))"
 )
 SQL["purchased_product_list"] = f"""
 SELECT id, 0 AS part, string_agg("purchaseName", ',' ORDER BY "purchaseName") AS "productPurchased"

@@ -184,6 +184,13 @@ def _purchased(spark, sf_dir):
     )
 
 
+@query("purchased_products_latest")
+def _purchased_latest(spark, sf_dir):
+    return behaviour.purchased_products(
+        sample.orders(spark, sf_dir), sample.goods(spark, sf_dir), max_id=None, latest_only=True
+    )
+
+
 @query("purchased_product_list")
 def _purchased_list(spark, sf_dir):
     return behaviour.purchased_product_list(

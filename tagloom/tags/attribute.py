@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import band, calendar_date, code_label
+from ..operators import one_per_key
 from . import dictionaries as d
 
 # Tag -> (labels, label of any other code); the column has the name of the tag.
@@ -79,8 +80,8 @@ def mobile_regions(
     users: DataFrame, prefixes: DataFrame, parts: Mapping[str, str], digits: int = 7
 ) -> DataFrame:
     """Several tags from one join: `parts` maps each tag to its prefix column."""
-    regions = prefixes.groupBy("prefix").agg(
-        *[F.min(part).alias(f"_{tag}") for tag, part in parts.items()]
+    regions = one_per_key(
+        prefixes, "prefix", *[F.min(part).alias(f"_{tag}") for tag, part in parts.items()]
     )
     keyed = users.withColumn("prefix", F.substring("mobile", 1, digits))
     joined = keyed.join(regions, "prefix", "left")

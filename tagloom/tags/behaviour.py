@@ -27,6 +27,7 @@ from ..operators import (
     last_gap,
     latest_rows,
     longest_text,
+    one_per_key,
     top_value,
     value_counts,
 )
@@ -282,8 +283,10 @@ def product_names(goods: DataFrame) -> DataFrame:
     Order lines repeat the few names of a product; a hash aggregate drops the
     copies before names are compared.
     """
-    named = goods.select(F.col("productId").cast("string").alias("productId"), "productName")
-    return longest_text(named.distinct(), ["productId"], "productName")
+    named = goods.select("productId", "productName").distinct()
+    return one_per_key(named, "productId", longest_text("productName")).select(
+        F.col("productId").cast("string").alias("productId"), "productName"
+    )
 
 
 def last_browsed_product(
@@ -308,25 +311,41 @@ def last_browsed_product(
     )
 
 
-def _ordered_lines(orders: DataFrame, goods: DataFrame, max_id: int | None) -> DataFrame:
-    buyers = within(orders.withColumn("_user", member_tail_user(orders)), max_id, "_user")
-    lines = goods.select(
-        F.col("cOrderSn").alias("orderSn"),
-        F.col("productId").cast("string").alias("productId"),
-        "productName",
+def _buyers(orders: DataFrame, max_id: int | None) -> DataFrame:
+    """(id, orderSn, finishTime) of known users."""
+    known = within(orders.withColumn("_user", member_tail_user(orders)), max_id, "_user")
+    return known.select(
+        F.col("_user").alias("id"),
+        "orderSn",
+        whole_number(orders, "finishTime", "bigint").alias("finishTime"),
     )
+
+
+def _ordered_lines(
+    orders: DataFrame, goods: DataFrame, max_id: int | None, latest_only: bool = False
+) -> DataFrame:
+    buyers = _buyers(orders, max_id)
+    if latest_only:
+        buyers = latest_rows(buyers, "id", "finishTime")
+    lines = goods.select(F.col("cOrderSn").alias("orderSn"), "productId", "productName")
     # The lines are the streamed and splittable side, whatever one order holds of them.
-    return lines.join(buyers.select(F.col("_user").alias("id"), "orderSn"), "orderSn")
+    return lines.join(buyers.select("id", "orderSn"), "orderSn")
 
 
 def purchased_products(
-    orders: DataFrame, goods: DataFrame, max_id: int | None = d.MAX_ID
+    orders: DataFrame,
+    goods: DataFrame,
+    max_id: int | None = d.MAX_ID,
+    latest_only: bool = False,
 ) -> DataFrame:
-    """Products a user ordered, each with its longest name: (id, productId, purchaseName)."""
-    lines = _ordered_lines(orders, goods, max_id)
-    return longest_text(lines, ["id", "productId"], "productName").select(
+    """Products a user ordered, each with its longest name: (id, productId, purchaseName).
+
+    With `latest_only`, only those of the orders at the user's newest finish time.
+    """
+    lines = _ordered_lines(orders, goods, max_id, latest_only)
+    return lines.groupBy("id", "productId").agg(longest_text("productName")).select(
         F.col("id").cast("string").alias("id"),
-        "productId",
+        F.col("productId").cast("string").alias("productId"),
         F.col("productName").alias("purchaseName"),
     )
 
@@ -356,15 +375,8 @@ def purchased_product_list(
 
 def latest_orders(orders: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
     """Orders at a user's newest finish time: (id, orderSn, finishTime); ties are kept."""
-    rows = within(
-        orders.withColumn("_user", member_tail_user(orders)), max_id, "_user"
-    )
-    rows = rows.select(
-        F.col("_user").alias("id"),
-        F.col("orderSn"),
-        whole_number(orders, "finishTime", "bigint").alias("finishTime"),
-    )
-    return latest_rows(rows, "id", "finishTime").select(
-        F.col("id").cast("string").alias("id"), F.col("orderSn").cast("string").alias("orderSn"),
+    return latest_rows(_buyers(orders, max_id), "id", "finishTime").select(
+        F.col("id").cast("string").alias("id"),
+        F.col("orderSn").cast("string").alias("orderSn"),
         "finishTime",
     )

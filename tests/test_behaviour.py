@@ -251,6 +251,17 @@ def test_long_product_lists_are_dealt_out_whole(spark):
     assert names == [f"p{i:03d}" for i in range(100)]
 
 
+def test_purchases_of_the_latest_orders(spark):
+    table = orders(
+        spark,
+        {"memberId": "1", "orderSn": "s1", "finishTime": "9"},
+        {"memberId": "1001", "orderSn": "s3", "finishTime": "10"},
+        {"memberId": "2", "orderSn": "s2", "finishTime": None},
+    )
+    found = b.purchased_products(table, goods(spark, *GOODS), latest_only=True)
+    assert rows(found) == {("1", "2", "cup"), ("1", "3", "")}
+
+
 def test_latest_orders_keep_ties(spark):
     table = orders(
         spark,

@@ -7,9 +7,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 from tests.conftest import TESTDATA
-from tests.helpers import goods, logs, pairs, rows
+from tests.helpers import goods, logs, rows
 
-from tagloom.operators import last_gap, latest_rows, longest_text, top_items, top_value
+from tagloom.operators import last_gap, latest_rows, longest_text, one_per_key, top_items, top_value
 from tagloom.plans.queries import QUERIES
 from tagloom.tags import behaviour
 from tagloom.tags import dictionaries as d
@@ -76,8 +76,9 @@ def test_longest_text(spark):
         known = [v for v in values if v is not None]
         longest = min(known, key=lambda v: (-len(v), v)) if known else ""
         expected.add((key, longest.split(",")[0]))
-    found = longest_text(spark.createDataFrame(listed, "k int, t string"), ["k"], "t")
-    assert rows(found) == expected
+    table = spark.createDataFrame(listed, "k int, t string")
+    assert rows(table.groupBy("k").agg(longest_text("t"))) == expected
+    assert rows(one_per_key(table, "k", longest_text("t"))) == expected
 
 
 def test_top_items(spark):

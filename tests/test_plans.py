@@ -13,7 +13,7 @@ from tagloom.plans.profile import build_profile, merge_tags
 from tagloom.plans.queries import QUERIES
 from tagloom.sources import sample
 from tagloom.session import configure
-from tagloom.tags import behaviour, consumption
+from tagloom.tags import attribute, behaviour, consumption
 
 SF = str(TESTDATA / "sf0.001")
 EAGER = {"profile_promote", "page_type_counts_staged", "rfm_segments"}
@@ -115,19 +115,10 @@ def test_profile_of_empty_and_tiny_tables(spark):
 # --- a hot key ---
 
 
-def test_a_hot_product_is_split_in_the_join(spark, no_broadcast):
-    """A product with most ratings: its join partition is read by several tasks."""
+@pytest.fixture()
+def small_partitions(spark, no_broadcast):
+    """Partition sizes at which a small table already has a skewed partition."""
     configure(spark)
-    views = spark.range(300000).select(
-        F.hash("id").cast("string").alias("global_user_id"),
-        F.when(F.col("id") % 10 < 8, F.lit("/product/1.html"))
-        .otherwise(F.concat(F.lit("/product/"), (F.col("id") % 97 + 2).cast("string"), F.lit(".html")))
-        .alias("loc_url"),
-    )
-    table = spark.range(2, 100).select(
-        F.col("id").cast("string").alias("productId"), F.lit("297").alias("brandId")
-    )
-    table = table.union(spark.createDataFrame([("1", "298"), ("1", "298")], table.schema))
     small = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
@@ -135,17 +126,96 @@ def test_a_hot_product_is_split_in_the_join(spark, no_broadcast):
     }
     for name, value in small.items():
         spark.conf.set(name, value)
-    try:
-        found = ratings.brand_ratings(table, views)
-        counts = {r.brandId: r["count"] for r in found.groupBy("brandId").count().collect()}
-        found.collect()
-        text = found._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for name in small:
-            spark.conf.unset(name)
-    assert "skew=true" in text
-    users = views.distinct().groupBy(F.col("loc_url") == "/product/1.html").count()
-    assert counts == {298 if r[0] else 297: r["count"] for r in users.collect()}
+    yield
+    for name in small:
+        spark.conf.unset(name)
+
+
+def is_split(df):
+    """The join of `df` read a skewed partition in pieces."""
+    df.collect()
+    return "skew=true" in plan(df)
+
+
+def number(seed, size):
+    return F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(size)).cast("string")
+
+
+def hot():
+    """True for four rows in five."""
+    return F.col("id") % 10 < 8
+
+
+def test_a_hot_product_is_split_in_the_join(spark, small_partitions):
+    """A product with most ratings: its join partition is read by several tasks."""
+    views = spark.range(300000).select(
+        F.hash("id").cast("string").alias("global_user_id"),
+        F.when(hot(), F.lit("/product/1.html"))
+        .otherwise(F.concat(F.lit("/product/"), number(1, 97), F.lit(".html")))
+        .alias("loc_url"),
+    )
+    table = spark.range(100).select(
+        F.col("id").cast("string").alias("productId"),
+        F.when(F.col("id") == 1, "298").otherwise("297").alias("brandId"),
+    )
+    found = ratings.brand_ratings(table.union(table), views)
+    assert is_split(found)
+    counts = {r.brandId: r["count"] for r in found.groupBy("brandId").count().collect()}
+    viewed = views.select("global_user_id", (F.col("loc_url") == "/product/1.html").alias("hot"))
+    users = {r.hot: r["count"] for r in viewed.distinct().groupBy("hot").count().collect()}
+    assert counts == {298: users[True], 297: users[False]}
+
+
+def test_a_hot_order_is_split_in_the_join(spark, small_partitions):
+    lines = spark.range(300000).select(
+        F.when(hot(), F.lit("7")).otherwise(number(1, 5000)).alias("cOrderSn"),
+        number(2, 1000000).alias("productId"),
+        F.concat(F.lit("name "), number(3, 1000)).alias("productName"),
+    )
+    table = spark.range(5000).select(
+        F.col("id").cast("string").alias("orderSn"),
+        F.col("id").cast("string").alias("memberId"),
+        F.lit("1").alias("finishTime"),
+    )
+    found = behaviour.purchased_products(table, lines, max_id=None)
+    assert is_split(found)
+    expected = lines.join(table, lines.cOrderSn == table.orderSn).select(
+        F.col("memberId").cast("int") % 1000, "productId"
+    )
+    assert found.count() == expected.distinct().count()
+
+
+def test_a_hot_mobile_prefix_is_split_in_the_join(spark, small_partitions):
+    people = spark.range(300000).select(
+        F.col("id").cast("string").alias("id"),
+        F.when(hot(), F.lit("13800010000")).otherwise(F.concat(F.lit("139"), number(1, 10**8))).alias("mobile"),
+    )
+    regions = spark.range(5000).select(
+        F.concat(F.lit("139"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("prefix"),
+        F.lit("p").alias("province"),
+        F.lit("c").alias("city"),
+    )
+    regions = regions.union(spark.createDataFrame([("1380001", "广东", "深圳")], regions.schema))
+    found = attribute.mobile_region(people, regions, "city", "nativePlace")
+    assert is_split(found)
+    assert found.where("nativePlace = '深圳'").count() == 240000
+    assert found.count() == 300000
+
+
+def test_a_hot_last_product_is_split_in_the_join(spark, small_partitions):
+    """The same product is the last one of most users; ids are text, as the names' key is."""
+    views = spark.range(300000).select(
+        F.col("id").cast("string").alias("global_user_id"),
+        F.lit("2020-01-01 10:00:00").alias("log_time"),
+        F.concat(F.lit("/item/"), F.when(hot(), F.lit("7")).otherwise(number(1, 5000))).alias("loc_url"),
+    )
+    lines = spark.range(20000).select(
+        F.pmod("id", F.lit(5000)).cast("string").alias("productId"),
+        F.concat(F.lit("name "), number(2, 50)).alias("productName"),
+    )
+    found = behaviour.last_browsed_product(views, lines, max_id=None)
+    assert is_split(found)
+    assert found.count() == 300000
 
 
 def test_a_hot_user_moves_few_rows(spark):
