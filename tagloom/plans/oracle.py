@@ -677,7 +677,7 @@ _TAGS = {
     **_ORDER_TAGS,
     "paymentMode": SQL["payment_mode"],
 }
-SQL["profile"] = _wide({**_USER_TAGS, **_TAGS})
+SQL["profile"] = SQL["profile_staged"] = _wide({**_USER_TAGS, **_TAGS})
 SQL["profile_known"] = _wide({**_USER_TAGS, **{tag: _known(sql) for tag, sql in _TAGS.items()}})
 _FINISHED_COUNT = _order_tag("purchaseFrequency", "count(*)", [(10, "高"), (6, "中")], "低", _DONE)
 SQL["profile_upsert"] = f"""

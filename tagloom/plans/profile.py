@@ -39,11 +39,14 @@ def build_profile(
     prefixes: DataFrame | None = None,
     extra: Sequence[DataFrame] = (),
     max_id: int | None = d.MAX_ID,
+    staging: str | None = None,
 ) -> DataFrame:
     """Every tag of every user; `extra` holds further parts, such as preferences.
 
     Tags over the same rows share one pass: ten over the users, eight over the
     orders, three over the URLs and two over the times and agents of page views.
+    With `staging`, a folder that all executors share, each part is written there
+    before the parts are merged: a failure then costs one part and not the plan.
     """
     parts = [
         attribute.user_attributes(users),
@@ -62,4 +65,12 @@ def build_profile(
                 users, prefixes, {"nativePlace": "city", "nativeProvince": "province"}
             )
         )
-    return merge_tags([*parts, *extra])
+    parts += extra
+    if staging is not None:
+        parts = [_staged(part, f"{staging}/part_{i}") for i, part in enumerate(parts)]
+    return merge_tags(parts)
+
+
+def _staged(part: DataFrame, path: str) -> DataFrame:
+    part.write.mode("overwrite").parquet(path)
+    return part.sparkSession.read.schema(part.schema).parquet(path)

@@ -456,6 +456,9 @@ def _build(spark, sf_dir, **options):
 
 query("profile")(lambda spark, sf_dir: _build(spark, sf_dir, max_id=None))
 query("profile_known")(_build)
+query("profile_staged")(
+    lambda spark, sf_dir: _build(spark, sf_dir, max_id=None, staging=_scratch(spark))
+)
 
 
 @query("profile_upsert")

@@ -107,6 +107,24 @@ def test_als(spark, rated, tmp_path):
     assert "BroadcastExchange" in plan and "CartesianProduct" not in plan
 
 
+def test_recommendations_and_rmse_follow_from_the_factors(spark, rated, tmp_path):
+    model = als.fit_saved(rated, "productId", str(tmp_path / "model"))
+    people = {r.id: r.features for r in model.userFactors.collect()}
+    things = {r.id: r.features for r in model.itemFactors.collect()}
+
+    def score(user, item):
+        return sum(a * b for a, b in zip(people[user], things[item]))
+
+    for row in als.recommend(model, 3).collect():
+        best = sorted((score(row.userId, i) for i in things), reverse=True)[:3]
+        for entry, expected in zip(row.recommendations, best):
+            assert entry.rating == pytest.approx(expected, abs=1e-5)
+            assert entry.rating == pytest.approx(score(row.userId, entry.productId), abs=1e-5)
+    errors = [(r.rating - score(r.userId, r.productId)) ** 2 for r in rated.collect()]
+    rmse = als.als_rmse(model, rated).collect()[0].rmse
+    assert rmse == pytest.approx(math.sqrt(sum(errors) / len(errors)), rel=1e-5)
+
+
 def test_fit_drops_null_ratings(spark, rated):
     holes = spark.createDataFrame([(None, 1, 5), (1, None, 5), (1, 1, None)], rated.schema)
     model = als.fit_als(rated.union(holes), "productId", blocks=2, checkpoint=False)
@@ -209,6 +227,16 @@ def test_frequency_and_money_scores(spark):
     assert {m: total[f"m{m}"] for m in money} == money
 
 
+def test_weighted_points_have_the_centres_of_the_members(spark):
+    """One pass over weighted points moves the centres to the means of all members."""
+    listed = [(f"a{i}", 1, 1, 1) for i in range(30)] + [(f"b{i}", 1, 2, 1) for i in range(10)]
+    listed += [(f"c{i}", 5, 5, 5) for i in range(7)]
+    schema = "memberId string, rencency int, frequency int, moneyTotal int"
+    model = rfm.fit_segments(spark.createDataFrame(listed, schema), k=2, iterations=5)
+    centres = sorted(tuple(round(float(x), 6) for x in c) for c in model.clusterCenters())
+    assert centres == [(1.0, 1.25, 1.0), (5.0, 5.0, 5.0)]
+
+
 def test_segments(spark):
     listed = [(f"{r}{f}{m}-{i}", r, f, m) for r in (1, 5) for f in (1, 5) for m in (1, 5) for i in range(9)]
     schema = "memberId string, rencency int, frequency int, moneyTotal int"

@@ -16,7 +16,7 @@ from tagloom.session import configure
 from tagloom.tags import attribute, behaviour, consumption
 
 SF = str(TESTDATA / "sf0.001")
-EAGER = {"profile_promote", "page_type_counts_staged", "rfm_segments"}
+EAGER = {"profile_promote", "profile_staged", "page_type_counts_staged", "rfm_segments"}
 LAZY = [n for n in QUERIES if not n.startswith("als_") and n not in EAGER]
 
 
