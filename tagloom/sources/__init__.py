@@ -8,6 +8,7 @@ from .profiles import (
     read_staged_tag,
     stage_tag,
     upsert_tag,
+    upsert_tags,
     write_profile,
 )
 from .tables import load_goods, load_logs, load_orders, load_table, load_users
@@ -26,5 +27,6 @@ __all__ = [
     "shared_folder",
     "stage_tag",
     "upsert_tag",
+    "upsert_tags",
     "write_profile",
 ]

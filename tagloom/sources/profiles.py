@@ -41,23 +41,34 @@ def read_staged_tag(
     return reader.load(f"{target}/{TAG_PREFIX}{name}")
 
 
-def upsert_tag(profile: DataFrame, tag: DataFrame, name: str, key: str = "id") -> DataFrame:
-    """`profile` with the column `name` replaced for every id of `tag`.
+def upsert_tags(
+    profile: DataFrame, tags: DataFrame, names: Sequence[str], key: str = "id"
+) -> DataFrame:
+    """`profile` with the columns `names` replaced for every id of `tags`, in one join.
 
-    A row of `tag` wins even if its value is null; other ids keep what they
-    have, and new ids are added. `tag` holds one row per id.
+    A row of `tags` wins even where its value is null; other ids keep what they
+    have, and new ids are added. `tags` holds one row per id.
     """
-    column = F.col(name) if name in profile.columns else F.lit(None).cast("string")
-    old = profile.withColumn("_old", column).drop(name)
-    new = tag.select(
+    new = tags.select(
         F.col(key).cast("string").alias(key),
-        F.col(name).cast("string").alias("_new"),
+        *[F.col(n).cast("string").alias(f"_new_{n}") for n in names],
         F.lit(True).alias("_hit"),
     )
-    merged = old.join(new, key, "full")
-    value = F.when(F.col("_hit"), F.col("_new")).otherwise(F.col("_old")).alias(name)
-    order = profile.columns if name in profile.columns else [*profile.columns, name]
-    return merged.select(*[value if c == name else F.col(c) for c in order])
+    merged = profile.join(new, key, "full")
+
+    def value(name):
+        if name not in names:
+            return F.col(name)
+        old = F.col(name) if name in profile.columns else F.lit(None).cast("string")
+        return F.when(F.col("_hit"), F.col(f"_new_{name}")).otherwise(old).alias(name)
+
+    added = [n for n in names if n not in profile.columns]
+    return merged.select(*[value(n) for n in [*profile.columns, *added]])
+
+
+def upsert_tag(profile: DataFrame, tag: DataFrame, name: str, key: str = "id") -> DataFrame:
+    """`upsert_tags` of a single column."""
+    return upsert_tags(profile, tag, [name], key)
 
 
 def write_profile(

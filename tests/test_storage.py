@@ -59,6 +59,16 @@ def test_upsert_adds_a_column(spark, profile):
     assert rows(found) == {("1", "男", "低", "x"), ("2", "女", "高", None)}
 
 
+def test_several_columns_are_upserted_in_one_join(spark, profile):
+    new = spark.createDataFrame(
+        [(2, "中", "x"), (3, None, "y")], "id int, returnRate string, job string"
+    )
+    found = s.upsert_tags(profile, new, ["returnRate", "job"])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join FullOuter") == 1
+    assert found.columns == ["id", "gender", "returnRate", "job"]
+    assert rows(found) == {("1", "男", "低", None), ("2", "女", "中", "x"), ("3", None, None, "y")}
+
+
 def test_staging_replaces_the_whole_tag(spark, tmp_path):
     folder = str(tmp_path)
     s.stage_tag(tag(spark, (1, "低"), (2, "低")), "returnRate", folder)
