@@ -202,6 +202,18 @@ def test_a_hot_mobile_prefix_is_split_in_the_join(spark, small_partitions):
     assert found.count() == 300000
 
 
+def test_hot_latest_rows_are_split_in_the_join(spark, small_partitions):
+    """Most rows share one key and its newest second; all of them are kept."""
+    table = spark.range(300000).select(
+        F.when(hot(), F.lit("7")).otherwise(number(1, 900)).alias("memberId"),
+        F.hash("id").cast("string").alias("orderSn"),
+        F.when(hot(), F.lit("99")).otherwise(number(2, 50)).alias("finishTime"),
+    )
+    found = behaviour.latest_orders(table, max_id=None)
+    assert is_split(found)
+    assert found.where("id = '7'").count() == 240000
+
+
 def test_a_hot_last_product_is_split_in_the_join(spark, small_partitions):
     """The same product is the last one of most users; ids are text, as the names' key is."""
     views = spark.range(300000).select(
