@@ -113,7 +113,9 @@ JOBS: dict[str, Job] = {
     "favorProducts": lambda t: als.favor_products(
         als.recommend(t.model(ratings.product_ratings(t.logs), "productId"), 10)
     ),
-    "profile": lambda t: build_profile(t.users, t.orders, t.goods, t.logs, max_id=t.max_id),
+    "profile": lambda t: build_profile(
+        t.users, t.orders, t.goods, t.logs, t.prefixes, max_id=t.max_id
+    ),
 }
 
 

@@ -56,9 +56,13 @@ def test_every_job_gives_one_row_per_user(spark, shop, tag):
     assert found.count() == found.select("id").distinct().count() > 0
 
 
-def test_jobs_cover_the_profile(spark, shop):
-    made = {c for t in job.JOBS if not t.startswith("favor") for c in job.JOBS[t](job.Tables(spark, shop)).columns}
-    assert {t for t in schemas.PROFILE_TAGS if not t.startswith("favor")} <= made
+def test_the_profile_job_makes_every_tag_but_the_preferences(spark, shop):
+    made = job.JOBS["profile"](job.Tables(spark, shop))
+    tags = [t for t in schemas.PROFILE_TAGS if not t.startswith("favor")]
+    assert made.columns == ["id", *tags]
+    singles = {t: pairs(job.JOBS[t](job.Tables(spark, shop)), "id", t) for t in ("nativePlace", "deviceType")}
+    for tag, expected in singles.items():
+        assert pairs(made.where(f"{tag} IS NOT NULL"), "id", tag) == expected
 
 
 def test_stage_then_promote(spark, shop, tmp_path):
