@@ -35,4 +35,48 @@ SELECT doc_id, n::BIGINT AS n_shingles, min(b) AS component_id, doc_id = min(b)
 FROM sizes JOIN reach ON a = doc_id GROUP BY doc_id, n
 """
 
-SQL = {"op4_minhash_near_dedup": OP4}
+#: Counts per document, rule failures per host, rates shrunk by a beta prior.
+OP1 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT r, i, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d)
+), twice AS (
+  SELECT r, g FROM windows GROUP BY r, g HAVING count(*) > 1
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (
+    SELECT r, unnest(range(i, i + 5)) AS p FROM windows JOIN twice USING (r, g)) GROUP BY r
+), lines AS (
+  SELECT r, line, count(*) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r, line
+), line_counts AS (
+  SELECT r, sum(n) AS n_lines, sum(n - 1) AS n_dup FROM lines GROUP BY r
+), m AS (
+  SELECT d.r, doc_id, host, len(w)::BIGINT AS n_words,
+    coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(n_lines, 0)::BIGINT AS n_lines
+  FROM d LEFT JOIN covered USING (r) LEFT JOIN line_counts USING (r)
+), j AS (
+  SELECT *, n_words < 10 AS f1, 100 * n_repeat_words > 20 * n_words AS f2,
+    10 * n_symbols > n_words AS f3, 100 * n_dup_lines > 30 * n_lines AS f4 FROM m
+), failed AS (
+  SELECT host, rule, count(*) AS n, sum(f::INT) AS f
+  FROM (SELECT host, unnest([1, 2, 3, 4]) AS rule, unnest([f1, f2, f3, f4]) AS f FROM j) GROUP BY host, rule
+), prior AS (
+  SELECT rule, sum(f) / sum(n) AS p, avg(pow(f / n - q, 2)) AS v
+  FROM failed JOIN (SELECT rule, sum(f) / sum(n) AS q FROM failed GROUP BY rule) USING (rule) GROUP BY rule
+), strength AS (
+  SELECT rule, p, CASE WHEN v > 0 THEN least(1000, greatest(1, p * (1 - p) / v - 1)) ELSE 1000 END AS s FROM prior
+), verdict AS (
+  SELECT host, max((f + p * s) / (n + s)) > 0.5 AS rejected FROM failed JOIN strength USING (rule) GROUP BY host
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
+  NOT (f1 OR f2 OR rejected) AS kept
+FROM j JOIN verdict USING (host)
+"""
+
+SQL = {"op1_host_quality_rules": OP1, "op4_minhash_near_dedup": OP4}
