@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 from collections.abc import Iterator
 

@@ -79,4 +79,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 O
 FROM j JOIN verdict USING (host)
 """
 
-SQL = {"op1_host_quality_rules": OP1, "op4_minhash_near_dedup": OP4}
+#: Signs of the vectors, all rows against every query.
+OP5 = r"""
+WITH c AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS b FROM embeddings
+), d AS (
+  SELECT q.vec_id AS query_id, o.vec_id,
+    list_sum(list_transform(range(1, len(q.b) + 1), lambda i: (q.b[i] != o.b[i])::INT))::INT AS distance
+  FROM c q JOIN c o ON q.vec_id != o.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INT AS rank, vec_id, distance
+FROM d QUALIFY rank <= 10
+"""
+
+SQL = {"op1_host_quality_rules": OP1, "op4_minhash_near_dedup": OP4, "op5_hamming_top_k": OP5}
