@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm import textcols as T
 from tagloom.llm.lsh import similar_components
-from tagloom.llm.narrow import possible, residues
+from tagloom.llm.narrow import fresh, possible, residues
 from tagloom.llm.scratch import Scratch
 
 #: Characters of a shingle; shorter lines than LEAST characters are left alone.
@@ -170,16 +170,20 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     Shorter and blank lines stay. n_chars, where there is such a column, follows the new text.
 
     Rows without a doc_id or text stay as they are. Rows that share a doc_id are copies of one document: each
-    keeps that document's first lines. An empty table gives no rows.
+    keeps that document's first lines. Columns of `docs` called _removed and _left are replaced. An empty
+    table gives no rows.
     """
+    docs = docs.drop("_removed", "_left")
+    key, drop = fresh(docs, "_doc"), fresh(docs, "_drop")
     scratch = Scratch(docs.sparkSession, "lines")
     dropped = repeated_lines(docs.select("doc_id", "text"), scratch)
-    gone = residues(dropped.withColumnRenamed("doc_id", "_doc"), "_doc")
-    keyed = docs.withColumn("_doc", F.col("doc_id").cast("long"))
+    dropped = dropped.select(F.col("doc_id").alias(key), F.col("drop").alias(drop))
+    gone = residues(dropped, key)
+    keyed = docs.withColumn(key, F.col("doc_id").cast("long"))
     names = docs.columns
     left = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
-    untouched = possible(keyed, gone, "_doc", within=False).select(*names, F.lit(0).alias("_removed"), left.alias("_left"))
-    touched = possible(keyed, gone, "_doc").join(dropped.withColumnRenamed("doc_id", "_doc"), "_doc", "left")
+    untouched = possible(keyed, gone, key, within=False).select(*names, F.lit(0).alias("_removed"), left.alias("_left"))
+    touched = possible(keyed, gone, key).join(dropped, key, "left")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -191,17 +195,17 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
                     (r, i): h for r, i, h in zip(found["row"].tolist(), found["line"].tolist(), found["h1"].view(np.int64).tolist())
                 }
                 for r in range(len(part)):
-                    drop = batch["drop"].iloc[part.first + r]
-                    if drop is None or not len(drop):
+                    marked = batch[drop].iloc[part.first + r]
+                    if marked is None or not len(marked):
                         continue
-                    out_of = {d["line"] for d in drop if content.get((r, d["line"])) == d["h1"]}
+                    out_of = {d["line"] for d in marked if content.get((r, d["line"])) == d["h1"]}
                     rows = part.text(r).split("\n")
                     out[part.first + r] = "\n".join(x for i, x in enumerate(rows) if i not in out_of)
                     removed[part.first + r] = len(out_of)
-            yield batch.drop(columns="drop").assign(text=out, _removed=removed)
+            yield batch.drop(columns=drop).assign(text=out, _removed=removed)
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + ", _removed int"
-    cut_rows = touched.select(*names, "drop").mapInPandas(cut, schema).withColumn("_left", left)
+    cut_rows = touched.select(*names, drop).mapInPandas(cut, schema).withColumn("_left", left)
     both = untouched.unionByName(cut_rows)
     if "n_chars" in names:
         length = F.length("text").cast(dict(docs.dtypes)["n_chars"])

@@ -39,15 +39,17 @@ ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 WORD = re.compile(r"\S+")
 
 #: (kind of token, score) before any page is seen; pages count in addition to PRIOR tokens of it.
-START = {"word": 1.0, "link": -1.0, "aside": -3.0, "tag": -0.5}
+START = {"word": 1.0, "link": -1.0, "aside": -3.0, "tag": -0.5, "edge": -8.0}
 PRIOR = 50
+#: A run of text beside the content costs no more than this, as it is left out of the result anyway.
+ASIDE_COST = -1.0
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     """(kind, text, begins a block, lies in a labelled article) of each token in page order.
 
     Kinds: word (a run of text), link (text of a link), aside (text of an element that
-    is not content by its name or class), tag. Elements left open end with what holds them.
+    is not content by its name or class), tag, edge (a tag of an article or main element). Elements left open end with what holds them.
     """
     held: list[tuple[str, bool]] = []
     link = asides = articles = 0
@@ -92,7 +94,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                 held.append((name, aside))
                 asides += aside
                 articles += name in ("article", "main")
-        yield "tag", name, name in BLOCKS, articles > 0
+        yield ("edge" if name in ("article", "main") else "tag"), name, name in BLOCKS, articles > 0
     if at < len(page):
         yield ("aside" if asides else "link" if link else "word"), page[at:], new_block, articles > 0
 
@@ -110,7 +112,7 @@ def learnt(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
             seen: dict[tuple[str, bool], int] = {}
             for page in batch["html"]:
                 for kind, text, _, inside in tokens(page):
-                    n = 1 if kind == "tag" else len(WORD.findall(text))
+                    n = 1 if kind in ("tag", "edge") else len(WORD.findall(text))
                     seen[kind, inside] = seen.get((kind, inside), 0) + n
             yield pd.DataFrame([(k, i, n) for (k, i), n in seen.items()], columns=["kind", "inside", "n"])
 
@@ -128,7 +130,9 @@ def learnt(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
         "word": max(weights["word"], 0.5),
         "link": min(weights["link"], 0.0),
         "aside": min(weights["aside"], -1.0),
-        "tag": -min(max(-weights["tag"], 0.1), 1.0) if weights["tag"] < 0 else -0.1,
+        "tag": min(max(weights["tag"], -1.0), -0.1),
+        # Content seldom goes on beyond the element that the publisher marks.
+        "edge": START["edge"],
     }
 
 
@@ -152,14 +156,19 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
     first = start = 0
     stop = -1
     for i, (kind, text, _, _) in enumerate(listed):
-        total += weights[kind] * (1 if kind == "tag" else len(WORD.findall(text)))
+        if kind in ("tag", "edge"):
+            total += weights[kind]
+        elif kind == "aside":
+            total += max(weights[kind] * len(WORD.findall(text)), ASIDE_COST)
+        else:
+            total += weights[kind] * len(WORD.findall(text))
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best:
             best, first, stop = total, start, i
     out = []
     for kind, text, block, _ in listed[first : stop + 1]:
-        if kind == "tag":
+        if kind in ("tag", "edge"):
             out.append(" " if block else "")
         elif kind != "aside":
             out.append(entities.unescape(text))

@@ -62,13 +62,15 @@ def mixed(
 
     Tokens are words; documents without words (null, empty) weigh nothing and are
     taken once. A null source is a source of its own, apart from the empty one. Repeated rows are dealt like others.
-    An empty table gives no rows.
+    A column of `docs` called _mix is
+    replaced. An empty table gives no rows.
     """
-    counted = docs.withColumn(
-        "_tokens", F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    )
+    # The row travels as one value, so that no name of its columns is in the way.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "_mix"])
+    words = F.regexp_count(F.col("text").cast("string"), F.lit(WORD))
+    counted = docs.select(row.alias("_row"), F.coalesce(words, F.lit(0)).cast("long").alias("_tokens"))
     # The source as a key that is never null.
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("null"))
+    key = F.coalesce(F.concat(F.lit("s"), F.col("_row.source").cast("string")), F.lit("null"))
     counted = counted.withColumn("_source", key)
     scratch = Scratch(docs.sparkSession, "mixing")
     totals = counted.where("_tokens > 0").groupBy("_source").agg(F.sum("_tokens").alias("total"))
@@ -83,11 +85,11 @@ def mixed(
     blocks = F.ceil(F.col("total") / F.lit(block_tokens)).cast("long")
     plan = shares.select("_source", epochs.alias("_epochs"), blocks.alias("_blocks"))
     dealt = counted.join(plan, "_source", "left").withColumn(
-        "_block", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1), F.xxhash64("text")), F.coalesce("_blocks", F.lit(1)))
+        "_block", F.pmod(F.xxhash64("_row.doc_id", F.lit(seed + 1), F.xxhash64("_row.text")), F.coalesce("_blocks", F.lit(1)))
     )
     # Documents without words, or whose source has none, are taken once, outside the blocks.
     taken = (F.col("_tokens") > 0) & F.col("_epochs").isNotNull()
-    order = [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id"), F.xxhash64("text")]
+    order = [F.xxhash64("_row.doc_id", F.lit(seed)), F.col("_row.doc_id"), F.xxhash64("_row.text")]
     in_block = Window.partitionBy("_source", "_block")
     before = F.sum("_tokens").over(in_block.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     full = F.floor(F.col("_epochs") + F.lit(1e-9))
@@ -96,13 +98,15 @@ def mixed(
     more = F.when(F.col("_before") + F.col("_tokens") / 2 <= F.col("_rest"), 1).otherwise(0)
     ranked = ranked.withColumn("_copies", (full + more).cast("int"))
     rest = dealt.where(~taken).withColumn("_copies", F.lit(1))
-    names = docs.columns
-    kept = [*names, "_tokens", "_epochs", "_block", "_copies"]
+    kept = ["_row", "_tokens", "_epochs", "_block", "_copies"]
     both = ranked.select(kept).unionByName(rest.select(kept)).where("_copies > 0")
     return both.select("*", F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).select(
-        *names,
+        "_row.*",
         F.struct(
-            F.col("_tokens").alias("n_tokens"), F.col("_epochs").alias("epochs"), F.col("_copy").alias("copy"), F.col("_block").alias("block")
+            F.col("_tokens").alias("n_tokens"),
+            F.col("_epochs").alias("epochs"),
+            F.col("_copy").alias("copy"),
+            F.col("_block").alias("block"),
         ).alias("_mix"),
     )
 

@@ -27,3 +27,11 @@ def possible(df: DataFrame, kept: DataFrame, *names: str, within: bool = True) -
     """
     how = "left_semi" if within else "left_anti"
     return df.join(F.broadcast(kept), _residue(*[df[n] for n in names]) == kept["_residue"], how)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, with underscores before it until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
