@@ -19,8 +19,10 @@ def member_tail_user(df: DataFrame, name: str = "memberId", digits: int = 3) ->
     return F.substring(text, -digits, digits).try_cast("int")
 
 
-def within(df: DataFrame, max_id: int | None, key: str = "id") -> DataFrame:
-    """Rows of known users; a null id is never known, `None` only drops nulls."""
-    if max_id is None:
-        return df.where(F.col(key).isNotNull())
-    return df.where(F.col(key) <= max_id)
+def within(df: DataFrame, known: DataFrame | None = None, key: str = "id") -> DataFrame:
+    """Rows whose user is in `known` (a table of users with a column id); `None` only drops nulls."""
+    rows = df.where(F.col(key).isNotNull())
+    if known is None:
+        return rows
+    ids = known.select(whole_number(known, "id", "bigint").alias("_known")).distinct()
+    return rows.join(ids, F.col(key).cast("bigint") == F.col("_known"), "left_semi")

@@ -41,8 +41,9 @@ from tagloom.tags import dictionaries as d
 class Tables:
     """The shop tables below a folder; each is read when it is asked for."""
 
-    def __init__(self, spark: SparkSession, folder: str, max_id: int | None = d.MAX_ID):
-        self.spark, self.folder, self.max_id = spark, folder.rstrip("/"), max_id
+    def __init__(self, spark: SparkSession, folder: str, known_only: bool = False):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.known = self.users if known_only else None
 
     @property
     def users(self) -> DataFrame:
@@ -79,31 +80,31 @@ JOBS: dict[str, Job] = {
     "nativeProvince": lambda t: attribute.mobile_region(
         t.users, t.prefixes, "province", "nativeProvince"
     ),
-    "browseFrequency": lambda t: behaviour.browse_frequency(t.logs, max_id=t.max_id),
-    "loginFrequency": lambda t: behaviour.login_frequency(t.logs, max_id=t.max_id),
+    "browseFrequency": lambda t: behaviour.browse_frequency(t.logs, known=t.known),
+    "loginFrequency": lambda t: behaviour.login_frequency(t.logs, known=t.known),
     "PageBrowse": lambda t: behaviour.page_type_counts(t.logs),
-    "browsePeriod": lambda t: behaviour.browse_period(t.logs, max_id=t.max_id),
-    "browseTime": lambda t: behaviour.browse_time(t.logs, max_id=t.max_id),
-    "deviceType": lambda t: behaviour.device_type(t.logs, max_id=t.max_id),
-    "lastLogin": lambda t: behaviour.last_login(t.users, max_id=t.max_id),
-    "urlBrowse": lambda t: behaviour.url_browse(t.logs, max_id=t.max_id),
+    "browsePeriod": lambda t: behaviour.browse_period(t.logs, known=t.known),
+    "browseTime": lambda t: behaviour.browse_time(t.logs, known=t.known),
+    "deviceType": lambda t: behaviour.device_type(t.logs, known=t.known),
+    "lastLogin": lambda t: behaviour.last_login(t.users, known=t.known),
+    "urlBrowse": lambda t: behaviour.url_browse(t.logs, known=t.known),
     "productName": lambda t: first_by_name(
-        behaviour.last_browsed_product(t.logs, t.goods, max_id=t.max_id), "productName"
+        behaviour.last_browsed_product(t.logs, t.goods, known=t.known), "productName"
     ),
     "purchaseName": lambda t: first_by_name(
-        behaviour.purchased_products(t.orders, t.goods, t.max_id), "purchaseName"
+        behaviour.purchased_products(t.orders, t.goods, t.known), "purchaseName"
     ),
-    "purchaseFrequency": lambda t: consumption.order_frequency(t.orders, max_id=t.max_id),
-    "consumptionPower": lambda t: consumption.order_amount_band(t.orders, "sum", max_id=t.max_id),
-    "monovalent": lambda t: consumption.order_amount_band(t.orders, "avg", max_id=t.max_id),
-    "maxAmount": lambda t: consumption.order_amount_band(t.orders, "max", max_id=t.max_id),
-    "consumptionCycle": lambda t: consumption.purchase_cycle(t.orders, max_id=t.max_id),
-    "returnRate": lambda t: consumption.status_rate(t.orders, d.RETURNED, max_id=t.max_id),
-    "exchangeRate": lambda t: consumption.status_rate(t.orders, d.EXCHANGED, max_id=t.max_id),
+    "purchaseFrequency": lambda t: consumption.order_frequency(t.orders, known=t.known),
+    "consumptionPower": lambda t: consumption.order_amount_band(t.orders, "sum", known=t.known),
+    "monovalent": lambda t: consumption.order_amount_band(t.orders, "avg", known=t.known),
+    "maxAmount": lambda t: consumption.order_amount_band(t.orders, "max", known=t.known),
+    "consumptionCycle": lambda t: consumption.purchase_cycle(t.orders, known=t.known),
+    "returnRate": lambda t: consumption.status_rate(t.orders, d.RETURNED, known=t.known),
+    "exchangeRate": lambda t: consumption.status_rate(t.orders, d.EXCHANGED, known=t.known),
     "consultationFrequency": lambda t: consumption.status_rate(
-        t.orders, d.CONSULTED, max_id=t.max_id
+        t.orders, d.CONSULTED, known=t.known
     ),
-    "paymentMode": lambda t: consumption.payment_mode(t.orders, t.max_id),
+    "paymentMode": lambda t: consumption.payment_mode(t.orders, t.known),
     "favorBrand": lambda t: als.favor_brands(
         als.recommend(t.model(ratings.brand_ratings(t.goods, t.logs), "brandId"), 2)
     ),
@@ -114,7 +115,7 @@ JOBS: dict[str, Job] = {
         als.recommend(t.model(ratings.product_ratings(t.logs), "productId"), 10)
     ),
     "profile": lambda t: build_profile(
-        t.users, t.orders, t.goods, t.logs, t.prefixes, max_id=t.max_id
+        t.users, t.orders, t.goods, t.logs, t.prefixes, known=t.known
     ),
 }
 
@@ -124,9 +125,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.promote:
         if profile is None:
             raise ValueError("--promote needs the --profile that takes the tag")
-        write_profile(promote_tag(spark, args.tag, args.promote, profile, args.max_id), args.out)
+        write_profile(promote_tag(spark, args.tag, args.promote, profile), args.out)
         return
-    tag = JOBS[args.tag](Tables(spark, args.tables, args.max_id))
+    tag = JOBS[args.tag](Tables(spark, args.tables, args.known_users))
     if args.stage:
         stage_tag(tag, args.tag, args.stage)
     if args.out:
@@ -144,10 +145,7 @@ def parse(argv=None) -> argparse.Namespace:
     parser.add_argument("--profile", help="profile that takes the tag; none: a new one")
     parser.add_argument("--out", help="new folder that takes the profile")
     parser.add_argument(
-        "--max-id",
-        type=lambda text: None if text == "none" else int(text),
-        default=d.MAX_ID,
-        help='greatest known user id, or "none"',
+        "--known-users", action="store_true", help="keep only users of the users table"
     )
     return parser.parse_args(argv)
 

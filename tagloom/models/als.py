@@ -13,20 +13,23 @@ from ..sources.checkpoints import checkpointed
 from ..tags import dictionaries as d
 
 
+#: Blocks of users and items, whatever the cluster.
+BLOCKS = 10
+
+
 def fit_als(
     ratings: DataFrame,
     item: str,
     seed: int = 0,
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
     checkpoint: bool = True,
 ) -> ALSModel:
     """Implicit factorisation of (userId, item, rating).
 
     The ratings are written once to the shared checkpoint folder, so that a lost
     executor does not send the iterations back to the logs. `blocks` is the
-    number of user and item blocks, by default as many as the session runs tasks
-    at a time. Every pair of blocks exchanges factors, so the default stays under
-    a thousand.
+    number of user and item blocks. Factors start from random values per block, so the
+    model depends on it, and on nothing of the session: raise it with the ratings.
     """
     rows = ratings.select("userId", item, F.col("rating").cast("float").alias("rating"))
     rows = rows.dropna()
@@ -44,8 +47,7 @@ def fit_als(
         coldStartStrategy="drop",
         seed=seed,
     ).setPredictionCol("predict")
-    parallel = rows.sparkSession.sparkContext.defaultParallelism
-    return als.setNumBlocks(blocks or min(1000, parallel)).fit(rows)
+    return als.setNumBlocks(blocks).fit(rows)
 
 
 def save_model(model: ALSModel, path: str) -> None:

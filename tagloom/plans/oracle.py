@@ -122,7 +122,7 @@ def _wide(parts: dict[str, str]) -> str:
 
 def _known(sql: str) -> str:
     """The rows of known users."""
-    return f"SELECT * FROM ({sql}) q WHERE CAST(id AS BIGINT) <= 950"
+    return f"SELECT * FROM ({sql}) q WHERE CAST(id AS BIGINT) IN (SELECT c_custkey FROM customer)"
 
 
 SQL: dict[str, str] = {}
@@ -357,8 +357,8 @@ SQL["purchased_products_latest"] = _purchases(
     "(SELECT max(finished) FROM shop_orders t WHERE t.uid = s.uid))"
 )
 SQL["purchased_product_list"] = f"""
-SELECT id, 0 AS part, string_agg("purchaseName", ',' ORDER BY "purchaseName") AS "productPurchased"
-FROM ({SQL["purchased_products"]}) p GROUP BY id"""
+SELECT id, CAST(CAST("productId" AS BIGINT) // 100000 AS INTEGER) AS part, string_agg("purchaseName", ',' ORDER BY "purchaseName") AS "productPurchased"
+FROM ({SQL["purchased_products"]}) p GROUP BY 1, 2"""
 SQL["latest_orders"] = _with(
     """SELECT CAST(uid AS VARCHAR) AS id, CAST(sn AS VARCHAR) AS "orderSn", finished AS "finishTime"
 FROM (SELECT uid, sn, finished, max(finished) OVER (PARTITION BY uid) AS newest
@@ -689,7 +689,7 @@ FULL JOIN ({_FINISHED_COUNT}) n ON n.id = p.id"""
 SQL["profile_promote"] = _wide(
     {
         "gender": SQL["attr_gender"],
-        "exchangeRate": _known(SQL["exchange_rate_scaled"]),
+        "exchangeRate": SQL["exchange_rate_scaled"],
         "consultationFrequency": SQL["consultation_frequency_scaled"],
     }
 )

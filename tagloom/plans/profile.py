@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..sources.schemas import PROFILE_TAGS
 from ..tags import attribute, behaviour, consumption
-from ..tags import dictionaries as d
 
 
 def merge_tags(parts: Sequence[DataFrame], key: str = "id") -> DataFrame:
@@ -38,7 +37,7 @@ def build_profile(
     logs: DataFrame,
     prefixes: DataFrame | None = None,
     extra: Sequence[DataFrame] = (),
-    max_id: int | None = d.MAX_ID,
+    known: DataFrame | None = None,
     staging: str | None = None,
 ) -> DataFrame:
     """Every tag of every user; `extra` holds further parts, such as preferences.
@@ -50,14 +49,14 @@ def build_profile(
     """
     parts = [
         attribute.user_attributes(users),
-        behaviour.last_login(users, max_id=max_id),
-        behaviour.page_tags(logs, max_id),
-        behaviour.activity_tags(logs, max_id),
-        behaviour.browse_time(logs, max_id=max_id),
-        first_by_name(behaviour.last_browsed_product(logs, goods, max_id=max_id), "productName"),
-        first_by_name(behaviour.purchased_products(orders, goods, max_id), "purchaseName"),
-        consumption.order_tags(orders, max_id),
-        consumption.payment_mode(orders, max_id),
+        behaviour.last_login(users, known=known),
+        behaviour.page_tags(logs, known),
+        behaviour.activity_tags(logs, known),
+        behaviour.browse_time(logs, known=known),
+        first_by_name(behaviour.last_browsed_product(logs, goods, known=known), "productName"),
+        first_by_name(behaviour.purchased_products(orders, goods, known), "purchaseName"),
+        consumption.order_tags(orders, known),
+        consumption.payment_mode(orders, known),
     ]
     if prefixes is not None:
         parts.append(

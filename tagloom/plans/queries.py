@@ -1,7 +1,7 @@
 """Every operator as a query over the sample tables: name -> (spark, folder) -> DataFrame.
 
-The queries keep every id. Those named "_known" leave out the ids above the last
-known user, as the tags do unless told otherwise.
+The queries keep every id, as the tags do unless told otherwise. Those named "_known" keep
+the users of the users table.
 """
 
 from __future__ import annotations
@@ -107,41 +107,43 @@ def _native_province(spark, sf_dir):
 
 # --- behaviour ---
 
-_over("browse_frequency", sample.logs, lambda t: behaviour.browse_frequency(t, max_id=None, with_metric=True))
+_over("browse_frequency", sample.logs, lambda t: behaviour.browse_frequency(t, with_metric=True))
 _over(
     "browse_frequency_scaled",
     sample.logs,
-    lambda t: behaviour.browse_frequency(t, v.BROWSE, max_id=None, with_metric=True),
+    lambda t: behaviour.browse_frequency(t, v.BROWSE, with_metric=True),
 )
-_over("login_frequency", sample.logs, lambda t: behaviour.login_frequency(t, max_id=None, with_metric=True))
+_over("login_frequency", sample.logs, lambda t: behaviour.login_frequency(t, with_metric=True))
 _over(
     "login_frequency_scaled",
     sample.logs,
-    lambda t: behaviour.login_frequency(t, v.LOGIN, max_id=None, with_metric=True),
+    lambda t: behaviour.login_frequency(t, v.LOGIN, with_metric=True),
 )
 _over(
     "order_page_frequency",
     sample.logs,
     lambda t: behaviour.event_frequency(
-        t, "orderPageFrequency", d.ORDER_PAGES, [(15, "高"), (10, "中")], "低", max_id=None, with_metric=True
+        t, "orderPageFrequency", d.ORDER_PAGES, [(15, "高"), (10, "中")], "低", with_metric=True
     ),
 )
 _over("page_type_counts", sample.logs, behaviour.page_type_counts)
-_over("browse_period", sample.logs, lambda t: behaviour.browse_period(t, max_id=None, with_metric=True))
-_over("browse_time", sample.logs, lambda t: behaviour.browse_time(t, max_id=None, with_metric=True))
+_over("browse_period", sample.logs, lambda t: behaviour.browse_period(t, with_metric=True))
+_over("browse_time", sample.logs, lambda t: behaviour.browse_time(t, with_metric=True))
 _over(
     "browse_time_scaled",
     sample.logs,
-    lambda t: behaviour.browse_time(t, v.GAP, max_id=None, with_metric=True),
+    lambda t: behaviour.browse_time(t, v.GAP, with_metric=True),
 )
-_over("device_type", sample.logs, lambda t: behaviour.device_type(t, max_id=None, with_metric=True))
-_over("log_tags", sample.logs, lambda t: behaviour.log_tags(t, max_id=None))
-_over("log_tags_known", sample.logs, behaviour.log_tags)
-_over("url_browse", sample.logs, lambda t: behaviour.url_browse(t, max_id=None, with_metric=True))
+_over("device_type", sample.logs, lambda t: behaviour.device_type(t, with_metric=True))
+_over("log_tags", sample.logs, lambda t: behaviour.log_tags(t))
+query("log_tags_known")(
+    lambda spark, sf_dir: behaviour.log_tags(sample.logs(spark, sf_dir), known=sample.users(spark, sf_dir))
+)
+_over("url_browse", sample.logs, lambda t: behaviour.url_browse(t, with_metric=True))
 _over(
     "url_browse_most",
     sample.logs,
-    lambda t: behaviour.url_browse(t, ascending=False, max_id=None, with_metric=True),
+    lambda t: behaviour.url_browse(t, ascending=False, with_metric=True),
 )
 
 
@@ -149,26 +151,30 @@ def _users_with_login(spark, sf_dir):
     return sample.users(spark, sf_dir, last_login=True)
 
 
-_over("last_login_known", _users_with_login, lambda t: behaviour.last_login(t, with_metric=True))
-_over("last_login", _users_with_login, lambda t: behaviour.last_login(t, max_id=None, with_metric=True))
+query("last_login_known")(
+    lambda spark, sf_dir: behaviour.last_login(
+        _users_with_login(spark, sf_dir), known=sample.users(spark, sf_dir), with_metric=True
+    )
+)
+_over("last_login", _users_with_login, lambda t: behaviour.last_login(t, with_metric=True))
 _over(
     "last_login_scaled",
     _users_with_login,
-    lambda t: behaviour.last_login(t, max_id=None, with_metric=True, unit_seconds=v.LOGIN_AGE_UNIT),
+    lambda t: behaviour.last_login(t, with_metric=True, unit_seconds=v.LOGIN_AGE_UNIT),
 )
 
 
 @query("last_browsed_product")
 def _last_browsed(spark, sf_dir):
     return behaviour.last_browsed_product(
-        sample.logs(spark, sf_dir), sample.goods(spark, sf_dir), max_id=None
+        sample.logs(spark, sf_dir), sample.goods(spark, sf_dir)
     )
 
 
 @query("last_browsed_product_referrer")
 def _last_referred(spark, sf_dir):
     return behaviour.last_browsed_product(
-        sample.logs(spark, sf_dir), sample.goods(spark, sf_dir), by="ref_url", max_id=None
+        sample.logs(spark, sf_dir), sample.goods(spark, sf_dir), by="ref_url"
     )
 
 
@@ -180,37 +186,37 @@ def _last_browsed_first(spark, sf_dir):
 @query("purchased_products")
 def _purchased(spark, sf_dir):
     return behaviour.purchased_products(
-        sample.orders(spark, sf_dir), sample.goods(spark, sf_dir), max_id=None
+        sample.orders(spark, sf_dir), sample.goods(spark, sf_dir)
     )
 
 
 @query("purchased_products_latest")
 def _purchased_latest(spark, sf_dir):
     return behaviour.purchased_products(
-        sample.orders(spark, sf_dir), sample.goods(spark, sf_dir), max_id=None, latest_only=True
+        sample.orders(spark, sf_dir), sample.goods(spark, sf_dir), latest_only=True
     )
 
 
 @query("purchased_product_list")
 def _purchased_list(spark, sf_dir):
     return behaviour.purchased_product_list(
-        sample.orders(spark, sf_dir), sample.goods(spark, sf_dir), max_id=None
+        sample.orders(spark, sf_dir), sample.goods(spark, sf_dir)
     )
 
 
-_over("latest_orders", sample.orders, lambda t: behaviour.latest_orders(t, max_id=None))
+_over("latest_orders", sample.orders, lambda t: behaviour.latest_orders(t))
 
 # --- consumption ---
 
 _over(
     "purchase_frequency",
     sample.orders,
-    lambda t: consumption.order_frequency(t, max_id=None, with_metric=True),
+    lambda t: consumption.order_frequency(t, with_metric=True),
 )
 _over(
     "purchase_frequency_scaled",
     sample.orders,
-    lambda t: consumption.order_frequency(t, v.ORDER_COUNT, max_id=None, with_metric=True),
+    lambda t: consumption.order_frequency(t, v.ORDER_COUNT, with_metric=True),
 )
 for _name, _measure, _bands, _scale, _shift in (
     ("consumption_power", "sum", v.POWER, 2, 0.0),
@@ -221,25 +227,25 @@ for _name, _measure, _bands, _scale, _shift in (
         _name,
         sample.orders,
         lambda t, m=_measure, s=_scale, h=_shift: _rounded(
-            consumption.order_amount_band(t, m, max_id=None, with_metric=True), scale=s, shift=h
+            consumption.order_amount_band(t, m, with_metric=True), scale=s, shift=h
         ),
     )
     _over(
         f"{_name}_scaled",
         sample.orders,
         lambda t, m=_measure, b=_bands, s=_scale, h=_shift: _rounded(
-            consumption.order_amount_band(t, m, b, max_id=None, with_metric=True), scale=s, shift=h
+            consumption.order_amount_band(t, m, b, with_metric=True), scale=s, shift=h
         ),
     )
 _over(
     "consumption_cycle",
     sample.orders,
-    lambda t: _rounded(consumption.purchase_cycle(t, max_id=None, with_metric=True)),
+    lambda t: _rounded(consumption.purchase_cycle(t, with_metric=True)),
 )
 _over(
     "consumption_cycle_scaled",
     sample.orders,
-    lambda t: _rounded(consumption.purchase_cycle(t, v.CYCLE, max_id=None, with_metric=True)),
+    lambda t: _rounded(consumption.purchase_cycle(t, v.CYCLE, with_metric=True)),
 )
 for _name, _status, _bands in (
     ("return_rate", d.RETURNED, v.RETURN),
@@ -249,22 +255,24 @@ for _name, _status, _bands in (
     _over(
         _name,
         sample.orders,
-        lambda t, s=_status: _rounded(consumption.status_rate(t, s, max_id=None, with_metric=True)),
+        lambda t, s=_status: _rounded(consumption.status_rate(t, s, with_metric=True)),
     )
     _over(
         f"{_name}_scaled",
         sample.orders,
         lambda t, s=_status, b=_bands: _rounded(
-            consumption.status_rate(t, s, b, max_id=None, with_metric=True)
+            consumption.status_rate(t, s, b, with_metric=True)
         ),
     )
-_over("order_tags", sample.orders, lambda t: consumption.order_tags(t, max_id=None))
-_over("order_tags_known", sample.orders, consumption.order_tags)
-_over("payment_mode", sample.orders, lambda t: consumption.payment_mode(t, max_id=None, with_metric=True))
+_over("order_tags", sample.orders, lambda t: consumption.order_tags(t))
+query("order_tags_known")(
+    lambda spark, sf_dir: consumption.order_tags(sample.orders(spark, sf_dir), known=sample.users(spark, sf_dir))
+)
+_over("payment_mode", sample.orders, lambda t: consumption.payment_mode(t, with_metric=True))
 _over(
     "payment_mode_by_member",
     sample.orders,
-    lambda t: consumption.payment_mode(t, by_member=True, max_id=None, with_metric=True),
+    lambda t: consumption.payment_mode(t, by_member=True, with_metric=True),
 )
 
 
@@ -275,7 +283,7 @@ def _mean(df: DataFrame) -> DataFrame:
 _over(
     "mean_orders",
     sample.orders,
-    lambda t: _mean(consumption.order_frequency(t, max_id=None, with_metric=True)),
+    lambda t: _mean(consumption.order_frequency(t, with_metric=True)),
 )
 for _name, _status in (
     ("mean_return_rate", d.RETURNED),
@@ -286,7 +294,7 @@ for _name, _status in (
         _name,
         sample.orders,
         lambda t, s=_status: _mean(
-            consumption.status_rate(t, s, max_id=None, with_metric=True)
+            consumption.status_rate(t, s, with_metric=True)
         ),
     )
 
@@ -454,10 +462,12 @@ def _build(spark, sf_dir, **options):
     )
 
 
-query("profile")(lambda spark, sf_dir: _build(spark, sf_dir, max_id=None))
-query("profile_known")(_build)
+query("profile")(lambda spark, sf_dir: _build(spark, sf_dir))
+query("profile_known")(
+    lambda spark, sf_dir: _build(spark, sf_dir, known=sample.users(spark, sf_dir))
+)
 query("profile_staged")(
-    lambda spark, sf_dir: _build(spark, sf_dir, max_id=None, staging=_scratch(spark))
+    lambda spark, sf_dir: _build(spark, sf_dir, staging=_scratch(spark))
 )
 
 
@@ -468,11 +478,11 @@ def _upsert(spark, sf_dir):
     profile = merge_tags(
         [
             attribute.coded_tag(sample.users(spark, sf_dir), "gender"),
-            consumption.order_frequency(orders, v.ORDER_COUNT, max_id=None),
+            consumption.order_frequency(orders, v.ORDER_COUNT),
         ]
     )
     finished = orders.where(F.col("orderStatus") == d.FINISHED)
-    changed = consumption.order_frequency(finished, v.FINISHED_COUNT, max_id=None)
+    changed = consumption.order_frequency(finished, v.FINISHED_COUNT)
     return profiles.upsert_tag(profile, changed, "purchaseFrequency")
 
 
@@ -486,11 +496,11 @@ def _promote(spark, sf_dir):
         ("consultationFrequency", d.CONSULTED, v.CONSULT),
     ):
         profiles.stage_tag(
-            consumption.status_rate(orders, status, bands, max_id=None), name, folder
+            consumption.status_rate(orders, status, bands), name, folder
         )
     profile = attribute.coded_tag(sample.users(spark, sf_dir), "gender")
     profile = profiles.promote_tag(spark, "exchangeRate", folder, profile)
-    profile = profiles.promote_tag(spark, "consultationFrequency", folder, profile, all_ids=True)
+    profile = profiles.promote_tag(spark, "consultationFrequency", folder, profile)
     profiles.write_profile(profile, f"{folder}/profile", partitions=5)
     return profiles.read_profile(
         spark, f"{folder}/profile", ["gender", "exchangeRate", "consultationFrequency"]

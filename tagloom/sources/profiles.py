@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import within
-from ..tags import dictionaries as d
 from .schemas import TAG_PREFIX
 
 
@@ -47,13 +46,14 @@ def upsert_tags(
     """`profile` with the columns `names` replaced for every id of `tags`, in one join.
 
     A row of `tags` wins even where its value is null; other ids keep what they
-    have, and new ids are added. `tags` holds one row per id.
+    have, and new ids are added. Of several rows of an id in `tags`, each column
+    takes the greatest value, so that a profile row is never multiplied.
     """
     new = tags.select(
         F.col(key).cast("string").alias(key),
         *[F.col(n).cast("string").alias(f"_new_{n}") for n in names],
-        F.lit(True).alias("_hit"),
     )
+    new = new.groupBy(key).agg(F.lit(True).alias("_hit"), *[F.max(f"_new_{n}").alias(f"_new_{n}") for n in names])
     merged = profile.join(new, key, "full")
 
     def value(name):
@@ -71,6 +71,10 @@ def upsert_tag(profile: DataFrame, tag: DataFrame, name: str, key: str = "id") -
     return upsert_tags(profile, tag, [name], key)
 
 
+#: Buckets of a profile that is saved as a table.
+BUCKETS = 200
+
+
 def write_profile(
     df: DataFrame,
     path: str,
@@ -83,19 +87,25 @@ def write_profile(
     `partitions` splits it by id. With `table` it is saved as a table bucketed
     and sorted by id, so that later upserts need not shuffle it.
     """
+    if table is not None:
+        partitions = partitions or BUCKETS  # one task writes one bucket, and one file
     out = df if partitions is None else df.repartition(partitions, key)
     writer = out.write.mode("errorifexists").format("parquet")
     if table is None:
         writer.save(path)
         return
-    writer.bucketBy(partitions or 200, key).sortBy(key).option("path", path).saveAsTable(table)
+    writer.bucketBy(partitions, key).sortBy(key).option("path", path).saveAsTable(table)
 
 
 def read_profile(
-    spark: SparkSession, path: str, tags: Sequence[str] | None = None, key: str = "id"
+    spark: SparkSession,
+    path: str | None = None,
+    tags: Sequence[str] | None = None,
+    key: str = "id",
+    table: str | None = None,
 ) -> DataFrame:
-    """The id and the chosen tags of a written profile."""
-    profile = spark.read.parquet(path)
+    """The id and the chosen tags of a written profile; by `table` it keeps its buckets."""
+    profile = spark.table(table) if table is not None else spark.read.parquet(path)
     return profile if tags is None else profile.select(key, *tags)
 
 
@@ -104,18 +114,17 @@ def promote_tag(
     name: str,
     target: str,
     profile: DataFrame,
-    max_id: int | None = d.MAX_ID,
-    all_ids: bool = False,
+    known: DataFrame | None = None,
     fmt: str = "parquet",
     **options,
 ) -> DataFrame:
     """The profile after its column `name` took the staged tag.
 
-    Ids above `max_id` are left out; `all_ids` takes every staged row.
+    Every staged row is taken; with `known`, only those of its users.
     """
     staged = read_staged_tag(spark, name, target, fmt, **options)
-    if not all_ids:
-        staged = within(staged.withColumn("id", F.col("id").try_cast("int")), max_id)
+    if known is not None:
+        staged = within(staged.withColumn("id", F.col("id").try_cast("int")), known)
     return upsert_tag(profile, staged.select("id", name), name)
 
 

@@ -50,10 +50,10 @@ PAGE_TYPES = {
 }
 
 
-def _views(logs: DataFrame, max_id: int | None, *columns: Column | str) -> DataFrame:
+def _views(logs: DataFrame, known: DataFrame | None, *columns: Column | str) -> DataFrame:
     """Page views of known users: (id, *columns)."""
     rows = logs.withColumn("_user", whole_number(logs, "global_user_id"))
-    return within(rows, max_id, "_user").select(F.col("_user").alias("id"), *columns)
+    return within(rows, known, "_user").select(F.col("_user").alias("id"), *columns)
 
 
 def _hour(logs: DataFrame) -> Column:
@@ -141,54 +141,54 @@ def event_frequency(
     patterns: Sequence[str],
     bands: Sequence[tuple[float, str]],
     rare: str,
-    max_id: int | None = d.MAX_ID,
+    known: DataFrame | None = None,
     with_metric: bool = False,
 ) -> DataFrame:
     """Band of the number of views that match any of `patterns`."""
     tag = frequency_tag(name, patterns, bands, rare)
-    return group_tag(_views(logs, max_id, "loc_url"), "id", tag, with_metric)
+    return group_tag(_views(logs, known, "loc_url"), "id", tag, with_metric)
 
 
-def browse_frequency(logs, bands=None, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
+def browse_frequency(logs, bands=None, known=None, with_metric=False) -> DataFrame:
     """How often a user views shop pages."""
-    rows = _views(logs, max_id, "loc_url")
+    rows = _views(logs, known, "loc_url")
     return group_tag(rows, "id", browse_frequency_tag(bands), with_metric)
 
 
-def login_frequency(logs, bands=None, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
+def login_frequency(logs, bands=None, known=None, with_metric=False) -> DataFrame:
     """How often a user views login and home pages."""
-    rows = _views(logs, max_id, "loc_url")
+    rows = _views(logs, known, "loc_url")
     return group_tag(rows, "id", login_frequency_tag(bands), with_metric)
 
 
-def browse_period(logs, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
+def browse_period(logs, known=None, with_metric=False) -> DataFrame:
     """Part of the day in which a user views most pages."""
-    rows = _views(logs, max_id, _hour(logs).alias("_hour"))
+    rows = _views(logs, known, _hour(logs).alias("_hour"))
     return group_tag(rows, "id", browse_period_tag(), with_metric)
 
 
-def device_type(logs, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
+def device_type(logs, known=None, with_metric=False) -> DataFrame:
     """Device a user views most pages with."""
-    rows = _views(logs, max_id, _device().alias("_device"))
+    rows = _views(logs, known, _device().alias("_device"))
     return group_tag(rows, "id", device_tag(), with_metric)
 
 
-def log_tags(logs: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
+def log_tags(logs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """The four tags above in one pass over the page views."""
     rows = _views(
-        logs, max_id, "loc_url", _hour(logs).alias("_hour"), _device().alias("_device")
+        logs, known, "loc_url", _hour(logs).alias("_hour"), _device().alias("_device")
     )
     tags = [browse_frequency_tag(), login_frequency_tag(), browse_period_tag(), device_tag()]
     return group_tags(rows, "id", tags)
 
 
-def page_tags(logs: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
+def page_tags(logs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Browse frequency, login frequency and least viewed URL in one pass over the URLs.
 
     Views are counted by user and URL, as the URL tag needs anyway, and all three
     tags are read off the counts.
     """
-    pages = value_counts(_views(logs, max_id, "loc_url"), "id", "loc_url")
+    pages = value_counts(_views(logs, known, "loc_url"), "id", "loc_url")
     url = GroupTag(
         "urlBrowse",
         {"_best": best_value("loc_url", ascending=True)},
@@ -198,9 +198,9 @@ def page_tags(logs: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
     return group_tags(pages, "id", tags)
 
 
-def activity_tags(logs: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
+def activity_tags(logs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Browse period and device in one pass over the times and agents."""
-    rows = _views(logs, max_id, _hour(logs).alias("_hour"), _device().alias("_device"))
+    rows = _views(logs, known, _hour(logs).alias("_hour"), _device().alias("_device"))
     return group_tags(rows, "id", [browse_period_tag(), device_tag()])
 
 
@@ -219,12 +219,12 @@ def page_type_counts(logs: DataFrame) -> DataFrame:
 def browse_time(
     logs: DataFrame,
     bands=None,
-    max_id: int | None = d.MAX_ID,
+    known: DataFrame | None = None,
     with_metric: bool = False,
     short: str = d.GAP_SHORT,
 ) -> DataFrame:
     """Time between the last two views of a user's last day."""
-    rows = _views(logs, max_id, epoch_seconds(logs, "log_time").alias("_second"))
+    rows = _views(logs, known, epoch_seconds(logs, "log_time").alias("_second"))
     gaps = last_gap(rows, "id", "_second")
     label = band(F.col("gap"), bands or d.GAP_BANDS, short, strict=True)
     metric = [F.col("gap").alias("metric")] if with_metric else []
@@ -234,7 +234,7 @@ def browse_time(
 def last_login(
     users: DataFrame,
     bands=None,
-    max_id: int | None = d.MAX_ID,
+    known: DataFrame | None = None,
     with_metric: bool = False,
     unit_seconds: int = 86400,
 ) -> DataFrame:
@@ -247,7 +247,7 @@ def last_login(
         whole_number(users, "id").alias("id"), whole_number(users, "lastLoginTime", "bigint").alias("_at")
     )
     newest = logins.agg(F.max("_at")).scalar()
-    aged = within(logins, max_id).select("id", F.abs(F.col("_at") - newest).alias("_age"))
+    aged = within(logins, known).select("id", F.abs(F.col("_at") - newest).alias("_age"))
     cuts = [(days * unit_seconds, label) for days, label in bands or d.LOGIN_AGE_BANDS]
     metric = [F.col("_age").alias("metric")] if with_metric else []
     return aged.select(
@@ -263,11 +263,11 @@ def last_login(
 def url_browse(
     logs: DataFrame,
     ascending: bool = True,
-    max_id: int | None = d.MAX_ID,
+    known: DataFrame | None = None,
     with_metric: bool = False,
 ) -> DataFrame:
     """Least (or, with `ascending=False`, most) viewed URL of a user."""
-    best = top_value(_views(logs, max_id, "loc_url"), "id", "loc_url", ascending)
+    best = top_value(_views(logs, known, "loc_url"), "id", "loc_url", ascending)
     metric = [F.col("n").alias("metric")] if with_metric else []
     return best.select(
         F.col("id").cast("string").alias("id"), F.col("loc_url").alias("urlBrowse"), *metric
@@ -290,7 +290,7 @@ def product_names(goods: DataFrame) -> DataFrame:
 
 
 def last_browsed_product(
-    logs: DataFrame, goods: DataFrame, by: str = "loc_url", max_id: int | None = d.MAX_ID
+    logs: DataFrame, goods: DataFrame, by: str = "loc_url", known: DataFrame | None = None
 ) -> DataFrame:
     """Products on the product pages of a user's last such second: (id, productId, productName).
 
@@ -298,7 +298,7 @@ def last_browsed_product(
     user and product, and goods to one row per product, before anything is ranked
     or joined. The rank filter runs before the shuffle by user too.
     """
-    views = _views(logs, max_id, F.col(by).alias("_url"), epoch_seconds(logs, "log_time").alias("_at"))
+    views = _views(logs, known, F.col(by).alias("_url"), epoch_seconds(logs, "log_time").alias("_at"))
     seen = (
         views.where(any_like(F.col("_url"), d.BROWSED_PRODUCT_PAGES) & F.col("_at").isNotNull())
         .groupBy("id", last_path_segment(F.col("_url")).alias("productId"))
@@ -311,10 +311,10 @@ def last_browsed_product(
     )
 
 
-def _buyers(orders: DataFrame, max_id: int | None) -> DataFrame:
+def _buyers(orders: DataFrame, known: DataFrame | None) -> DataFrame:
     """(id, orderSn, finishTime) of known users."""
-    known = within(orders.withColumn("_user", member_tail_user(orders)), max_id, "_user")
-    return known.select(
+    rows = within(orders.withColumn("_user", member_tail_user(orders)), known, "_user")
+    return rows.select(
         F.col("_user").alias("id"),
         "orderSn",
         whole_number(orders, "finishTime", "bigint").alias("finishTime"),
@@ -322,9 +322,9 @@ def _buyers(orders: DataFrame, max_id: int | None) -> DataFrame:
 
 
 def _ordered_lines(
-    orders: DataFrame, goods: DataFrame, max_id: int | None, latest_only: bool = False
+    orders: DataFrame, goods: DataFrame, known: DataFrame | None, latest_only: bool = False
 ) -> DataFrame:
-    buyers = _buyers(orders, max_id)
+    buyers = _buyers(orders, known)
     if latest_only:
         buyers = latest_rows(buyers, "id", "finishTime")
     lines = goods.select(F.col("cOrderSn").alias("orderSn"), "productId", "productName")
@@ -335,14 +335,16 @@ def _ordered_lines(
 def purchased_products(
     orders: DataFrame,
     goods: DataFrame,
-    max_id: int | None = d.MAX_ID,
+    known: DataFrame | None = None,
     latest_only: bool = False,
 ) -> DataFrame:
     """Products a user ordered, each with its longest name: (id, productId, purchaseName).
 
     With `latest_only`, only those of the orders at the user's newest finish time.
     """
-    lines = _ordered_lines(orders, goods, max_id, latest_only)
+    lines = _ordered_lines(orders, goods, known, latest_only)
+    # A text's order needs a sort; repeated names are hashed away before it.
+    lines = lines.select("id", "productId", "productName").distinct()
     return lines.groupBy("id", "productId").agg(longest_text("productName")).select(
         F.col("id").cast("string").alias("id"),
         F.col("productId").cast("string").alias("productId"),
@@ -353,29 +355,26 @@ def purchased_products(
 def purchased_product_list(
     orders: DataFrame,
     goods: DataFrame,
-    max_id: int | None = d.MAX_ID,
-    names_per_row: int = 100_000,
+    known: DataFrame | None = None,
+    products_per_part: int = 100_000,
 ) -> DataFrame:
     """Names of a user's products in a comma-joined text: (id, part, productPurchased).
 
-    A user has one name per distinct product. While the catalogue has no more
-    products than `names_per_row`, every user has one row, of part 0; a larger
-    catalogue is dealt out by product over as many parts as it takes, so that no
-    row grows with the data. The size of the catalogue is a scalar subquery.
+    A user has one name per distinct product. Part p holds the products with ids from
+    p * products_per_part on, so that a row holds that many at most, whatever the size of
+    the catalogue; products without a whole-number id have no part.
     """
-    products = purchased_products(orders, goods, max_id)
-    catalogue = goods.agg(F.approx_count_distinct("productId")).scalar()
-    parts = F.greatest(F.ceil(catalogue / names_per_row), F.lit(1))
-    part = F.pmod(F.xxhash64("productId"), parts).cast("int")
+    products = purchased_products(orders, goods, known)
+    part = F.floor(F.col("productId").try_cast("bigint") / F.lit(products_per_part)).cast("int")
     names = F.array_sort(F.collect_list("purchaseName"))
     return products.groupBy("id", part.alias("part")).agg(
         F.concat_ws(",", names).alias("productPurchased")
     )
 
 
-def latest_orders(orders: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
+def latest_orders(orders: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Orders at a user's newest finish time: (id, orderSn, finishTime); ties are kept."""
-    return latest_rows(_buyers(orders, max_id), "id", "finishTime").select(
+    return latest_rows(_buyers(orders, known), "id", "finishTime").select(
         F.col("id").cast("string").alias("id"),
         F.col("orderSn").cast("string").alias("orderSn"),
         "finishTime",

@@ -20,10 +20,10 @@ from . import dictionaries as d
 DAY = 86400
 
 
-def _rows(orders: DataFrame, max_id: int | None, *columns: Column | str) -> DataFrame:
+def _rows(orders: DataFrame, known: DataFrame | None, *columns: Column | str) -> DataFrame:
     """Orders of known users: (id, *columns)."""
     rows = orders.withColumn("_user", member_user(orders))
-    return within(rows, max_id, "_user").select(F.col("_user").alias("id"), *columns)
+    return within(rows, known, "_user").select(F.col("_user").alias("id"), *columns)
 
 
 def _amount(orders: DataFrame) -> Column:
@@ -145,50 +145,50 @@ def consult_tag(bands=None) -> GroupTag:
     return rate_tag("consultationFrequency", d.CONSULTED, bands or d.CONSULT_BANDS)
 
 
-def order_frequency(orders, bands=None, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
+def order_frequency(orders, bands=None, known=None, with_metric=False) -> DataFrame:
     """How many orders a user placed, of any status."""
-    return group_tag(_rows(orders, max_id), "id", order_count_tag(bands), with_metric)
+    return group_tag(_rows(orders, known), "id", order_count_tag(bands), with_metric)
 
 
-def order_amount_band(orders, measure, bands=None, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
+def order_amount_band(orders, measure, bands=None, known=None, with_metric=False) -> DataFrame:
     """Band of the sum, mean ("avg") or greatest ("max") amount of finished orders."""
     tag, amount = {
         "sum": (power_tag, _amount),
         "avg": (order_value_tag, _amount),
         "max": (max_amount_tag, _whole),
     }[measure]
-    rows = _rows(orders, max_id, "orderStatus", amount(orders))
+    rows = _rows(orders, known, "orderStatus", amount(orders))
     return group_tag(rows, "id", tag(bands), with_metric)
 
 
-def consumption_power(orders, bands=None, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
+def consumption_power(orders, bands=None, known=None, with_metric=False) -> DataFrame:
     """Total amount of a user's finished orders."""
-    return order_amount_band(orders, "sum", bands, max_id, with_metric)
+    return order_amount_band(orders, "sum", bands, known, with_metric)
 
 
-def purchase_cycle(orders, bands=None, max_id=d.MAX_ID, with_metric=False) -> DataFrame:
+def purchase_cycle(orders, bands=None, known=None, with_metric=False) -> DataFrame:
     """Mean time between a user's finished orders."""
-    rows = _rows(orders, max_id, "orderStatus", _finished_at(orders))
+    rows = _rows(orders, known, "orderStatus", _finished_at(orders))
     return group_tag(rows, "id", cycle_tag(bands), with_metric)
 
 
 def status_rate(
-    orders, status, bands=None, max_id=d.MAX_ID, with_metric=False, name=None
+    orders, status, bands=None, known=None, with_metric=False, name=None
 ) -> DataFrame:
     """Share of a user's orders that have `status`."""
-    known = {
+    usual = {
         d.RETURNED: ("returnRate", d.RETURN_BANDS),
         d.EXCHANGED: ("exchangeRate", d.EXCHANGE_BANDS),
         d.CONSULTED: ("consultationFrequency", d.CONSULT_BANDS),
     }.get(status, ("rate", d.RETURN_BANDS))
-    tag = rate_tag(name or known[0], status, bands or known[1])
-    return group_tag(_rows(orders, max_id, "orderStatus"), "id", tag, with_metric)
+    tag = rate_tag(name or usual[0], status, bands or usual[1])
+    return group_tag(_rows(orders, known, "orderStatus"), "id", tag, with_metric)
 
 
-def order_tags(orders: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
+def order_tags(orders: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """The eight tags above in one pass over the orders."""
     rows = _rows(
-        orders, max_id, "orderStatus", _amount(orders), _whole(orders), _finished_at(orders)
+        orders, known, "orderStatus", _amount(orders), _whole(orders), _finished_at(orders)
     )
     tags = [
         order_count_tag(),
@@ -205,7 +205,7 @@ def order_tags(orders: DataFrame, max_id: int | None = d.MAX_ID) -> DataFrame:
 
 def payment_mode(
     orders: DataFrame,
-    max_id: int | None = d.MAX_ID,
+    known: DataFrame | None = None,
     by_member: bool = False,
     with_metric: bool = False,
 ) -> DataFrame:
@@ -217,9 +217,9 @@ def payment_mode(
     rows = orders.withColumn("id", member_user(orders)).select("memberId", "id", "paymentCode")
     if by_member:
         best = top_value(rows, "memberId", "paymentCode")
-        best = within(best.withColumn("id", member_user(best)), max_id)
+        best = within(best.withColumn("id", member_user(best)), known)
     else:
-        best = top_value(within(rows, max_id), "id", "paymentCode")
+        best = top_value(within(rows, known), "id", "paymentCode")
     columns = [F.col("memberId").cast("string").alias("memberId")] if by_member else []
     columns += [
         F.col("id").cast("string").alias("id"),

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-# --- ids above this are no known users ---
-MAX_ID = 950
-
 # --- user attributes: stored code -> label, and the label of any other code ---
 GENDER = {"1": "男", "2": "女"}
 JOB = {"1": "学生", "2": "公务员", "3": "军人", "4": "警察", "5": "教师", "6": "白领"}

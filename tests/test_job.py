@@ -67,7 +67,7 @@ def test_the_profile_job_makes_every_tag_but_the_preferences(spark, shop):
 
 def test_stage_then_promote(spark, shop, tmp_path):
     start(spark, "gender", "--tables", shop, "--out", tmp_path / "v1")
-    start(spark, "consumptionPower", "--tables", shop, "--max-id", "none", "--stage", tmp_path / "staged")
+    start(spark, "consumptionPower", "--tables", shop, "--stage", tmp_path / "staged")
     staged = read_staged_tag(spark, "consumptionPower", str(tmp_path / "staged"))
     assert rows(staged) == {("1", "超高"), ("960", "很低")}
     start(
@@ -75,7 +75,7 @@ def test_stage_then_promote(spark, shop, tmp_path):
         "--profile", tmp_path / "v1", "--out", tmp_path / "v2",
     )
     found = read_profile(spark, str(tmp_path / "v2"))
-    assert rows(found) == {("1", "男", "超高"), ("2", "女", None), ("2000", "未知", None)}
+    assert rows(found) == {("1", "男", "超高"), ("2", "女", None), ("2000", "未知", None), ("960", None, "很低")}
 
 
 def test_add_to_a_profile(spark, shop, tmp_path):

@@ -7,7 +7,6 @@ from tests.oracle_check import compare, connect
 import __spark_entry__ as entry
 
 SF = str(TESTDATA / "sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -86,10 +86,11 @@ def test_staging_in_a_table(spark):
 def test_promote(spark, profile, tmp_path):
     folder = str(tmp_path)
     s.stage_tag(tag(spark, (1, "高"), (950, "中"), (951, "中"), (None, "中")), "returnRate", folder)
-    found = s.promote_tag(spark, "returnRate", folder, profile)
+    known = spark.createDataFrame([("1",), ("950",)], "id string")
+    found = s.promote_tag(spark, "returnRate", folder, profile, known=known)
     assert pairs(found, "id", "returnRate") == {"1": "高", "2": "高", "950": "中"}
     s.stage_tag(tag(spark, (951, "中")), "returnRate", folder)
-    found = s.promote_tag(spark, "returnRate", folder, profile, all_ids=True)
+    found = s.promote_tag(spark, "returnRate", folder, profile)
     assert pairs(found, "id", "returnRate") == {"1": "低", "2": "高", "951": "中"}
 
 
@@ -140,3 +141,25 @@ def test_a_tag_goes_from_the_shop_table_to_the_profile(spark, tmp_path):
     base = attribute.coded_tag(users(spark, {"id": "1", "gender": "1"}, {"id": "2"}), "gender")
     found = s.promote_tag(spark, "consumptionPower", str(tmp_path), base)
     assert rows(found) == {("1", "男", "超高"), ("2", "未知", None)}
+
+
+def test_repeated_rows_of_a_tag_leave_one_profile_row(spark, profile):
+    found = s.upsert_tag(profile, tag(spark, (1, "中"), (1, "高"), (1, None)), "returnRate")
+    assert pairs(found, "id", "returnRate")["1"] == "高"
+
+
+def test_a_bucketed_profile_has_a_file_per_bucket_and_is_not_shuffled_again(spark, tmp_path):
+    rows = spark.range(0, 4000, numPartitions=20).selectExpr("cast(id AS string) AS id", "'x' AS returnRate")
+    s.write_profile(rows, str(tmp_path / "p"), partitions=4, table="bucketed_profile")
+    assert len(list((tmp_path / "p").glob("*.parquet"))) == 4
+    kept = s.read_profile(spark, table="bucketed_profile")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = spark.range(0, 10, numPartitions=3).selectExpr("cast(id AS string) AS id", "'y' AS returnRate")
+        found = s.upsert_tag(kept, new, "returnRate")
+        text = found._jdf.queryExecution().sparkPlan().toString()
+        assert found.count() == 4000
+        assert "bucketed_profile" in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE bucketed_profile")
