@@ -1,8 +1,9 @@
 """Exact components of similar sets from banded signatures.
 
 Buckets propose pairs, the full sets confirm them. A bucket never emits all its pairs:
-each member is compared with the least one, and after that only members that are still
-in different components are compared, a few challengers at a time.
+each member is compared with the least one. After that only members that are still in
+different components are compared, some challengers at a time, and only where the
+members that a set shares with any other one leave room for the similarity.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from tagloom.llm.components import components
 from tagloom.llm.narrow import possible, residues
 from tagloom.llm.scratch import Scratch
 
-#: Members of a bucket compared with all others in the first extra round; doubles each round.
-CHALLENGERS = 16
+#: Members of a bucket compared with all others in the first extra round; four times as many in each next one.
+CHALLENGERS = 64
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -41,6 +42,38 @@ def _pair(a: str, b: str) -> list:
     return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
 
 
+def _could_reach(percent: int, n, shared, other_n, other_shared):
+    """False only where no pair can reach the similarity: an intersection holds nothing that one side has alone."""
+    most = F.least(shared, other_shared)
+    return most * (100 + percent) >= (n + other_n) * percent
+
+
+def _with_bounds(open_rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Adds n (size of the set) and shared (members that occur in another open set); drops rows that can link with none."""
+    ids = open_rows.select("id").distinct()
+    own = sets.join(ids, "id", "left_semi")
+    alone = (
+        own.select("id", F.explode("members").alias("member"))
+        .groupBy("member")
+        .agg(F.count("*").alias("held"), F.min("id").alias("id"))
+        .where("held = 1")
+        .groupBy("id")
+        .agg(F.count("*").alias("alone"))
+    )
+    sizes = (
+        own.select("id", F.size("members").alias("n"))
+        .join(alone, "id", "left")
+        .select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    )
+    rows = open_rows.join(sizes, "id")
+    least = rows.groupBy("key").agg(F.min("n").alias("least_n"))
+    return (
+        rows.join(least, "key")
+        .where(_could_reach(percent, F.col("n"), F.col("shared"), F.col("least_n"), F.col("shared")))
+        .drop("least_n")
+    )
+
+
 def similar_components(
     items: DataFrame,
     fetch: Callable[[DataFrame], DataFrame],
@@ -73,26 +106,42 @@ def similar_components(
     found = components(links, scratch)
     rows, few = members.select("key", "id").distinct(), CHALLENGERS
     while True:
-        known = found.select(F.col("node").alias("id"), "component")
-        labelled = rows.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
-        split = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        open_rows = scratch.keep(labelled.join(split.select("key"), "key", "left_semi"))
+        open_rows = _still_open(rows, found)
         if open_rows.isEmpty():
             return found, links
-        sizes = open_rows.groupBy("key", "label").agg(F.count("*").alias("n"))
+        # Rows that can link with nothing any more leave; what is left may then be settled.
+        bounded = scratch.keep(_with_bounds(scratch.keep(open_rows), sets, percent))
+        sizes = bounded.groupBy("key", "label").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("largest"))
         first = Window.partitionBy("key").orderBy("id")
         challengers = scratch.keep(
-            open_rows.join(largest, "key")
+            bounded.join(largest, "key")
             .where("label <> largest")
             .withColumn("place", F.row_number().over(first))
             .where(F.col("place") <= few)
-            .select("key", F.col("id").alias("by"), F.col("label").alias("own"))
+            .select(
+                "key",
+                F.col("id").alias("by"),
+                F.col("label").alias("own"),
+                F.col("n").alias("own_n"),
+                F.col("shared").alias("own_shared"),
+            )
         )
+        reach = _could_reach(percent, F.col("n"), F.col("shared"), F.col("own_n"), F.col("own_shared"))
         pairs = scratch.keep(
-            open_rows.join(challengers, "key").where("label <> own").select(*_pair("id", "by")).distinct()
+            bounded.join(challengers, "key").where((F.col("label") != F.col("own")) & reach).select(*_pair("id", "by")).distinct()
         )
-        links = scratch.keep(links.unionByName(confirmed(pairs, sets, percent)).distinct())
-        found = components(links, scratch)
+        more = scratch.keep(confirmed(pairs, sets, percent))
+        if not more.isEmpty():
+            links = scratch.keep(links.unionByName(more).distinct())
+            found = components(links, scratch)
         done = challengers.select("key", F.col("by").alias("id"))
-        rows, few = scratch.keep(open_rows.select("key", "id").join(done, ["key", "id"], "left_anti")), 2 * few
+        rows, few = scratch.keep(bounded.select("key", "id").join(done, ["key", "id"], "left_anti")), 4 * few
+
+
+def _still_open(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, id, label) of the buckets that hold several components."""
+    known = found.select(F.col("node").alias("id"), "component")
+    labelled = rows.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
+    split = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+    return labelled.join(split.select("key"), "key", "left_semi")
