@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm import textcols as T
-from tagloom.llm.lsh import similar_components
+from tagloom.llm.lsh import Reading, similar_components
 from tagloom.llm.narrow import fresh, possible, residues
 from tagloom.llm.scratch import Scratch
 
@@ -21,7 +21,7 @@ SHINGLE, LEAST = 8, 16
 BANDS, ROWS, PERCENT = 14, 4, 80
 
 
-def _lines(part: T.Slice) -> dict[str, np.ndarray]:
+def _lines(part: T.Slice) -> dict:
     """Lines of a slice that take part: row, line (its number in the text), span in code points, digest.
 
     A line is compared without the white space around it and with ASCII letters in lower case.
@@ -48,6 +48,7 @@ def _lines(part: T.Slice) -> dict[str, np.ndarray]:
     starts, ends, row, line = starts[long], ends[long], row[long], line[long]
     wide = points.astype(np.uint64)
     return {
+        "text": text,
         "points": wide,
         "row": row,
         "line": line.astype(np.int32),
@@ -58,14 +59,25 @@ def _lines(part: T.Slice) -> dict[str, np.ndarray]:
     }
 
 
-def _shingles(found: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _windows(points: np.ndarray) -> np.ndarray:
+    """One value for each run of SHINGLE code points."""
+    total = np.zeros(len(points) - SHINGLE + 1, dtype=np.uint64)
+    for j in range(SHINGLE):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + points[j : len(total) + j]
+    return total
+
+
+def _set(line: str) -> np.ndarray:
+    """The distinct shingles of a line as `_lines` cuts it."""
+    return np.unique(_windows(np.frombuffer(line.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)))
+
+
+def _shingles(found: dict) -> tuple[np.ndarray, np.ndarray]:
     """(index of the line, hash) of all character shingles, repeats included."""
     points, size = found["points"], found["ends"] - found["starts"] - SHINGLE + 1
     if not len(size):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    total = np.zeros(len(points) - SHINGLE + 1, dtype=np.uint64)
-    for j in range(SHINGLE):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + points[j : len(points) - SHINGLE + 1 + j]
+    total = _windows(points)
     before = np.concatenate([[0], np.cumsum(size)])
     at = np.repeat(found["starts"] - before[:-1], size) + np.arange(before[-1])
     return np.repeat(np.arange(len(size)), size), T.mix64(total[at], 9)
@@ -103,59 +115,93 @@ def line_sketches(docs: DataFrame) -> DataFrame:
     )
 
 
-def _line_sets(docs: DataFrame) -> DataFrame:
-    """id, members: shingle sets of the lines that the column `wanted` (h1, id) of each document names."""
+def _line_texts(docs: DataFrame) -> DataFrame:
+    """id, n, members: the lines that the column `wanted` (their h1) of each document names, as text, and their number of shingles."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column(1).to_pylist()
             for part in T.slices(batch.column(0)):
                 found = _lines(part)
-                owner, hashes = _shingles(found)
-                bounds = np.searchsorted(owner, np.arange(len(found["row"]) + 1))
-                place = {(r, h): i for i, (r, h) in enumerate(zip(found["row"].tolist(), found["h1"].view(np.int64).tolist()))}
-                ids, members = [], []
-                for r in range(len(part)):
-                    for w in wanted[part.first + r]:
-                        i = place.get((r, w["h1"]))
-                        if i is not None:
-                            ids.append(w["id"])
-                            members.append(np.unique(hashes[bounds[i] : bounds[i + 1]]).view(np.int64))
+                of = list(zip(found["row"].tolist(), found["h1"].view(np.int64).tolist()))
+                asked = {(r, h) for r in range(len(part)) for h in wanted[part.first + r]}
+                chosen = {of[i]: i for i in range(len(of) - 1, -1, -1) if of[i] in asked}
+                lines = [found["text"][found["starts"][i] : found["ends"][i]] for i in chosen.values()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(members, pa.list_(pa.int64()))], names=["id", "members"]
+                    [
+                        pa.array([h for _, h in chosen], pa.int64()),
+                        pa.array([len(_set(x)) for x in lines], pa.int64()),
+                        pa.array(lines, pa.string()),
+                    ],
+                    names=["id", "n", "members"],
                 )
 
-    return docs.select(F.col("text").cast("string"), "wanted").mapInArrow(sets, "id long, members array<long>")
+    return docs.select(F.col("text").cast("string"), "wanted").mapInArrow(texts, "id long, n long, members string")
+
+
+def _common(pairs: DataFrame) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column("x"), batch.column("y")
+            common = [
+                len(np.intersect1d(_set(x[i].as_py()), _set(y[i].as_py()), assume_unique=True)) for i in range(len(batch))
+            ]
+            kept = ["a", "b", "n_a", "n_b"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(common, pa.int64())], names=[*kept, "common"])
+
+    schema = "a long, b long, n_a long, n_b long, common long"
+    return pairs.select("a", "b", "n_a", "n_b", "x", "y").mapInArrow(count, schema)
+
+
+def _each(lines: DataFrame) -> DataFrame:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, line in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = _set(line.as_py())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(own), i, dtype=np.int64)), _signed(own)], names=["id", "member"]
+                )
+
+    return lines.select("id", "members").mapInArrow(spread, "id long, member long")
+
+
+#: Sets kept as the text of the line, a small part of the size of its hashed shingles.
+TEXTS = Reading(common=_common, each=_each)
 
 
 def repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, drop (line, h1): the lines of each document that are not the first of their component."""
+    """doc_id, drop (line, h1): the lines of each document that are not the first of their component.
+
+    h1, a digest of 64 bits, names a line while links are searched; equal lines agree in h2 as well.
+    """
     known = docs.where("doc_id IS NOT NULL")
     lines = scratch.keep(line_sketches(known))
     place = F.struct("doc_id", "line")
-    firsts = scratch.keep(
-        lines.groupBy("h1", "h2")
-        .agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.any_value("bands").alias("bands"))
-        .withColumn("id", F.monotonically_increasing_id())
-    )
+    firsts = scratch.keep(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("copies")))
 
     def fetch(ids: DataFrame) -> DataFrame:
-        near = possible(firsts.select("id", "first", "h1"), residues(ids, "id"), "id").join(ids, "id", "left_semi")
-        wanted = near.groupBy(F.col("first.doc_id").alias("doc")).agg(F.collect_list(F.struct("h1", "id")).alias("wanted"))
+        near = possible(firsts.select("first", "h1"), residues(ids, "id"), "h1").join(ids, F.col("h1") == F.col("id"), "left_semi")
+        near = near.groupBy("h1").agg(F.min("first").alias("first"))
+        wanted = near.groupBy(F.col("first.doc_id").alias("doc")).agg(F.collect_list("h1").alias("wanted"))
         wanted = scratch.keep(wanted)
         texts = known.select(F.col("doc_id").cast("long").alias("doc"), "text")
         found = possible(texts, residues(wanted, "doc"), "doc").join(wanted, "doc")
-        return _line_sets(found).dropDuplicates(["id"])
+        return _line_texts(found).dropDuplicates(["id"])
 
-    found, _ = similar_components(firsts.select("id", "bands"), fetch, PERCENT, scratch)
+    found, _ = similar_components(lines.select(F.col("h1").alias("id"), "bands"), fetch, PERCENT, scratch, TEXTS)
+    linked = possible(firsts.where("copies = 1"), residues(found, "node"), "h1")
     groups = (
-        firsts.join(found.withColumnRenamed("node", "id"), "id", "left")
+        firsts.where("copies > 1")
+        .unionByName(linked)
+        .join(found.withColumnRenamed("node", "h1"), "h1", "left")
         .where("copies > 1 OR component IS NOT NULL")
-        .select("h1", "h2", "first", F.coalesce("component", "id").alias("component"))
+        # Unlinked lines are told apart by the whole digest.
+        .withColumn("apart", F.when(F.col("component").isNull(), F.col("h2")).otherwise(F.lit(0)))
+        .select("h1", "h2", "first", "apart", F.coalesce("component", "h1").alias("component"))
     )
     groups = scratch.keep(groups)
-    keepers = groups.groupBy("component").agg(F.min("first").alias("keeper"))
-    decided = scratch.keep(groups.join(keepers, "component").select("h1", "h2", "keeper"))
+    keepers = groups.groupBy("component", "apart").agg(F.min("first").alias("keeper"))
+    decided = scratch.keep(groups.join(keepers, ["component", "apart"]).select("h1", "h2", "keeper"))
     occurrences = possible(lines.drop("bands"), residues(decided, "h1"), "h1")
     dropped = occurrences.join(decided, ["h1", "h2"]).where(F.struct("doc_id", "line") != F.col("keeper"))
     return scratch.keep(dropped.groupBy("doc_id").agg(F.collect_set(F.struct("line", "h1")).alias("drop")))

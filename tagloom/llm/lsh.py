@@ -9,6 +9,7 @@ members that a set shares with any other one leave room for the similarity.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,21 +22,36 @@ from tagloom.llm.scratch import Scratch
 CHALLENGERS = 64
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union of their `members`."""
-    a = sets.select(F.col("id").alias("a"), F.col("members").alias("x"))
-    b = sets.select(F.col("id").alias("b"), F.col("members").alias("y"))
-    common = F.size(F.array_intersect("x", "y")).cast("long")
-    union = F.size("x") + F.size("y") - F.col("common")
-    return (
-        pairs.join(a, "a")
-        .join(b, "b")
-        # Sizes alone rule out most of what cannot be similar.
-        .where(F.least(F.size("x"), F.size("y")) * F.lit(100) >= F.greatest(F.size("x"), F.size("y")) * F.lit(percent))
-        .withColumn("common", common)
-        .where((F.col("common") * 100 >= union * percent) & (F.size("x") > 0))
-        .select("a", "b")
-    )
+@dataclass(frozen=True)
+class Reading:
+    """How `members` of a set are read.
+
+    common: adds the size of the intersection of x and y. each: (id, member) of every member.
+    """
+
+    common: Callable[[DataFrame], DataFrame]
+    each: Callable[[DataFrame], DataFrame]
+
+
+#: Sets stored as arrays of distinct 64-bit hashes.
+HASHES = Reading(
+    common=lambda pairs: pairs.withColumn("common", F.size(F.array_intersect("x", "y")).cast("long")),
+    each=lambda sets: sets.select("id", F.explode("members").alias("member")),
+)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, reading: Reading = HASHES) -> DataFrame:
+    """Pairs (a, b) with 100 * intersection >= percent * union of their sets (id, n, members)."""
+
+    def of(column: str, name: str, by: str) -> DataFrame:
+        return sets.select(F.col("id").alias(by), F.col(column).alias(name))
+
+    # Sizes alone rule out most of what cannot be similar, before any set is moved.
+    sized = pairs.join(of("n", "n_a", "a"), "a").join(of("n", "n_b", "b"), "b")
+    sized = sized.where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (F.least("n_a", "n_b") > 0))
+    both = reading.common(sized.join(of("members", "x", "a"), "a").join(of("members", "y", "b"), "b"))
+    union = F.col("n_a") + F.col("n_b") - F.col("common")
+    return both.where(F.col("common") * 100 >= union * percent).select("a", "b")
 
 
 def _pair(a: str, b: str) -> list:
@@ -48,12 +64,12 @@ def _could_reach(percent: int, n, shared, other_n, other_shared):
     return most * (100 + percent) >= (n + other_n) * percent
 
 
-def _with_bounds(open_rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _with_bounds(open_rows: DataFrame, sets: DataFrame, percent: int, reading: Reading) -> DataFrame:
     """Adds n (size of the set) and shared (members that occur in another open set); drops rows that can link with none."""
     ids = open_rows.select("id").distinct()
     own = sets.join(ids, "id", "left_semi")
     alone = (
-        own.select("id", F.explode("members").alias("member"))
+        reading.each(own)
         .groupBy("member")
         .agg(F.count("*").alias("held"), F.min("id").alias("id"))
         .where("held = 1")
@@ -61,7 +77,7 @@ def _with_bounds(open_rows: DataFrame, sets: DataFrame, percent: int) -> DataFra
         .agg(F.count("*").alias("alone"))
     )
     sizes = (
-        own.select("id", F.size("members").alias("n"))
+        own.select("id", "n")
         .join(alone, "id", "left")
         .select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
     )
@@ -79,11 +95,13 @@ def similar_components(
     fetch: Callable[[DataFrame], DataFrame],
     percent: int,
     scratch: Scratch,
+    reading: Reading = HASHES,
 ) -> tuple[DataFrame, DataFrame]:
     """(node, component) of the items that are linked with others, and the confirmed links (a, b).
 
-    items: id, bands (array of bucket keys), a stored table. fetch: (distinct ids) -> id, members (the
-    full set as distinct 64-bit hashes). Links are confirmed on the full sets; a component
+    items: id, bands (array of bucket keys), a stored table; an id may occur again with the same bands. fetch:
+    (distinct ids) -> id, members (the full set as `reading` reads it) and, unless members are an array,
+    n (its size). Links are confirmed on the full sets; a component
     holds everything that the links of all buckets connect.
     """
     buckets = items.select("id", F.explode("bands").alias("key"))
@@ -95,22 +113,23 @@ def similar_components(
     )
     crowded = shared.where("n > 2").select("key", "hub")
     members = scratch.keep(
-        possible(buckets, residues(crowded, "key"), "key").join(crowded, "key").where("id <> hub")
+        possible(buckets, residues(crowded, "key"), "key").join(crowded, "key").where("id <> hub").distinct()
     )
     pairs = scratch.keep(
         shared.select(*_pair("hub", "other")).unionByName(members.select(*_pair("hub", "id"))).distinct()
     )
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = scratch.keep(fetch(ids))
-    links = scratch.keep(confirmed(pairs, sets, percent))
+    sets = fetch(ids)
+    sets = scratch.keep(sets if "n" in sets.columns else sets.withColumn("n", F.size("members").cast("long")))
+    links = scratch.keep(confirmed(pairs, sets, percent, reading))
     found = components(links, scratch)
-    rows, few = members.select("key", "id").distinct(), CHALLENGERS
+    rows, few = members.select("key", "id"), CHALLENGERS
     while True:
         open_rows = _still_open(rows, found)
         if open_rows.isEmpty():
             return found, links
         # Rows that can link with nothing any more leave; what is left may then be settled.
-        bounded = scratch.keep(_with_bounds(scratch.keep(open_rows), sets, percent))
+        bounded = scratch.keep(_with_bounds(scratch.keep(open_rows), sets, percent, reading))
         sizes = bounded.groupBy("key", "label").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("largest"))
         first = Window.partitionBy("key").orderBy("id")
@@ -131,7 +150,7 @@ def similar_components(
         pairs = scratch.keep(
             bounded.join(challengers, "key").where((F.col("label") != F.col("own")) & reach).select(*_pair("id", "by")).distinct()
         )
-        more = scratch.keep(confirmed(pairs, sets, percent))
+        more = scratch.keep(confirmed(pairs, sets, percent, reading))
         if not more.isEmpty():
             links = scratch.keep(links.unionByName(more).distinct())
             found = components(links, scratch)
