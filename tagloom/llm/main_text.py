@@ -103,9 +103,13 @@ def learnt(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
     """Scores of the kinds of token, from pages whose publisher marks the article.
 
     The score of a kind is its log-odds of lying inside the marked article, with PRIOR
-    tokens that speak for the starting value. At most `sample` pages, those of least hash, are read.
+    tokens that speak for the starting value. At most `sample` pages, those of least hash, are read;
+    repeated pages among them count once.
     """
-    marked = pages.select(F.col("html").cast("string").alias("html")).where("lower(html) LIKE '%<article%'")
+    marked = pages.select("page_id", F.col("html").cast("string").alias("html")).where("lower(html) LIKE '%<article%'")
+    marked = marked.select("html", F.xxhash64("page_id", "html").alias("_hash"))
+    # Only hashes are ranked: no page leaves its task before it is known to be in the sample.
+    last = marked.select("_hash").orderBy("_hash").limit(sample).agg(F.max("_hash")).first()[0]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -116,7 +120,7 @@ def learnt(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
                     seen[kind, inside] = seen.get((kind, inside), 0) + n
             yield pd.DataFrame([(k, i, n) for (k, i), n in seen.items()], columns=["kind", "inside", "n"])
 
-    chosen = marked.orderBy(F.xxhash64("html")).limit(sample).repartition(8)
+    chosen = marked.where(F.col("_hash") <= F.lit(last)).select("html").distinct()
     found = chosen.mapInPandas(count, "kind string, inside boolean, n long").groupBy("kind", "inside").agg(F.sum("n").alias("n"))
     seen = {(r.kind, r.inside): r.n for r in found.collect()}
     weights = {}
