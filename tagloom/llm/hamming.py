@@ -73,7 +73,8 @@ def nearest(vectors: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Dat
             own = own.select("query", F.lit(j).alias("segment"), "value", mask.alias("mask"))
             own = own.select("query", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
             probes = own if probes is None else probes.unionByName(own)
-        found = probes.join(index, ["segment", "value"]).select("query", "code").distinct()
+        # Both sides grow with the table, so they are merged: nothing is gathered in the driver to be broadcast.
+        found = probes.join(index.hint("merge"), ["segment", "value"]).select("query", "code").distinct()
         found = found.withColumn("distance", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).cast("int"))
         everything = found if best is None else best.unionByName(found).distinct()
         # Codes in order of distance until they hold enough rows; all at the last distance stay.
@@ -85,14 +86,14 @@ def nearest(vectors: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Dat
         covered = len(parts) * (radius + 1) - 1
         sizes = distinct.select("code", F.size("ids").alias("n"))
         reached = (
-            best.where(F.col("distance") <= covered).join(sizes, "code").groupBy("query").agg(F.sum("n").alias("n")).where(F.col("n") >= need)
+            best.where(F.col("distance") <= covered).join(sizes.hint("merge"), "code").groupBy("query").agg(F.sum("n").alias("n")).where(F.col("n") >= need)
         )
         open_codes = scratch.keep(open_codes.join(reached, "query", "left_anti"))
         if open_codes.isEmpty():
             break
     if best is None:
         best = scratch.keep(open_codes.selectExpr("query", "query AS code", "0 AS distance"))
-    pairs = best.join(distinct, "code").select("query", "distance", F.explode("ids").alias("vec_id"))
+    pairs = best.join(distinct.hint("merge"), "code").select("query", "distance", F.explode("ids").alias("vec_id"))
     closest = Window.partitionBy("query").orderBy("distance", "vec_id")
     pairs = pairs.withColumn("place", F.row_number().over(closest)).where(F.col("place") <= top + 1)
     asked = wanted.select(F.col("vec_id").alias("query_id"), F.col("code").alias("query"))
