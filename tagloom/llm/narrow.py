@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Residues of hashed keys that are broadcast: at most so many longs, whatever the data.
-RESIDUES = 1 << 20
+#: A filter is at most WORDS longs of 64 bits each, whatever the data.
+WORDS = 1 << 20
 
 
-def _residue(*columns: Column) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(RESIDUES))
+def _place(*columns: Column) -> tuple[Column, Column]:
+    """Word and bit of a key in the filter."""
+    hashed = F.xxhash64(*columns)
+    return F.pmod(hashed, F.lit(WORDS)), F.shiftrightunsigned(hashed, 58).cast("int")
 
 
 def residues(keys: DataFrame, *names: str) -> DataFrame:
-    """The distinct residues of the keys: RESIDUES rows at most."""
-    return keys.select(_residue(*[F.col(n) for n in names]).alias("_residue")).distinct()
+    """The filter of the keys: one bit for each residue of their hashes, WORDS rows at most."""
+    word, bit = _place(*[F.col(n) for n in names])
+    bits = keys.select(word.alias("_word"), F.call_function("shiftleft", F.expr("1L"), bit).alias("_bits"))
+    return bits.groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
 
 
 def possible(df: DataFrame, kept: DataFrame, *names: str, within: bool = True) -> DataFrame:
@@ -26,7 +30,9 @@ def possible(df: DataFrame, kept: DataFrame, *names: str, within: bool = True) -
     join never depends on it. Null keys have a residue like any other value.
     """
     how = "left_semi" if within else "left_anti"
-    return df.join(F.broadcast(kept), _residue(*[df[n] for n in names]) == kept["_residue"], how)
+    word, bit = _place(*[df[n] for n in names])
+    is_set = kept["_bits"].bitwiseAND(F.call_function("shiftleft", F.expr("1L"), bit)) != 0
+    return df.join(F.broadcast(kept), (word == kept["_word"]) & is_set, how)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -44,6 +44,11 @@ def _sentences(part: T.Slice) -> tuple[T.Words, np.ndarray, np.ndarray]:
     return found, hashes, np.append(np.repeat(heads, pieces) + inner * SENTENCE, n).astype(np.int64)
 
 
+def _stops(heads: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Where the runs that begin with the sentences `index` end; beyond the row where there is none."""
+    return np.maximum(np.searchsorted(heads, heads[index] + SPAN_WORDS), index + 2)
+
+
 def _spans(part: T.Slice) -> dict[str, np.ndarray]:
     found, hashes, heads = _sentences(part)
     starts = heads[:-1]
@@ -51,21 +56,20 @@ def _spans(part: T.Slice) -> dict[str, np.ndarray]:
     row_first = np.searchsorted(heads, found.bounds[row])
     row_end = np.searchsorted(heads, found.bounds[row + 1])
     index = np.arange(len(starts))
-    stop = np.maximum(np.searchsorted(heads, starts + SPAN_WORDS), index + 2)
+    stop = _stops(heads, index)
     whole = stop <= row_end
     index, stop, row, row_first = index[whole], stop[whole], row[whole], row_first[whole]
     a, b = heads[index], heads[stop]
     return {
         "row": row,
         "sentence": (index - row_first).astype(np.int32),
-        "n": (stop - index).astype(np.int32),
         "h1": T.span_hashes(hashes, a, b),
         "h2": T.span_hashes(T.mix64(hashes, 3), a, b),
     }
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """doc_id, sentence (the first of the run), n (sentences), h1, h2: every run of every document."""
+    """doc_id, sentence (the first of the run), h1, h2: every run of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,15 +79,14 @@ def spans(docs: DataFrame) -> DataFrame:
                     [
                         batch.column(0).slice(part.first, len(part)).take(pa.array(found["row"])),
                         pa.array(found["sentence"]),
-                        pa.array(found["n"]),
                         pa.array(found["h1"].view(np.int64)),
                         pa.array(found["h2"].view(np.int64)),
                     ],
-                    names=["doc_id", "sentence", "n", "h1", "h2"],
+                    names=["doc_id", "sentence", "h1", "h2"],
                 )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, sentence int, n int, h1 long, h2 long"
+        run, "doc_id long, sentence int, h1 long, h2 long"
     )
 
 
@@ -99,25 +102,27 @@ def without_repeated_spans(docs: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "spans")
     keyed = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("_doc"))
-    runs = scratch.keep(spans(keyed.where("doc_id IS NOT NULL")))
-    shared = scratch.keep(
-        runs.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"))
-        .where("copies > 1")
-        .select("h1", "h2", "first_doc")
+    # Runs are many times cheaper to hash again than to store or to shuffle with their places: one pass
+    # counts the hashes alone, another one takes the places of those that repeat.
+    runs = spans(keyed.where("doc_id IS NOT NULL"))
+    repeated = scratch.keep(runs.select("h1").groupBy("h1").agg(F.count("*").alias("copies")).where("copies > 1").select("h1"))
+    places = scratch.keep(possible(runs, residues(repeated, "h1"), "h1"))
+    shared = (
+        places.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies")).where("copies > 1")
     )
-    near = possible(runs, residues(shared, "h1"), "h1").join(shared, ["h1", "h2"])
-    later = near.where("doc_id <> first_doc").select("doc_id", "sentence", "n")
+    shared = scratch.keep(shared.select("h1", "h2", "first_doc"))
+    near = places.join(shared, ["h1", "h2"])
+    later = near.where("doc_id <> first_doc").select("doc_id", "sentence")
     # Within the document of the first occurrence, later places go as well.
     own = near.where("doc_id = first_doc")
     place = own.groupBy("h1", "h2").agg(F.min("sentence").alias("first_sentence"))
-    again = own.join(place, ["h1", "h2"]).where("sentence <> first_sentence").select("doc_id", "sentence", "n")
-    covered = later.unionByName(again).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set(F.struct("sentence", "n")).alias("cover"))
+    again = own.join(place, ["h1", "h2"]).where("sentence <> first_sentence").select("doc_id", "sentence")
+    covered = later.unionByName(again).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("sentence").alias("cover"))
     covered = scratch.keep(covered)
     gone = residues(covered, "_doc")
     touched = possible(keyed, gone, "_doc").join(covered, "_doc", "left").select("doc_id", "text", "cover")
     untouched = possible(keyed, gone, "_doc", within=False).select(
-        "doc_id", "text", F.lit(None).cast("array<struct<sentence:int,n:int>>").alias("cover")
+        "doc_id", "text", F.lit(None).cast("array<int>").alias("cover")
     )
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -131,9 +136,10 @@ def without_repeated_spans(docs: DataFrame) -> DataFrame:
                     first, n = lows[r], lows[r + 1] - lows[r]
                     out = np.zeros(n + 1, dtype=np.int64)
                     cover = batch["cover"].iloc[part.first + r]
-                    for c in cover if cover is not None else ():
-                        out[c["sentence"]] += 1
-                        out[min(c["sentence"] + c["n"], n)] -= 1
+                    begun = np.asarray(cover if cover is not None else (), dtype=np.int64)
+                    begun = begun[begun < n]
+                    np.add.at(out, begun, 1)
+                    np.add.at(out, np.minimum(_stops(heads, first + begun) - first, n), -1)
                     gone = np.cumsum(out[:-1]) > 0
                     count.append(int(n))
                     dropped.append(int(gone.sum()))
