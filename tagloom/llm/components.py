@@ -18,6 +18,15 @@ def _with_least(edges: DataFrame) -> DataFrame:
     return edges.join(least.withColumnRenamed("u", "n"), F.col("u") == F.col("n")).select("u", "v", "m")
 
 
+def _unfinished(edges: DataFrame) -> DataFrame:
+    """Nodes with two lower neighbours, or with a lower and a higher one: none where all edges form stars around least nodes."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above"))
+    )
+    sums = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return sums.where("below > 1 OR below = 1 AND above = 1")
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) of every node of `edges` (columns a, b); component is the least node.
 
@@ -30,24 +39,17 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     now = scratch.keep(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     )
-    while True:
+    while not _unfinished(now).isEmpty():
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Large star: the neighbours above a node go to the least node around it.
         large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = scratch.keep(large.where("u <> v").distinct())
         # Small star: a node and its lower neighbours go to the least of them.
-        low = _with_least(large)
+        low = _with_least(large.where("u <> v").distinct())
         small = low.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v"))
         )
         after = scratch.keep(small.where("u <> v").distinct())
-        sums = [
-            t.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-            for t in (now, after)
-        ]
-        scratch.free(now, large)
+        scratch.free(now)
         now = after
-        if sums[0] == sums[1]:
-            break
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())

@@ -60,10 +60,11 @@ def _lines(part: T.Slice) -> dict:
 
 
 def _windows(points: np.ndarray) -> np.ndarray:
-    """One value for each run of SHINGLE code points."""
-    total = np.zeros(len(points) - SHINGLE + 1, dtype=np.uint64)
-    for j in range(SHINGLE):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + points[j : len(total) + j]
+    """One polynomial value for each run of SHINGLE (a power of two) code points, by doubling."""
+    total, factor, width = points, 0x9E3779B97F4A7C15, 1
+    while width < SHINGLE:
+        total = total[:-width] * np.uint64(factor) + total[width:]
+        factor, width = factor * factor % (1 << 64), 2 * width
     return total
 
 

@@ -122,14 +122,14 @@ def similar_components(
     sets = fetch(ids)
     sets = scratch.keep(sets if "n" in sets.columns else sets.withColumn("n", F.size("members").cast("long")))
     links = scratch.keep(confirmed(pairs, sets, percent, reading))
-    found = components(links, scratch)
+    found = scratch.keep(components(links, scratch))
     rows, few = members.select("key", "id"), CHALLENGERS
     while True:
-        open_rows = _still_open(rows, found)
+        open_rows = scratch.keep(_still_open(rows, found))
         if open_rows.isEmpty():
             return found, links
         # Rows that can link with nothing any more leave; what is left may then be settled.
-        bounded = scratch.keep(_with_bounds(scratch.keep(open_rows), sets, percent, reading))
+        bounded = scratch.keep(_with_bounds(open_rows, sets, percent, reading))
         sizes = bounded.groupBy("key", "label").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("largest"))
         first = Window.partitionBy("key").orderBy("id")
@@ -153,11 +153,25 @@ def similar_components(
         more = scratch.keep(confirmed(pairs, sets, percent, reading))
         if not more.isEmpty():
             links = scratch.keep(links.unionByName(more).distinct())
-            found = components(links, scratch)
+            found = _merged(found, more, scratch)
         done = challengers.select("key", F.col("by").alias("id"))
         rows, few = scratch.keep(bounded.select("key", "id").join(done, ["key", "id"], "left_anti")), 4 * few
 
 
+def _merged(found: DataFrame, more: DataFrame, scratch: Scratch) -> DataFrame:
+    """`found` with the components joined that the links `more` connect: a graph of components, not of items."""
+    known = found.select(F.col("node").alias("id"), "component")
+    ends = more
+    for end in ("a", "b"):
+        ends = ends.join(known.withColumnRenamed("id", end), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    joined = scratch.keep(components(ends, scratch))
+    now = joined.select(F.col("node").alias("was"), F.col("component").alias("now"))
+    moved = found.join(now, F.col("component") == F.col("was"), "left").select("node", F.coalesce("now", "component").alias("component"))
+    # Items that were alone are nodes of the graph of components.
+    single = joined.join(found.select("node"), "node", "left_anti")
+    return scratch.keep(moved.unionByName(single))
+
+
 def _still_open(rows: DataFrame, found: DataFrame) -> DataFrame:
     """(key, id, label) of the buckets that hold several components."""
     known = found.select(F.col("node").alias("id"), "component")
