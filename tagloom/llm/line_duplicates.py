@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,8 @@ def _lines(part: T.Slice) -> dict:
     long = ends - starts >= LEAST
     starts, ends, row, line = starts[long], ends[long], row[long], line[long]
     wide = points.astype(np.uint64)
+    digests = [hashlib.blake2b(text[a:b].encode(), digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())]
+    digest = np.frombuffer(b"".join(digests), dtype="<u8").reshape(-1, 2)
     return {
         "text": text,
         "points": wide,
@@ -54,8 +57,8 @@ def _lines(part: T.Slice) -> dict:
         "line": line.astype(np.int32),
         "starts": starts,
         "ends": ends,
-        "h1": T.span_hashes(T.mix64(wide, 5), starts, ends),
-        "h2": T.span_hashes(T.mix64(wide, 6), starts, ends),
+        "h1": digest[:, 0].copy(),
+        "h2": digest[:, 1].copy(),
     }
 
 
