@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,12 +18,24 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def temperature(totals: DataFrame, entropy: float | None, repetition: float | None) -> float:
-    """The greatest exponent in 0..1 that meets the target, by bisection on a grid.
+    """The exponent in 0..1 that meets the targets, by bisection on a grid; 1 without a target.
+
+    Weights grow more even as the exponent falls, and small sources are repeated more. An entropy target
+    takes the greatest exponent that meets it, a repetition limit the smallest that keeps within it. With both the
+    greater of the two is taken: the limit holds, and the entropy as far as the limit lets it.
 
     Each round evaluates 32 exponents in one aggregate over the sources, so any number of sources does.
     entropy: least entropy of the weights in nats (beyond that of equal weights: 0 is taken).
     repetition: most times a source is repeated relative to the one repeated least.
     """
+    found = [] if entropy is None else [_edge(totals, lambda z, plogp, _: math.log(z) - plogp / z >= entropy - 1e-12, True)]
+    if repetition is not None:
+        found.append(_edge(totals, lambda z, plogp, ratio: ratio <= repetition * (1 + 1e-12), False))
+    return max(found, default=1.0)
+
+
+def _edge(totals: DataFrame, met: Callable[[float, float, float], bool], greatest: bool) -> float:
+    """The greatest exponent that meets what holds up to some exponent, or the smallest that meets what holds from one on."""
     low, high = 0.0, 1.0
     for _ in range(4):
         grid = [low + (high - low) * i / 32 for i in range(33)]
@@ -31,18 +44,20 @@ def temperature(totals: DataFrame, entropy: float | None, repetition: float | No
             p = F.pow("share", F.lit(a))
             columns += [F.sum(p), F.sum(p * F.log(p)), F.max(F.pow("share", F.lit(a - 1))), F.min(F.pow("share", F.lit(a - 1)))]
         got = totals.agg(*columns).first()
-        met = []
-        for i in range(33):
-            z, plogp, most, least = got[4 * i : 4 * i + 4]
-            if z is None:
-                return 1.0
-            ok = entropy is None or math.log(z) - plogp / z >= entropy - 1e-12
-            met.append(ok and (repetition is None or most / least <= repetition * (1 + 1e-12)))
-        last = max((i for i in range(33) if met[i]), default=0)
-        if last == 32:
-            return grid[32]
-        low, high = grid[last], grid[last + 1]
-    return low
+        if got[0] is None:
+            return 1.0
+        good = [met(z, plogp, most / least) for z, plogp, most, least in (got[4 * i : 4 * i + 4] for i in range(33))]
+        if greatest:
+            last = max((i for i in range(33) if good[i]), default=0)
+            if last == 32:
+                return grid[32]
+            low, high = grid[last], grid[last + 1]
+        else:
+            first = min((i for i in range(33) if good[i]), default=32)
+            if first == 0:
+                return grid[0]
+            low, high = grid[first - 1], grid[first]
+    return low if greatest else high
 
 
 def mixed(

@@ -142,6 +142,26 @@ def test_mixture_meets_its_weights(spark):
         assert abs(n - epochs[source] * total[source]) <= max(words.values()) * -(-total[source] // 20_000)
 
 
+def test_small_sources_are_repeated_up_to_the_limit(spark):
+    from tagloom.llm.mixing import REPETITION_LIMIT, mixture, temperature
+
+    sizes = {"hot": 600, "mid": 150, "small": 60, "least": 20}
+    rows = [(f"{s}{i}", s) for s, n in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame([(i, s, f"a few words of {x}") for i, (x, s) in enumerate(rows)], "doc_id long, source string, text string")
+    for options, limit in (({}, REPETITION_LIMIT), ({"repetition": 4.0}, 4.0)):
+        got = mixture(docs, **options).collect()
+        epochs = {r.source: r.epochs for r in got}
+        assert epochs["hot"] == pytest.approx(1) and epochs["least"] == max(epochs.values())
+        assert limit * (1 - 1e-4) <= max(epochs.values()) / min(epochs.values()) <= limit * (1 + 1e-9)
+        copies = collections.Counter(r.source for r in got)
+        assert {r.doc_id for r in got} == set(range(len(rows)))
+        assert all(abs(copies[s] - epochs[s] * n) <= 1 for s, n in sizes.items()) and copies["least"] > sizes["least"]
+    even = spark.createDataFrame([(0.6,), (0.25,), (0.15,)], "share double")
+    assert temperature(even, None, 10.0) == 0 and temperature(even, None, 1.0) == 1 and temperature(even, None, None) == 1
+    some, both = temperature(even, 1.0, None), temperature(even, 1.0, 1.1)
+    assert 0 < some < both == temperature(even, None, 1.1) < 1 and temperature(even, 9.0, None) == 0
+
+
 def test_pipeline_loses_only_what_its_stages_reject(spark, texts):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     now = docs
