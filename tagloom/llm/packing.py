@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm import textcols as T
@@ -18,8 +18,8 @@ from tagloom.llm.scratch import Scratch
 WINDOW, END_ID = 2048, 1
 #: Tokens of a shard of the index: what one task holds at a time, whatever the size of the corpus.
 SHARD_TOKENS = 1 << 20
-#: Terms of a seed that are looked up: those of greatest weight.
-QUERY_TERMS = 32
+#: Beyond every id of the vocabulary.
+NO_TERM = 1 << 16
 K1, B = 1.2, 0.75
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -67,27 +67,113 @@ def frequencies(rows: DataFrame) -> np.ndarray:
     return out
 
 
+def _bm25(ids: np.ndarray, idf: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct terms of a document and their BM25 weights."""
+    terms, times = np.unique(ids, return_counts=True)
+    return terms, idf[terms] * times * (K1 + 1) / (times + K1 * (1 - B + B * len(ids) / mean))
+
+
+def _keys(rows: pa.Array, idf: np.ndarray, mean: float, shared: np.ndarray) -> np.ndarray:
+    """The two heaviest terms of each document among those of `shared`; NO_TERM where there are fewer."""
+    lists = [np.frombuffer(ids.as_py(), dtype="<u2") for ids in rows]
+    size = np.array([len(x) for x in lists], dtype=np.int64)
+    out = np.full((len(rows), 2), NO_TERM, dtype=np.int64)
+    # So many tokens at a time that the arrays stay small.
+    piece = (np.cumsum(size) - size) >> 18
+    for begin, end in zip(*(np.searchsorted(piece, np.unique(piece), side) for side in ("left", "right"))):
+        ids = np.concatenate(lists[begin:end])
+        owner = np.repeat(np.arange(end - begin, dtype=np.uint32), size[begin:end])
+        both = np.sort(owner << np.uint32(16) | ids)
+        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+        times = np.diff(np.append(first, len(both)))
+        term, doc = (both[first] & np.uint32(0xFFFF)).astype(np.int64), (both[first] >> np.uint32(16)).astype(np.int64)
+        own = shared[term]
+        term, doc, times = term[own], doc[own], times[own]
+        weight = idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * size[begin + doc] / mean))
+        for column in range(2):
+            starts = np.flatnonzero(np.diff(doc, prepend=-1))
+            if not len(starts):
+                break
+            most = np.maximum.reduceat(weight, starts)
+            # The first of equal weights.
+            best = np.flatnonzero(weight == np.repeat(most, np.diff(np.append(starts, len(doc)))))
+            best = best[np.diff(doc[best], prepend=-1) > 0]
+            out[begin + doc[best], column] = term[best]
+            term, doc, weight = np.delete(term, best), np.delete(doc, best), np.delete(weight, best)
+    return out
+
+
+def dealt(rows: DataFrame, idf: np.ndarray, mean: float, shared: np.ndarray, shard_tokens: int) -> DataFrame:
+    """The rows and their shard: documents with the same heaviest term of `shared` lie together.
+
+    Terms of few documents share a shard; one of more than a shard is split by the second heaviest term,
+    and documents that agree in both by hash. The driver holds one number per term and one per shard.
+    """
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _keys(batch.column(1), idf, mean, shared)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found[:, 0]), pa.array(found[:, 1])], names=["n_tokens", "a", "b"]
+            )
+
+    pairs = rows.select("n_tokens", "ids").mapInArrow(key, "n_tokens long, a long, b long")
+    pairs = Scratch(rows.sparkSession, "packing").keep(pairs.groupBy("a", "b").agg(F.sum("n_tokens").alias("n")))
+    totals = {r.a: r.n for r in pairs.groupBy("a").agg(F.sum("n").alias("n")).collect()}
+    base, parts = np.zeros(NO_TERM + 1, dtype=np.int64), np.ones(NO_TERM + 1, dtype=np.int64)
+    shard, held = 0, 0
+    for a, n in sorted(totals.items()):
+        if n > shard_tokens:
+            parts[a] = -(-n // shard_tokens)
+        if held and (n > shard_tokens or held + n > shard_tokens):
+            shard, held = shard + 1, 0
+        base[a] = shard
+        held += n
+        if parts[a] > 1:
+            shard, held = shard + int(parts[a]), 0
+    # Each cut between two parts of a term, as the second term in which it falls.
+    size = F.sum("n").over(Window.partitionBy("a"))
+    upto = F.sum("n").over(Window.partitionBy("a").orderBy("b"))
+    count = F.ceil(F.col("size") / F.lit(shard_tokens))
+    at = lambda place: F.floor(place * F.col("parts") / F.col("size")).cast("long")
+    cuts = pairs.withColumn("size", size).withColumn("upto", upto).where(F.col("size") > shard_tokens)
+    cuts = cuts.withColumn("parts", count).withColumn("cuts", at(F.col("upto")) - at(F.col("upto") - F.col("n")))
+    ends = [(r.a, r.b) for r in cuts.where("cuts > 0").selectExpr("a", "b", "explode(sequence(1L, cuts))").collect()]
+    # The last cut of a term is its end.
+    ends = np.array(sorted(a << 17 | b for a, b in ends), dtype=np.int64)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _keys(batch.column(batch.schema.get_field_index("ids")), idf, mean, shared)
+            a, both = found[:, 0], found[:, 0] << 17 | found[:, 1]
+            begin = np.searchsorted(ends, a << 17)
+            low = np.searchsorted(ends, both) - begin
+            high = np.minimum(np.searchsorted(ends, both, side="right") - begin, parts[a] - 1)
+            row = batch.column(batch.schema.get_field_index("row")).to_numpy(zero_copy_only=False).astype(np.uint64)
+            some = (T.mix64(row, 5) % (high - low + 1).astype(np.uint64)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(base[a] + low + some)], names=[*batch.schema.names, "shard"])
+
+    schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
+    return rows.mapInArrow(deal, f"{schema}, shard long")
+
+
 class Index:
     """BM25 index of one shard: postings by term, weights from corpus-wide frequencies."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
-        found = [np.unique(d, return_counts=True) for d in docs]
+        found = [_bm25(d, idf, mean) for d in docs]
         owner = np.repeat(np.arange(len(docs)), [len(t) for t, _ in found])
         term = np.concatenate([t for t, _ in found]).astype(np.int64)
-        times = np.concatenate([c for _, c in found]).astype(np.float64)
-        length = np.array([len(d) for d in docs], dtype=np.float64)[owner]
-        weight = idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * length / mean))
+        weight = np.concatenate([w for _, w in found])
         self.by_doc = np.concatenate([[0], np.cumsum([len(t) for t, _ in found])])
-        self.term, self.weight, self.size = term, weight, len(docs)
+        self.term, self.size = term, len(docs)
         order = np.argsort(term, kind="stable")
         self.docs, self.weights = owner[order], weight[order]
         self.bounds = np.searchsorted(term[order], np.arange((1 << 16) + 1))
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents that share a term with the seed, best first; ties by place."""
-        own = slice(self.by_doc[seed], self.by_doc[seed + 1])
-        best = np.argsort(-self.weight[own], kind="stable")[:QUERY_TERMS]
-        terms = self.term[own][best]
+        terms = self.term[self.by_doc[seed] : self.by_doc[seed + 1]]
         spans = [slice(self.bounds[t], self.bounds[t + 1]) for t in terms]
         score = np.bincount(
             np.concatenate([self.docs[s] for s in spans]),
@@ -156,8 +242,8 @@ def packed(shard: int, docs: list[np.ndarray], idf: np.ndarray, mean: float, win
 def packing(docs: DataFrame, vocabulary: str = VOCABULARY, window: int = WINDOW) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Documents are dealt at random to shards of about SHARD_TOKENS tokens, each with a BM25 index over
-    whole texts and the frequencies of the whole corpus. All sequences are full but the last of
+    Documents are dealt by their heaviest terms to shards of about SHARD_TOKENS tokens, each with a BM25 index over
+    whole texts and the frequencies of the whole corpus; neighbours in other shards are not found. All sequences are full but the last of
     a shard. Null and empty texts are documents of the end id alone; repeated rows and rows without an
     id are documents of their own; an empty table gives no rows; other columns are not read.
     """
@@ -165,7 +251,6 @@ def packing(docs: DataFrame, vocabulary: str = VOCABULARY, window: int = WINDOW)
     rows = scratch.keep(tokens(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()))
     total = rows.agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens")).first()
     n_docs, n_tokens = total.docs, total.tokens or 0
-    shards = max(1, -(-n_tokens // SHARD_TOKENS))
     seen = frequencies(rows)
     idf, mean = np.log1p((n_docs - seen + 0.5) / (seen + 0.5)), max(n_tokens / max(n_docs, 1), 1.0)
     kind = dict(docs.dtypes)["doc_id"]
@@ -187,9 +272,12 @@ def packing(docs: DataFrame, vocabulary: str = VOCABULARY, window: int = WINDOW)
             }
         )
 
+    # A term that would not fill a good part of a shard leaves its documents among strangers.
+    shared = seen >= max(2, SHARD_TOKENS / (4 * mean))
+    whole = n_tokens <= SHARD_TOKENS
+    placed = rows.withColumn("shard", F.lit(0).cast("long")) if whole else dealt(rows, idf, mean, shared, SHARD_TOKENS)
     return (
-        rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
-        .groupBy("shard")
+        placed.groupBy("shard")
         .applyInPandas(
             pack,
             f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",

@@ -51,6 +51,38 @@ def test_packing_is_a_round_trip(spark, texts):
     assert sizes.max() <= 2048 and (sizes < 2048).sum() <= 1
 
 
+def test_neighbours_of_the_whole_table_share_a_shard(spark, monkeypatch):
+    from tagloom.llm import packing
+
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 20_000)
+    rng = np.random.default_rng(3)
+    # 16 topics of 20 words, each topic written in letters of its own; 40 words that all topics use.
+    own = [rng.choice([chr(0x3041 + 5 * g + k) for k in range(5)], (20, 2)) for g in range(16)]
+    common = ["".join(w) for w in rng.choice(list("abcdefghijklmnop"), (40, 4))]
+    text = lambda g: " ".join([*rng.choice(common, 40), *("".join(w) for w in own[g][rng.integers(0, 20, 20)])])
+    docs = spark.createDataFrame([(i, text(i % 16)) for i in range(800)], "doc_id long, text string")
+    ids = {r.doc_id: np.frombuffer(r.ids, dtype="<u2") for r in packing.tokens(docs).collect()}
+    got = packing.packing(docs).collect()
+    shard = {r.doc_id: r.sequence_id >> 32 for r in got}
+    sizes = collections.Counter(shard[r.doc_id] for r in got for _ in range(r.length))
+    assert len(sizes) > 4 and max(sizes.values()) <= 2 * 20_000
+    assert sum(sizes.values()) == sum(map(len, ids.values()))
+    seen = np.bincount(np.concatenate([np.unique(x) for x in ids.values()]), minlength=1 << 16)
+    idf, mean = np.log1p((800 - seen + 0.5) / (seen + 0.5)), np.mean([len(x) for x in ids.values()])
+    index = packing.Index([ids[i] for i in range(800)], idf, mean)
+    best = {i: [j for j in index.neighbours(i, np.ones(800, bool)).tolist() if j != i][:5] for i in range(0, 800, 7)}
+    found = [shard[i] == shard[j] for i, near in best.items() for j in near]
+    assert sum(found) >= 0.5 * len(found) > 2 * len(found) / len(sizes)
+
+
+def test_every_term_of_a_seed_counts():
+    from tagloom.llm.packing import Index
+
+    docs = [np.arange(10, 74), np.array([73]), *[np.array([t, t]) for t in range(10, 50)]]
+    rare = np.where(np.arange(1 << 16) < 50, 9.0, 0.1)
+    assert 1 in Index(docs, rare, 8.0).neighbours(0, np.ones(len(docs), bool))
+
+
 def test_apostrophes_and_white_space_encode_alike():
     import public_tokenizers
     import pyarrow as pa
