@@ -22,9 +22,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that resemble an earlier one; those of which nothing is left go."""
+    """Documents without lines, short ones included, that resemble an earlier one; those of which nothing is left go."""
     names = docs.columns
-    return without_repeated_lines(docs).where("_removed = 0 OR _left > 0").select(names)
+    return without_repeated_lines(docs, least=1).where("_removed = 0 OR _left > 0").select(names)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

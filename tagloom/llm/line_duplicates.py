@@ -16,14 +16,14 @@ from tagloom.llm.lsh import Reading, similar_components
 from tagloom.llm.narrow import fresh, possible, residues
 from tagloom.llm.scratch import Scratch
 
-#: Characters of a shingle; shorter lines than LEAST characters are left alone.
+#: Characters of a shingle; unless told otherwise, shorter lines than LEAST characters are left alone.
 SHINGLE, LEAST = 8, 16
 #: 14 bands of 4 values (28 permutations) miss a pair of similarity 0.8 in fewer than 1 of 1,000 cases.
 BANDS, ROWS, PERCENT = 14, 4, 80
 
 
-def _lines(part: T.Slice) -> dict:
-    """Lines of a slice that take part: row, line (its number in the text), span in code points, digest.
+def _lines(part: T.Slice, least: int) -> dict:
+    """Lines of a slice with `least` characters that are not blank: row, line (its number in the text), span in code points, digest.
 
     A line is compared without the white space around it and with ASCII letters in lower case.
     """
@@ -45,7 +45,7 @@ def _lines(part: T.Slice) -> dict:
     some = last > first
     starts, ends = place[first[some]], place[last[some] - 1] + 1
     row, line = row[some], line[some]
-    long = ends - starts >= LEAST
+    long = ends - starts >= least
     starts, ends, row, line = starts[long], ends[long], row[long], line[long]
     wide = points.astype(np.uint64)
     digests = [hashlib.blake2b(text[a:b].encode(), digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())]
@@ -78,7 +78,7 @@ def _set(line: str) -> np.ndarray:
 
 def _shingles(found: dict) -> tuple[np.ndarray, np.ndarray]:
     """(index of the line, hash) of all character shingles, repeats included."""
-    points, size = found["points"], found["ends"] - found["starts"] - SHINGLE + 1
+    points, size = found["points"], np.maximum(found["ends"] - found["starts"] - SHINGLE + 1, 0)
     if not len(size):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     total = _windows(points)
@@ -91,15 +91,19 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def line_sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, line, h1, h2 (digest of the content), bands: one row per line that takes part."""
+def line_sketches(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """doc_id, line, h1, h2 (digest of the content), bands: one row per line that takes part.
+
+    Lines without a whole shingle have no bands: they are like their exact copies alone.
+    """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in T.slices(batch.column(1)):
-                found = _lines(part)
+                found = _lines(part, least)
                 n = len(found["row"])
                 owner, hashes = _shingles(found)
+                some = found["ends"] - found["starts"] >= SHINGLE
                 keys = T.band_keys(T.min_max_signatures(n, owner, hashes, BANDS * ROWS // 2), BANDS, ROWS)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -108,7 +112,7 @@ def line_sketches(docs: DataFrame) -> DataFrame:
                         _signed(found["h1"]),
                         _signed(found["h2"]),
                         pa.ListArray.from_arrays(
-                            pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel())
+                            pa.array(np.concatenate([[0], np.cumsum(some) * BANDS]).astype(np.int32)), pa.array(keys[some].ravel())
                         ),
                     ],
                     names=["doc_id", "line", "h1", "h2", "bands"],
@@ -119,14 +123,14 @@ def line_sketches(docs: DataFrame) -> DataFrame:
     )
 
 
-def _line_texts(docs: DataFrame) -> DataFrame:
+def _line_texts(docs: DataFrame, least: int) -> DataFrame:
     """id, n, members: the lines that the column `wanted` (their h1) of each document names, as text, and their number of shingles."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column(1).to_pylist()
             for part in T.slices(batch.column(0)):
-                found = _lines(part)
+                found = _lines(part, least)
                 of = list(zip(found["row"].tolist(), found["h1"].view(np.int64).tolist()))
                 asked = {(r, h) for r in range(len(part)) for h in wanted[part.first + r]}
                 chosen = {of[i]: i for i in range(len(of) - 1, -1, -1) if of[i] in asked}
@@ -173,13 +177,13 @@ def _each(lines: DataFrame) -> DataFrame:
 TEXTS = Reading(common=_common, each=_each)
 
 
-def repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def repeated_lines(docs: DataFrame, scratch: Scratch, least: int = LEAST) -> DataFrame:
     """doc_id, drop (line, h1): the lines of each document that are not the first of their component.
 
     h1, a digest of 64 bits, names a line while links are searched; equal lines agree in h2 as well.
     """
     known = docs.where("doc_id IS NOT NULL")
-    lines = scratch.keep(line_sketches(known))
+    lines = scratch.keep(line_sketches(known, least))
     place = F.struct("doc_id", "line")
     firsts = scratch.keep(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("copies")))
 
@@ -190,7 +194,7 @@ def repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
         wanted = scratch.keep(wanted)
         texts = known.select(F.col("doc_id").cast("long").alias("doc"), "text")
         found = possible(texts, residues(wanted, "doc"), "doc").join(wanted, "doc")
-        return _line_texts(found).dropDuplicates(["id"])
+        return _line_texts(found, least).dropDuplicates(["id"])
 
     found, _ = similar_components(lines.select(F.col("h1").alias("id"), "bands"), fetch, PERCENT, scratch, TEXTS)
     linked = possible(firsts.where("copies = 1"), residues(found, "node"), "h1")
@@ -211,13 +215,13 @@ def repeated_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(dropped.groupBy("doc_id").agg(F.collect_set(F.struct("line", "h1")).alias("drop")))
 
 
-def without_repeated_lines(docs: DataFrame) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """The rows and columns of `docs`, and _removed and _left: lines taken out, words left.
 
-    Lines of 16 characters or more are similar where the Jaccard index of their sets of
+    Lines of `least` characters or more (16; 1 takes all) are similar where the Jaccard index of their sets of
     8-character shingles is 0.8 or more; of each component of similar lines the first (least doc_id,
     then line number) stays, everywhere else they are taken out with their line break.
-    Shorter and blank lines stay. n_chars, where there is such a column, follows the new text.
+    Lines of under 8 characters are similar to exact copies only. Shorter lines than `least` and blank ones stay. n_chars, where there is such a column, follows the new text.
 
     Rows without a doc_id or text stay as they are. Rows that share a doc_id are copies of one document: each
     keeps that document's first lines. Columns of `docs` called _removed and _left are replaced. An empty
@@ -226,7 +230,7 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     docs = docs.drop("_removed", "_left")
     key, drop = fresh(docs, "_doc"), fresh(docs, "_drop")
     scratch = Scratch(docs.sparkSession, "lines")
-    dropped = repeated_lines(docs.select("doc_id", "text"), scratch)
+    dropped = repeated_lines(docs.select("doc_id", "text"), scratch, least)
     dropped = dropped.select(F.col("doc_id").alias(key), F.col("drop").alias(drop))
     gone = residues(dropped, key)
     keyed = docs.withColumn(key, F.col("doc_id").cast("long"))
@@ -240,7 +244,7 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
             texts = pa.array(batch["text"], pa.large_string())
             out, removed = list(batch["text"]), [0] * len(batch)
             for part in T.slices(texts):
-                found = _lines(part)
+                found = _lines(part, least)
                 content = {
                     (r, i): h for r, i, h in zip(found["row"].tolist(), found["line"].tolist(), found["h1"].view(np.int64).tolist())
                 }

@@ -138,6 +138,22 @@ def test_similar_lines(spark, texts):
     assert got == {i: dropped[i] for i in texts}
 
 
+def test_short_lines_of_the_pipeline(spark, texts):
+    """No line is left twice, however short; near copies of 8 to 15 characters go as well."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = collections.Counter()
+    for r in corpus_pipeline.line_dedup(spark, docs, SF).collect():
+        kept.update(filter(None, (_lower(x.strip(" \t\n\v\f\r")) for x in (r.text or "").split("\n"))))
+    assert max(kept.values()) == 1
+    assert {x for x in kept if len(x) < 8} == {
+        y for t in texts.values() for x in t.split("\n") if 0 < len(y := _lower(x.strip(" \t\n\v\f\r"))) < 8
+    }
+    rows = [(1, "Les.\nabcdefghijklmno\nab\n"), (2, "les. \nzabcdefghijklmno\nabcdefgxijklmno\nac"), (3, "ab\n\nLes.")]
+    small = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, small, SF).collect()}
+    assert got == {1: rows[0][1], 2: "abcdefgxijklmno\nac"}
+
+
 def test_classifier_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     labels = dict(duckdb.execute(f"SELECT doc_id, quality FROM '{sf}/labels.parquet'").fetchall())
