@@ -14,10 +14,11 @@ from tagloom.llm import textcols as T
 from tagloom.llm.narrow import possible, residues
 from tagloom.llm.scratch import Scratch
 
-#: A span is the shortest run of two sentences or more with so many words; longer sentences are cut
-#: after SENTENCE words at most, where the words themselves say so. A repeated
-#: passage of over 50 words then holds a whole span, wherever it begins.
-SPAN_WORDS, SENTENCE = 24, 12
+#: A span is the shortest run of sentences with so many words. Besides punctuation and line breaks, the least word
+#: (by hash) of every WITHIN words that follow one another begins a sentence, so none is longer, and which words do depends on no others.
+#: A repeated passage of SPAN_WORDS + 3 * WITHIN - 2 = 49 words with equal line breaks thus holds a whole span, wherever
+#: it begins: a head lies in its first WITHIN words, and the heads where the span may end are the same in every copy.
+SPAN_WORDS, WITHIN = 24, 9
 
 
 def _sentences(part: T.Slice) -> tuple[T.Words, np.ndarray, np.ndarray]:
@@ -29,19 +30,23 @@ def _sentences(part: T.Slice) -> tuple[T.Words, np.ndarray, np.ndarray]:
     ends = np.zeros(n, dtype=bool)
     if n:
         ends = np.isin(low[found.ends - 1], np.frombuffer(b".!?;:", dtype=np.uint8))
-        ends |= hashes % np.uint64(8) == 0
         breaks = np.concatenate([[0], np.cumsum(part.data == 0x0A)])
         following = np.append(found.starts[1:], len(part.data))
         ends |= breaks[following] > breaks[found.ends]
     first = np.concatenate([[True], ends[:-1]]) if n else ends
     first[found.bounds[:-1][found.bounds[:-1] < n]] = True
-    heads = np.flatnonzero(first)
-    size = np.diff(np.append(heads, n))
-    pieces = -(-size // SENTENCE)
-    # Over-long sentences in pieces of SENTENCE words.
-    before = np.concatenate([[0], np.cumsum(pieces)])
-    inner = np.arange(before[-1]) - np.repeat(before[:-1], pieces)
-    return found, hashes, np.append(np.repeat(heads, pieces) + inner * SENTENCE, n).astype(np.int64)
+    if n >= WITHIN:
+        # The least of every window inside a row, the last one of equals.
+        value, count = T.mix64(hashes, 7), n - WITHIN + 1
+        least, at = value[:count].copy(), np.arange(count)
+        for j in range(1, WITHIN):
+            now = value[j : count + j]
+            lower = now <= least
+            least[lower] = now[lower]
+            at[lower] = np.flatnonzero(lower) + j
+        rows = found.rows
+        first[at[rows[:count] == rows[WITHIN - 1 :]]] = True
+    return found, hashes, np.append(np.flatnonzero(first), n).astype(np.int64)
 
 
 def _stops(heads: np.ndarray, index: np.ndarray) -> np.ndarray:

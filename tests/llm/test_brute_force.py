@@ -113,6 +113,20 @@ def test_repeated_passages_go_and_nothing_else(spark, texts):
             assert any(tuple(w[j : j + 24]) in shared for j in range(len(w)))
 
 
+def test_passages_of_51_words_within_lines(spark):
+    """Without punctuation, between other words on both sides, beginning anywhere."""
+    from tagloom.llm.repeated_spans import without_repeated_spans
+
+    rng = np.random.default_rng(11)
+    some = lambda n: [f"w{x}" for x in rng.integers(0, 10**7, n)]
+    passages = [some(51) for _ in range(400)]
+    texts = [" ".join([*some(rng.integers(1, 90)), *p, *some(rng.integers(1, 90))]) for _ in range(2) for p in passages]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in without_repeated_spans(docs).collect()}
+    assert all(got[i].text == texts[i] for i in range(400))
+    assert [i for i in range(400, 800) if got[i].n_removed == 0] == []
+
+
 def test_similar_lines(spark, texts):
     lines = [(i, k, _lower(x.strip(" \t\n\v\f\r"))) for i, t in sorted(texts.items()) for k, x in enumerate(t.split("\n"))]
     lines = [x for x in lines if len(x[2]) >= 16]
