@@ -92,4 +92,89 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec
 FROM d QUALIFY rank <= 10
 """
 
-SQL = {"op1_host_quality_rules": OP1, "op4_minhash_near_dedup": OP4, "op5_hamming_top_k": OP5}
+#: Candidates of every kind, with their places; owners and repositories of each value.
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
+), kinds(kind, rank, before, pattern, part, least, base) AS (VALUES
+  ('assign', 0, '', '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1, 8, true),
+  ('access', 1, '', 'AKIA[A-Z0-9]+', 0, 16, true),
+  ('hex', 2, '', '[0-9a-f]+', 0, 32, true),
+  ('provider', 3, '[^A-Za-z0-9]', '(gh[pousr]_|glpat-|xox[abprs]-|sk_live_|AIza)[A-Za-z0-9_-]{16,}', 0, 1, false),
+  ('jwt', 4, '[^A-Za-z0-9_-]', 'eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}', 0, 1, false),
+  ('bearer', 5, '', 'Bearer\x20([A-Za-z0-9+/_.=-]{16,})', 1, 1, false),
+  ('url', 6, '', '://[^\s/:@]{1,64}:([^\s/:@]{8,64})@', 1, 1, false)
+), full_kinds AS (
+  SELECT *, CASE WHEN before = '' THEN '()' ELSE '(^|' || before || ')' END AS lead FROM kinds
+), pieces AS (
+  SELECT r, k.kind, rank, least, base, part, lead, pattern,
+    unnest(regexp_extract_all(t, lead || pattern)) AS f,
+    unnest(string_split_regex(t, lead || pattern)[:len(regexp_extract_all(t, lead || pattern))]) AS g,
+    unnest(range(len(regexp_extract_all(t, lead || pattern)))) AS i
+  FROM d, full_kinds k
+), placed AS (
+  SELECT *, sum(length(f) + length(g)) OVER (PARTITION BY r, kind ORDER BY i) AS stop FROM pieces
+), valued AS (
+  SELECT r, kind, rank, base, least,
+    stop - length(f) + length(regexp_extract(f, lead || pattern, 1)) AS start, stop,
+    CASE WHEN part = 0 THEN substr(f, length(regexp_extract(f, lead || pattern, 1)) + 1)
+      ELSE regexp_extract(f, lead || pattern, 2) END AS v
+  FROM placed
+), held AS (
+  SELECT valued.*, doc_id, source FROM valued JOIN d USING (r) WHERE length(v) >= least
+), owned AS (
+  SELECT v, count(*) AS owners FROM (SELECT DISTINCT v, coalesce(source, chr(0)) AS source FROM held) GROUP BY v
+), judged AS (
+  SELECT *, CASE WHEN owners >= 3 THEN 'copied'
+    WHEN regexp_matches(v, '[0-9]') AND len(list_distinct(string_split(v, ''))) >= 8 AND NOT regexp_matches(v,
+      '(?i)example|sample|dummy|changeme|placeholder|your[_-]?|xxxx|test|12345678|abcdefgh')
+    THEN 'live' ELSE 'weak' END AS verdict,
+    kind || ':' || start::BIGINT || ':' || stop::BIGINT AS s
+  FROM held JOIN owned USING (v)
+)
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+  count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(s, ',' ORDER BY start, rank) FILTER (base), '')) AS base_sha256,
+  coalesce(string_agg(s, ',' ORDER BY start, rank) FILTER (base OR verdict = 'live'), '') AS spans,
+  coalesce(string_agg(s, ',' ORDER BY start, rank) FILTER (verdict = 'live'), '') AS live,
+  coalesce(string_agg(s, ',' ORDER BY start, rank) FILTER (verdict = 'copied'), '') AS copied
+FROM d LEFT JOIN judged USING (r) GROUP BY r, d.doc_id
+"""
+
+#: Units of every text, cut where the digest of the id says.
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+    sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS x
+  FROM documents
+), h AS (
+  SELECT doc_id, t, u, len(u) AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2,
+    ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4
+  FROM d
+), c AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b, u,
+    CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+), s AS (
+  SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+    array_to_string(u[b + 1:], '') AS z
+  FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form != 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form != 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || z || '<P>' || p || '<M>' || m
+    ELSE '<P>' || p || '<S>' || z || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM s
+"""
+
+SQL = {
+    "op1_host_quality_rules": OP1,
+    "op4_minhash_near_dedup": OP4,
+    "op5_hamming_top_k": OP5,
+    "op12_secret_ownership": OP12,
+    "op13_fill_in_middle": OP13,
+}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.llm.fill_in_middle import fill_in_middle_digests
 from tagloom.llm.hamming import nearest
 from tagloom.llm.host_rules import host_rules
 from tagloom.llm.line_duplicates import without_repeated_lines
@@ -18,6 +19,7 @@ from tagloom.llm.packing import packing
 from tagloom.llm.pii import personal_data_digest
 from tagloom.llm.repeated_spans import without_repeated_spans
 from tagloom.llm.rule_ensemble import scored
+from tagloom.llm.secrets import secrets_digest
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +67,14 @@ def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "text", F.col("_removed").cast("long").alias("n_removed"))
 
 
+def op12_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_digest(_read(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle_digests(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -78,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_rule_ensemble_quality,
         op9_main_text,
         op10_fuzzy_line_dedup,
+        op12_secret_ownership,
+        op13_fill_in_middle,
     )
 }
 
