@@ -92,6 +92,48 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec
 FROM d QUALIFY rank <= 10
 """
 
+#: Pairs of equal words of one text; neighbouring pairs with the same distance make a run.
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), c AS (
+  -- The checksum of the id, bit by bit.
+  SELECT r, list_reduce(list_prepend((4294967295)::UBIGINT, list_transform(
+      string_split(CASE WHEN doc_id IS NULL THEN '' ELSE doc_id::VARCHAR END, ''), lambda x: ord(x)::UBIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda i: i::UBIGINT)),
+      lambda s, i: CASE WHEN s % 2 = 1 THEN xor(s // 2, (3988292384)::UBIGINT) ELSE s // 2 END)) AS x FROM d
+), g AS (
+  SELECT r, doc_id, w, len(w) AS n, xor(x, (4294967295)::UBIGINT)::BIGINT AS h FROM d JOIN c USING (r)
+), cut AS (
+  SELECT r, doc_id, w, n, h % 10 = 0 AND n > 0 AS planted, CASE WHEN n > 0 THEN (h // 10) % n END AS a,
+    3 + (h // 10) % 8 AS k FROM g
+), t AS (
+  SELECT r, doc_id, n, i, CASE WHEN planted AND i >= a THEN w[a + (i - a) % (1 + (n - a) // k) + 1] ELSE w[i + 1] END AS v
+  FROM (SELECT *, unnest(range(n)) AS i FROM cut)
+), pairs AS (
+  SELECT x.r, y.i - x.i AS q, x.i FROM t x JOIN t y ON x.r = y.r AND x.v = y.v AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT r, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM pairs) GROUP BY r, q, k
+), runs AS (
+  SELECT r, start, length, min(q) AS period FROM islands
+  WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length
+), listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS s,
+    first({'start': start, 'length': length, 'period': period} ORDER BY length DESC, start, period) AS best
+  FROM runs GROUP BY r
+), dropped AS (
+  SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT t.r, string_agg(v, ' ' ORDER BY t.i) AS s FROM t ANTI JOIN dropped ON t.r = dropped.r AND t.i = dropped.i GROUP BY t.r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+  (1000 * best.length // best.period)::BIGINT AS exponent_milli,
+  sha256(coalesce(listed.s, '')) AS runs_sha256, sha256(coalesce(kept.s, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""
+
 #: Candidates of every kind, with their places; owners and repositories of each value.
 OP12 = r"""
 WITH d AS (
@@ -175,6 +217,7 @@ SQL = {
     "op1_host_quality_rules": OP1,
     "op4_minhash_near_dedup": OP4,
     "op5_hamming_top_k": OP5,
+    "op11_periodic_runs": OP11,
     "op12_secret_ownership": OP12,
     "op13_fill_in_middle": OP13,
 }

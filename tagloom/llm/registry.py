@@ -16,6 +16,7 @@ from tagloom.llm.mixing import mixture
 from tagloom.llm.near_duplicates import near_duplicates
 from tagloom.llm.oracle import SQL as _SQL
 from tagloom.llm.packing import packing
+from tagloom.llm.periodic_runs import periodic_runs_digest
 from tagloom.llm.pii import personal_data_digest
 from tagloom.llm.repeated_spans import without_repeated_spans
 from tagloom.llm.rule_ensemble import scored
@@ -67,6 +68,10 @@ def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "text", F.col("_removed").cast("long").alias("n_removed"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs_digest(_read(spark, sf_dir, "documents"))
+
+
 def op12_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_digest(_read(spark, sf_dir, "documents"))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_rule_ensemble_quality,
         op9_main_text,
         op10_fuzzy_line_dedup,
+        op11_periodic_runs,
         op12_secret_ownership,
         op13_fill_in_middle,
     )
