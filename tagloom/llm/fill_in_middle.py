@@ -1,7 +1,7 @@
 """Fill-in-middle by secondary sort (operator 13).
 
 Every text is cut into pieces of some units each. A piece is keyed by its document and by its place
-in the output; `repartitionAndSortWithinPartitions` brings the pieces of a document to one task in
+in the output; `repartition_and_sort_within_partitions` brings the pieces of a document to one task in
 the order of the output, where they stream into a digest or a text. Sorted again by their place in
 the original, without another shuffle, the same pieces give the restored text.
 """
@@ -10,16 +10,16 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.textcols import SLICE_BYTES, slices, words
+from tagloom.llm.textcols import slices, words
 
 #: Fixed values of the format.
 SEED = 42
@@ -31,9 +31,17 @@ _RANK = {PREFIX: 0, MIDDLE: 1, SUFFIX: 2}
 _ORDER = {"spm": (SUFFIX, PREFIX, MIDDLE), "psm": (PREFIX, SUFFIX, MIDDLE)}
 
 #: Units of one piece, and bytes at which a piece of long units is cut. Only memory depends on them.
-PIECE_UNITS, PIECE_BYTES = 512, 1 << 14
+PIECE_UNITS, PIECE_BYTES = 512, 1 << 13
+#: Rows and bytes of one batch that a task hands on.
+BATCH_ROWS, BATCH_BYTES = 4096, 1 << 22
 
-COLUMNS = "doc_id long, n long, form string, prefix_chars long, middle_chars long"
+_KEY = [("key", pa.binary()), ("rank", pa.int32()), ("place", pa.int32()), ("piece", pa.binary())]
+_HEAD = [("doc_id", pa.int64()), ("n", pa.int64()), ("form", pa.string())]
+_FOUND = [*_HEAD, ("prefix_chars", pa.int64()), ("middle_chars", pa.int64())]
+_PIECES = pa.schema([*_KEY, *_HEAD])
+_SECTIONS = pa.schema([*_KEY, ("copies", pa.int64()), *_FOUND, ("output_sha256", pa.string())])
+_RESULT = pa.schema([*_FOUND, ("output_sha256", pa.string()), ("restored_sha256", pa.string())])
+_TEXTS = pa.schema([*_FOUND, ("output", pa.large_string())])
 
 
 def _draws(doc_id: int | None) -> list[int]:
@@ -76,42 +84,59 @@ def _pieces_of_slice(ids: list, part, home: int) -> Iterator[tuple]:
         n, form, sections = _sections(text, ends, doc_id)
         # Equal rows of one task share a key; their pieces are equal too, and are counted.
         key = hashlib.blake2b(text, digest_size=16, key=f"{home}:{doc_id}".encode()).digest()
-        position = 1
-        yield (key, 0), (doc_id, n, form)
+        yield key, 0, 0, b"", doc_id, n, form
+        place = 1
         for sentinel, first, last in sections:
             if sentinel:
-                yield (key, position), sentinel
-                position += 1
+                yield key, 0, place, sentinel, None, None, None
+                place += 1
             for chunk in _chunks(text, ends, first, last):
-                yield (key, position), chunk
-                position += 1
+                yield key, 0, place, chunk, None, None, None
+                place += 1
 
 
-def _pieces(rows: Iterable) -> Iterator[tuple]:
-    """((document, place in the output), piece) of every row; place 0 holds (id, units, form)."""
+def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """(document, 0, place in the output, piece) of every row; place 0 also has id, units and form."""
     home = TaskContext.get().partitionId()
-
-    def flush(ids, texts):
-        for part in slices(pa.array(texts, pa.large_string())):
+    for batch in batches:
+        ids = batch.column(0).to_pylist()
+        for part in slices(batch.column(1)):
             yield from _pieces_of_slice(ids[part.first : part.last], part, home)
 
-    ids, texts, size = [], [], 0
-    for doc_id, text in rows:
-        text = text or ""
-        ids.append(doc_id)
-        texts.append(text)
-        size += len(text) + 1
-        if size >= SLICE_BYTES:
-            yield from flush(ids, texts)
-            ids, texts, size = [], [], 0
-    yield from flush(ids, texts)
 
+def _mapped(df: DataFrame, fn: Callable, schema: pa.Schema) -> DataFrame:
+    """`df` through `fn`, which takes and gives rows; `schema` is that of the rows it gives."""
+
+    def batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for row in rows:
+            held.append(row)
+            size += sum(len(v) for v in row if isinstance(v, (bytes, str)))
+            if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+                held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+    kinds = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
+    names = ", ".join(f"{f.name} {kinds.get(f.type, 'string')}" for f in schema)
+    return df.mapInArrow(lambda given: batches(fn(given)), names)
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*[c.to_pylist() for c in batch.columns])
 
-def _home(key: tuple) -> int:
-    return int.from_bytes(key[0][:8], "big")
 
+def repartition_and_sort_within_partitions(df: DataFrame) -> DataFrame:
+    """The pieces of a document in one partition, in order: one shuffle, and a sort that spills to disk.
 
-def _documents(pieces: Iterable[tuple]) -> Iterator[tuple]:
+    Every byte is moved once. How many partitions there are is for the session to say.
+    """
+    return df.repartition("key").sortWithinPartitions("key", "rank", "place")
+
+
+def _documents(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     """(document, how many equal rows, (id, units, form), its pieces in order) of sorted pieces.
 
     The pieces must be read before the next document is.
@@ -119,17 +144,17 @@ def _documents(pieces: Iterable[tuple]) -> Iterator[tuple]:
 
     def distinct(rest, copies):
         last = 0
-        for (_, position), piece in rest:
-            if position == 0:
+        for _, _, place, piece, *_ in rest:
+            if place == 0:
                 copies[0] += 1
-            elif position != last:
-                last = position
+            elif place != last:
+                last = place
                 yield piece
 
-    for key, own in groupby(pieces, key=lambda kv: kv[0][0]):
-        _, head = next(own)
+    for key, own in groupby(_rows(batches), key=lambda row: row[0]):
+        head = next(own)
         copies = [1]
-        yield key, copies, head, distinct(own, copies)
+        yield key, copies, head[4:], distinct(own, copies)
 
 
 def _parsed(form: str, output: Iterable[bytes]) -> Iterator[tuple[int, bytes]]:
@@ -159,57 +184,50 @@ def _code_points(chunk: bytes) -> int:
     return int(((np.frombuffer(chunk, dtype=np.uint8) & 0xC0) != 0x80).sum())
 
 
-def _streamed(pieces: Iterable[tuple]) -> Iterator[tuple]:
+def _streamed(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     """Digests of the outputs, and the sections of the outputs keyed by their place in the original."""
-    for key, copies, (doc_id, n, form), output in _documents(pieces):
+    for key, copies, (doc_id, n, form), output in _documents(batches):
         digest = hashlib.sha256()
         chars = [0, 0, 0]
 
-        def read():
+        def read(output=output, digest=digest):
             for piece in output:
                 digest.update(piece)
                 yield piece
 
-        place = 0
-        for rank, chunk in _parsed(form, read()):
+        for place, (rank, chunk) in enumerate(_parsed(form, read())):
             chars[rank] += _code_points(chunk)
-            place += 1
-            yield (key, (rank, place)), chunk
+            yield key, rank, place, chunk, *[None] * 7
         sizes = (None, None) if form == "plain" else (chars[0], chars[1])
-        yield (key, (-1, 0)), (copies[0], (doc_id, n, form, *sizes, digest.hexdigest()))
+        yield key, -1, 0, b"", copies[0], doc_id, n, form, *sizes, digest.hexdigest()
 
 
-def _restored(pieces: Iterable[tuple]) -> Iterator[tuple]:
+def _restored(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     """One row per document: what `_streamed` found, and the digest of the text put back in order."""
-    for _, own in groupby(pieces, key=lambda kv: kv[0][0]):
-        _, (copies, row) = next(own)
+    for _, own in groupby(_rows(batches), key=lambda row: row[0]):
+        copies, *found = next(own)[4:]
         digest = hashlib.sha256()
-        for _, chunk in own:
+        for _, _, _, chunk, *_ in own:
             digest.update(chunk)
         for _ in range(copies):
-            yield (*row, digest.hexdigest())
+            yield *found, digest.hexdigest()
 
 
-def _texts(pieces: Iterable[tuple]) -> Iterator[tuple]:
-    for _, copies, (doc_id, n, form), output in _documents(pieces):
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    for _, copies, (doc_id, n, form), output in _documents(batches):
         chunks = list(output)
         chars = [0, 0, 0]
         for rank, chunk in _parsed(form, chunks):
             chars[rank] += _code_points(chunk)
         sizes = (None, None) if form == "plain" else (chars[0], chars[1])
         for _ in range(copies[0]):
-            yield (doc_id, n, form, *sizes, b"".join(chunks).decode())
+            yield doc_id, n, form, *sizes, b"".join(chunks).decode()
 
 
-def _sorted_pieces(docs: DataFrame) -> tuple[RDD, int]:
-    """The pieces of all documents, sorted by document and place in the output; and their partitions.
-
-    Every byte is moved once, so there are as many partitions as the input has, or the session asks for.
-    """
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).rdd
-    n = max(rows.getNumPartitions(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    pieces = rows.mapPartitions(_pieces)
-    return pieces.repartitionAndSortWithinPartitions(n, _home), n
+def _sorted_pieces(docs: DataFrame) -> DataFrame:
+    """The pieces of all documents, sorted by document and place in the output."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return repartition_and_sort_within_partitions(_mapped(rows, _pieces, _PIECES))
 
 
 def fill_in_middle(docs: DataFrame) -> DataFrame:
@@ -220,21 +238,15 @@ def fill_in_middle(docs: DataFrame) -> DataFrame:
     sizes null). Null texts are empty, a null id counts as an empty id, repeated rows are repeated,
     an empty table gives no rows, and columns other than doc_id and text are not looked at.
     """
-    pieces, _ = _sorted_pieces(docs)
-    return docs.sparkSession.createDataFrame(
-        pieces.mapPartitions(_texts), f"{COLUMNS}, output string", verifySchema=False
-    )
+    return _mapped(_sorted_pieces(docs), _texts, _TEXTS)
 
 
 def fill_in_middle_digests(docs: DataFrame) -> DataFrame:
     """As `fill_in_middle`, with the digests of the output and of the text restored from it.
 
     No text is put together: both are read piece by piece. The restored text comes from the streamed
-    output alone, whose sections are keyed by their place in the original and sorted again. The second
-    sort has the first one's partitioner, so nothing is shuffled for it.
+    output alone, whose sections are keyed by their place in the original and sorted again. The pieces of
+    a document are in one partition already, so nothing is shuffled for it.
     """
-    pieces, n = _sorted_pieces(docs)
-    sections = pieces.mapPartitions(_streamed, preservesPartitioning=True)
-    restored = sections.repartitionAndSortWithinPartitions(n, _home).mapPartitions(_restored)
-    schema = f"{COLUMNS}, output_sha256 string, restored_sha256 string"
-    return docs.sparkSession.createDataFrame(restored, schema, verifySchema=False)
+    sections = _mapped(_sorted_pieces(docs), _streamed, _SECTIONS)
+    return _mapped(sections.sortWithinPartitions("key", "rank", "place"), _restored, _RESULT)
