@@ -146,6 +146,7 @@ SQL["read_logs"] = _with(
        loc_url, ref_url, agent AS user_agent FROM logs""",
     LOGS,
 )
+SQL["read_orders_unified"] = SQL["read_orders"]
 SQL["read_renamed"] = "SELECT c_custkey AS id, c_mktsegment AS user_agent FROM customer"
 SQL["preview_users"] = _with("SELECT CAST(id AS BIGINT) AS id, job FROM users ORDER BY 1 LIMIT 10", USERS)
 
@@ -197,6 +198,25 @@ FROM users u LEFT JOIN prefixes p ON p.prefix = substr(u.mobile, 1, 7)""",
         PREFIXES,
     )
 
+SQL["attr_region_longest"] = _with(
+    """SELECT id, CASE WHEN city IS NULL OR city = '' THEN '未知' ELSE city END AS "nativePlace",
+       coalesce(province, '未知') AS "nativeProvince"
+FROM (SELECT u.id, p.city, p.province,
+             row_number() OVER (PARTITION BY u.id ORDER BY length(p.prefix) DESC) AS r
+      FROM users u LEFT JOIN mixed p
+        ON CAST(u.id AS INTEGER) % 7 <> 0 AND starts_with(u.mobile, p.prefix)) x
+WHERE r = 1""",
+    USERS,
+    PREFIXES,
+    """
+mixed AS (
+  SELECT prefix, province, city FROM prefixes WHERE CAST(substr(prefix, 7, 1) AS INTEGER) % 2 = 0
+  UNION ALL
+  SELECT substr(prefix, 1, 6), min(province), min(nullif(city, '')) FROM prefixes GROUP BY 1
+  UNION ALL
+  SELECT substr(prefix, 1, 3), max(province), max(city) FROM prefixes GROUP BY 1)""",
+)
+
 # --- behaviour ---
 
 _LOGIN = "(loc_url LIKE '%login%' OR loc_url LIKE '%eshop.com/' OR loc_url LIKE '%m.eshop.com/?source=mobile')"
@@ -359,6 +379,7 @@ SQL["purchased_products_latest"] = _purchases(
 SQL["purchased_product_list"] = f"""
 SELECT id, CAST(CAST("productId" AS BIGINT) // 100000 AS INTEGER) AS part, string_agg("purchaseName", ',' ORDER BY "purchaseName") AS "productPurchased"
 FROM ({SQL["purchased_products"]}) p GROUP BY 1, 2"""
+SQL["purchased_products_colocated"] = SQL["purchased_products"]
 SQL["latest_orders"] = _with(
     """SELECT CAST(uid AS VARCHAR) AS id, CAST(sn AS VARCHAR) AS "orderSn", finished AS "finishTime"
 FROM (SELECT uid, sn, finished, max(finished) OVER (PARTITION BY uid) AS newest
@@ -659,6 +680,66 @@ SELECT "memberId",
             WHEN "moneyTotal" <= 999999 THEN 1 END AS "moneyTotal"
 FROM ({SQL["rfm"]}) x"""
 
+SQL["rfm_segments_coverage"] = f"""
+SELECT rencency, frequency, "moneyTotal", count(*) AS members, TRUE AS one_segment, TRUE AS known
+FROM ({SQL["rfm_score_scaled"]}) s
+WHERE rencency IS NOT NULL AND frequency IS NOT NULL AND "moneyTotal" IS NOT NULL GROUP BY 1, 2, 3"""
+
+# --- models ---
+
+SQL["als_coverage"] = f"""
+SELECT DISTINCT "userId", (SELECT least(10, count(DISTINCT "productId")) FROM ({SQL["product_ratings"]}) i) AS items,
+       TRUE AS distinct_items, TRUE AS in_order
+FROM ({SQL["product_ratings"]}) r"""
+SQL["als_stored"] = f"""
+SELECT count(DISTINCT "userId") AS users, count(DISTINCT "productId") AS items, 10 AS rank
+FROM ({SQL["product_ratings"]}) r"""
+SQL["als_fold_in"] = f"""
+SELECT DISTINCT "userId" AS id, 10 AS factors, TRUE AS finite
+FROM ({SQL["product_ratings"]}) r
+WHERE "productId" IN (SELECT "productId" FROM ({SQL["split_ratings"]}) t WHERE part = 'train')"""
+SQL["als_rmse_coverage"] = f"""
+WITH t AS ({SQL["split_ratings"]})
+SELECT count(*) AS predictions, TRUE AS bounded FROM t
+WHERE part = 'test' AND "userId" IN (SELECT "userId" FROM t WHERE part = 'train')
+  AND "productId" IN (SELECT "productId" FROM t WHERE part = 'train')"""
+
+# --- tags from stored days ---
+
+SQL["order_tags_stored"] = SQL["order_tags"]
+SQL["rfm_stored"] = SQL["rfm"]
+SQL["log_tags_stored"] = SQL["log_tags"]
+SQL["browse_time_stored"] = f'SELECT id, "browseTime" FROM ({SQL["browse_time"]}) b'
+SQL["page_type_counts_by_day"] = f"SELECT * FROM ({SQL['page_type_counts']}) c WHERE id IS NOT NULL"
+
+# --- learned bands ---
+
+_METRICS = {
+    "purchaseFrequency": "count(*)",
+    "maxAmount": "max(CASE WHEN status = '202' THEN CAST(trunc(amount) AS INTEGER) END)",
+    "consumptionCycle": "(max(CASE WHEN status = '202' THEN finished END) - min(CASE WHEN status = '202' THEN finished END))"
+    " / nullif(count(*) FILTER (status = '202'), 0)",
+}
+
+
+def _learned(tag: str) -> str:
+    """A label by how many values there are up to the edge, in the order of the values."""
+    label = " ".join(
+        f"""WHEN m >= (SELECT min(m) FROM ranked WHERE r >= greatest(1, ceil({share} * n))) THEN '{name}'"""
+        for share, name in ((0.75, "高"), (0.5, "中"), (0.25, "低"))
+    )
+    return _with(
+        f"""SELECT CAST(uid AS VARCHAR) AS id, CASE {label} ELSE '很低' END AS "{tag}" FROM ranked""",
+        ORDERS,
+        f"""
+ranked AS (
+  SELECT uid, m, row_number() OVER (ORDER BY m) AS r, count(*) OVER () AS n
+  FROM (SELECT uid, {_METRICS[tag]} AS m FROM shop_orders GROUP BY uid) x WHERE m IS NOT NULL)""",
+    )
+
+
+SQL["learned_order_bands"] = _wide({tag: _learned(tag) for tag in _METRICS})
+
 # --- the profile ---
 
 _USER_TAGS = {
@@ -679,6 +760,8 @@ _TAGS = {
 }
 SQL["profile"] = SQL["profile_staged"] = _wide({**_USER_TAGS, **_TAGS})
 SQL["profile_known"] = _wide({**_USER_TAGS, **{tag: _known(sql) for tag, sql in _TAGS.items()}})
+SQL["profile_with_preferences"] = f"""
+SELECT * FROM ({SQL["profile"]}) p FULL JOIN ({SQL["preferences"]}) f USING (id)"""
 _FINISHED_COUNT = _order_tag("purchaseFrequency", "count(*)", [(10, "高"), (6, "中")], "低", _DONE)
 SQL["profile_upsert"] = f"""
 SELECT coalesce(p.id, n.id) AS id, p.gender,
@@ -693,3 +776,8 @@ SQL["profile_promote"] = _wide(
         "consultationFrequency": SQL["consultation_frequency_scaled"],
     }
 )
+_MANY = {"gender": SQL["attr_gender"], **_ORDER_TAGS, "paymentMode": SQL["payment_mode"]}
+SQL["profile_promote_many"] = f"""
+SELECT w.* REPLACE (coalesce(n."purchaseFrequency", w."purchaseFrequency") AS "purchaseFrequency")
+FROM ({_wide(_MANY)}) w LEFT JOIN ({_FINISHED_COUNT}) n ON n.id = w.id"""
+SQL["profile_by_range"] = f"SELECT * FROM ({SQL['attr_all']}) a WHERE id >= '2' AND id <= '5'"

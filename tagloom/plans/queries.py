@@ -13,11 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import last_path_segment, product_id_from_url
-from ..models import als, ratings, rfm
-from ..operators import metric_mean, top_items
+from ..models import als, ratings, retrieval, rfm
+from ..operators import learned, metric_mean, top_items
 from ..session import configure
-from ..sources import checkpointed, profiles, sample, shared_folder
-from ..tags import attribute, behaviour, consumption
+from ..sources import (
+    checkpointed,
+    colocated,
+    load_goods,
+    load_logs,
+    load_orders,
+    load_users,
+    profiles,
+    sample,
+    shared_folder,
+)
+from ..tags import attribute, behaviour, consumption, daily
 from ..tags import dictionaries as d
 from . import variants as v
 from .profile import build_profile, first_by_name, merge_tags
@@ -60,16 +70,40 @@ def _scratch(spark: SparkSession) -> str:
 
 # --- sources ---
 
-_over("read_users", sample.users, lambda t: t)
-_over("read_orders", sample.orders, lambda t: t)
-_over("read_goods", sample.goods, lambda t: t)
-_over(
+def _loaded(name: str, source: Callable, load: Callable, fn=lambda t: t) -> None:
+    """The sample table stored as the shop stores its tables, and read by the loader of the shop table."""
+
+    def stored(spark, sf_dir):
+        path = f"{_scratch(spark)}/{name}"
+        source(spark, sf_dir).write.parquet(path)
+        return fn(load(spark, path))
+
+    query(name)(stored)
+
+
+_loaded("read_users", sample.users, lambda spark, path: load_users(spark, path).drop("lastLoginTime"))
+_loaded("read_orders", sample.orders, load_orders)
+_loaded("read_goods", sample.goods, load_goods)
+_loaded(
     "read_logs",
     sample.logs,
+    load_logs,
     lambda t: t.withColumn("log_time", F.date_format("log_time", "yyyy-MM-dd HH:mm:ss")),
 )
 
 
+@query("read_orders_unified")
+def _unified(spark, sf_dir):
+    """Orders from two folders that store their numbers in different types."""
+    folder, orders = _scratch(spark), sample.orders(spark, sf_dir)
+    old = orders.where(F.col("finishTime") < F.unix_timestamp(F.lit("1995-01-01 00:00:00")))
+    new = orders.where(F.col("finishTime") >= F.unix_timestamp(F.lit("1995-01-01 00:00:00")))
+    narrow = {c: F.col(c).cast("int") for c in ("id", "memberId", "orderSn")}
+    old.withColumns(narrow).write.parquet(f"{folder}/old")
+    new.write.parquet(f"{folder}/new")
+    return load_orders(spark, [f"{folder}/old", f"{folder}/new"])
+
+
 @query("read_renamed")
 def _renamed(spark, sf_dir):
     return sample.table(spark, sf_dir, "customer", id="c_custkey", user_agent="c_mktsegment")
@@ -105,6 +139,15 @@ def _native_province(spark, sf_dir):
     )
 
 
+@query("attr_region_longest")
+def _longest_region(spark, sf_dir):
+    """Regions by prefixes of several lengths; numbers are written with and without a country code."""
+    parts = {"nativePlace": "city", "nativeProvince": "province"}
+    return attribute.longest_prefix_regions(
+        sample.users_abroad(spark, sf_dir), sample.prefixes_of_any_length(spark, sf_dir), parts
+    )
+
+
 # --- behaviour ---
 
 _over("browse_frequency", sample.logs, lambda t: behaviour.browse_frequency(t, with_metric=True))
@@ -204,6 +247,18 @@ def _purchased_list(spark, sf_dir):
     )
 
 
+@query("purchased_products_colocated")
+def _colocated(spark, sf_dir):
+    """The same from tables that are bucketed by order number, long orders in parts."""
+    database, folder = f"tagloom_{uuid.uuid4().hex}", _scratch(spark)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/database'")
+    colocated.write_colocated(
+        sample.orders(spark, sf_dir), sample.goods(spark, sf_dir), database, folder, buckets=8, lines_per_part=4
+    )
+    lines = colocated.joined_lines(spark, database, ["memberId"], ["productId", "productName"])
+    return behaviour.products_of_lines(lines)
+
+
 _over("latest_orders", sample.orders, lambda t: behaviour.latest_orders(t))
 
 # --- consumption ---
@@ -413,26 +468,26 @@ def _fitted(spark: SparkSession, rows: DataFrame, item: str):
 @query("als_favor_products")
 def _als_products(spark, sf_dir):
     rows = ratings.product_ratings(sample.logs(spark, sf_dir))
-    return als.favor_products(als.recommend(_fitted(spark, rows, "productId"), 10))
+    return als.favor_products(retrieval.recommend_by_norm(_fitted(spark, rows, "productId"), "productId", 10))
 
 
 @query("als_favor_brands")
 def _als_brands(spark, sf_dir):
     rows = ratings.brand_ratings(sample.goods(spark, sf_dir), sample.logs(spark, sf_dir))
-    return als.favor_brands(als.recommend(_fitted(spark, rows, "brandId"), 2))
+    return als.favor_brands(retrieval.recommend_by_norm(_fitted(spark, rows, "brandId"), "brandId", 2))
 
 
 @query("als_brand_histogram")
 def _als_histogram(spark, sf_dir):
     rows = ratings.brand_ratings(sample.goods(spark, sf_dir), sample.logs(spark, sf_dir))
-    recs = als.recommend(_fitted(spark, rows, "brandId"), 1)
+    recs = retrieval.recommend_by_norm(_fitted(spark, rows, "brandId"), "brandId", 1)
     return als.label_histogram(als.recs_to_csv(recs, "brandId", "favorBrand"), "favorBrand")
 
 
 @query("als_favor_types")
 def _als_types(spark, sf_dir):
     rows = ratings.category_ratings(sample.goods(spark, sf_dir), sample.logs(spark, sf_dir))
-    return als.favor_types(als.recommend(_fitted(spark, rows, "productType"), 10))
+    return als.favor_types(retrieval.recommend_by_norm(_fitted(spark, rows, "productType"), "productType", 10))
 
 
 # --- recency, frequency and money ---
@@ -448,6 +503,116 @@ def _scores(orders: DataFrame) -> DataFrame:
 _over("rfm_score_scaled", sample.orders, _scores)
 _over("rfm_segments", sample.orders, lambda t: rfm.rfm_segments(_scores(t)))
 
+@query("rfm_segments_coverage")
+def _segment_coverage(spark, sf_dir):
+    """Members by score triple, and whether each triple lies in one of the four segments."""
+    segments = rfm.rfm_segments(_scores(sample.orders(spark, sf_dir)))
+    first, last = F.min("predict"), F.max("predict")
+    return segments.groupBy(*rfm.SCORES).agg(
+        F.count(F.lit(1)).alias("members"), (first == last).alias("one_segment"), ((first >= 0) & (last < 4)).alias("known")
+    )
+
+
+# --- models: what can be said of them without their floats ---
+
+
+@query("als_coverage")
+def _als_coverage(spark, sf_dir):
+    """For every user how many items its list has, and whether they are distinct and in order."""
+    rows = ratings.product_ratings(sample.logs(spark, sf_dir))
+    lists = retrieval.recommend_by_norm(_fitted(spark, rows, "productId"), "productId", 10)
+    items = F.transform("recommendations", lambda r: r["productId"])
+    scores = F.transform("recommendations", lambda r: r["rating"])
+    return lists.select(
+        "userId",
+        F.size(items).cast("long").alias("items"),
+        (F.size(F.array_distinct(items)) == F.size(items)).alias("distinct_items"),
+        (F.reverse(F.array_sort(scores)) == scores).alias("in_order"),
+    )
+
+
+@query("als_stored")
+def _als_stored(spark, sf_dir):
+    """A model that was saved and loaded: its users, items and rank."""
+    model = _fitted(spark, ratings.product_ratings(sample.logs(spark, sf_dir)), "productId")
+    users = model.userFactors.agg(F.count(F.lit(1)).alias("users"), F.max(F.size("features")).alias("rank"))
+    return users.join(model.itemFactors.agg(F.count(F.lit(1)).alias("items")))
+
+
+@query("als_fold_in")
+def _als_fold_in(spark, sf_dir):
+    """A model of the training part; every user's factors from all ratings, without another fit."""
+    rows = checkpointed(ratings.product_ratings(sample.logs(spark, sf_dir)))
+    train, _ = ratings.split_ratings(rows, "productId")
+    users = retrieval.fold_in(_fitted(spark, train, "productId"), rows, "productId")
+    finite = F.forall("features", lambda x: x.isNotNull() & ~F.isnan(x))
+    return users.select("id", F.size("features").alias("factors"), finite.alias("finite"))
+
+
+@query("als_rmse_coverage")
+def _als_rmse_coverage(spark, sf_dir):
+    """How many held-out ratings got a prediction, and whether their error is that of a fit."""
+    error = _als_rmse(spark, sf_dir)
+    return error.select("predictions", F.col("rmse").between(0, 100).alias("bounded"))
+
+
+# --- tags from stored days ---
+
+
+@query("order_tags_stored")
+def _orders_by_day(spark, sf_dir):
+    """Orders stored by quarter: a part of one first, the later ones next, then that one again as a whole."""
+    _store_orders(spark, sf_dir, folder := _scratch(spark))
+    return daily.stored_order_tags(spark, folder)
+
+
+def _store_orders(spark, sf_dir, folder):
+    orders = sample.orders(spark, sf_dir)
+    cut, end = (F.unix_timestamp(F.lit(f"1995-{m}-01 00:00:00")) for m in ("02", "04"))
+    daily.store_orders(orders.where(F.col("finishTime") < cut), folder, "quarter")
+    daily.store_orders(orders.where(F.col("finishTime") >= end), folder, "quarter")
+    first = F.unix_timestamp(F.lit("1995-01-01 00:00:00"))
+    daily.store_orders(orders.where(F.col("finishTime").between(first, end - 1)), folder, "quarter")
+
+
+@query("rfm_stored")
+def _rfm_by_day(spark, sf_dir):
+    _store_orders(spark, sf_dir, folder := _scratch(spark))
+    return _rounded(daily.stored_rfm(spark, folder, v.AS_OF), "moneyTotal", 2)
+
+
+def _stored_views(spark, sf_dir):
+    folder, logs = _scratch(spark), sample.logs(spark, sf_dir)
+    daily.store_views(logs, folder)
+    # A day that comes again replaces itself.
+    newest = logs.agg(F.max(F.to_date("log_time"))).scalar()
+    daily.store_views(logs.where(F.to_date("log_time") == newest), folder)
+    return folder
+
+
+query("log_tags_stored")(lambda spark, sf_dir: daily.stored_log_tags(spark, _stored_views(spark, sf_dir)))
+query("browse_time_stored")(lambda spark, sf_dir: daily.stored_browse_time(spark, _stored_views(spark, sf_dir)))
+query("page_type_counts_by_day")(
+    lambda spark, sf_dir: daily.stored_page_type_counts(spark, _stored_views(spark, sf_dir))
+)
+
+# --- learned bands ---
+
+_SHARES = [(0.75, "高"), (0.5, "中"), (0.25, "低")]
+
+
+@query("learned_order_bands")
+def _learned(spark, sf_dir):
+    """Order tags with edges at the quartiles of their metrics, all learned in one pass."""
+    measures = consumption.order_measures(sample.orders(spark, sf_dir))
+    metrics = {
+        "purchaseFrequency": F.col("orders"),
+        "maxAmount": F.col("whole_max"),
+        "consumptionCycle": F.col("cycle"),
+    }
+    return learned.learned_bands(measures, "id", metrics, {tag: _SHARES for tag in metrics}, "很低")
+
+
 # --- the profile ---
 
 
@@ -471,6 +636,40 @@ query("profile_staged")(
 )
 
 
+@query("profile_with_preferences")
+def _with_preferences(spark, sf_dir):
+    """All columns of the profile."""
+    goods, logs = sample.goods(spark, sf_dir), sample.logs(spark, sf_dir)
+    preferences = [
+        als.favor_brands(_top_brands(goods, logs, 2)),
+        als.favor_types(_top_types(goods, logs, 10)),
+        als.favor_products(_top_products(logs, 10)),
+    ]
+    return _build(spark, sf_dir, extra=preferences)
+
+
+@query("profile_promote_many")
+def _promote_many(spark, sf_dir):
+    """Nine tags staged as rows, some of them twice, and promoted in one join."""
+    folder, orders = f"{_scratch(spark)}/staged", sample.orders(spark, sf_dir)
+    early, late = (F.lit(f"2020-01-0{i} 00:00:00").cast("timestamp") for i in (1, 2))
+    finished = orders.where(F.col("orderStatus") == d.FINISHED)
+    profiles.stage_tags(consumption.order_frequency(finished, v.FINISHED_COUNT), folder, late)
+    profiles.stage_tags(consumption.order_tags(orders), folder, early)
+    profiles.stage_tags(consumption.payment_mode(orders), folder, early)
+    names = ["paymentMode", *(c for c in consumption.order_tags(orders).columns if c != "id")]
+    profile = attribute.coded_tag(sample.users(spark, sf_dir), "gender")
+    return profiles.promote_tags(profile, spark.read.parquet(folder), names)
+
+
+@query("profile_by_range")
+def _by_range(spark, sf_dir):
+    """Some ids of a profile that was split by ranges of ids."""
+    path = f"{_scratch(spark)}/ranged"
+    profiles.write_profile_ranges(attribute.user_attributes(sample.users(spark, sf_dir)), path, ranges=8)
+    return profiles.read_profile_ranges(spark, path, low="2", high="5")
+
+
 @query("profile_upsert")
 def _upsert(spark, sf_dir):
     """Order counts of all orders, replaced by those of finished orders where there are any."""

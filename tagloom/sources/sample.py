@@ -144,3 +144,28 @@ def prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("province"),
         F.when(F.col("n_nationkey") % 5 == 0, F.lit("")).otherwise(F.col("n_name")).alias("city"),
     )
+
+
+def prefixes_of_any_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mobile prefixes of three, six and seven digits; the longer ones begin with the shorter ones."""
+    own = prefixes(spark, sf_dir)
+    seven = own.where(F.substring("prefix", 7, 1).try_cast("int") % 2 == 0)
+    six = own.groupBy(F.substring("prefix", 1, 6).alias("prefix")).agg(
+        F.min("province").alias("province"), F.min(F.nullif("city", F.lit(""))).alias("city")
+    )
+    three = own.groupBy(F.substring("prefix", 1, 3).alias("prefix")).agg(
+        F.max("province").alias("province"), F.max("city").alias("city")
+    )
+    return seven.unionByName(six).unionByName(three)
+
+
+def users_abroad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users; some numbers have a country code before them, every seventh another country's."""
+    number, key = F.col("mobile"), F.col("id")
+    written = (
+        F.when(key % 7 == 0, F.concat(F.lit("+1 "), number))
+        .when(key % 3 == 0, F.concat(F.lit("+86"), number))
+        .when(key % 3 == 1, F.concat(F.lit("0086 "), number))
+        .otherwise(number)
+    )
+    return users(spark, sf_dir).withColumn("mobile", written)

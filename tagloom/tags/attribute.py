@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,6 +94,47 @@ def mobile_regions(
     )
 
 
+def longest_prefix_regions(
+    users: DataFrame,
+    prefixes: DataFrame,
+    parts: Mapping[str, str],
+    lengths: Sequence[int] = tuple(range(3, 10)),
+    country: str | None = "86",
+) -> DataFrame:
+    """As `mobile_regions`, by the longest of the prefixes that the number begins with.
+
+    Prefixes may have any of the given lengths. A number is looked up without its "+", its zeros of an
+    international call and, where it is written before the number, the code of its own `country`; prefixes
+    are written without them. Every user meets a prefix through one equi-join on the text of the prefix: the
+    prefixes that a number could have are listed beside it, the wanted ones are found by the join, and the
+    longest of a user's hits is kept by a partial aggregate. A prefix that very many users share is the
+    looked-up, unique side. Users are told apart by their row, so repeated ids stay.
+    """
+    found = [F.min(part).alias(f"_{tag}") for tag, part in parts.items()]
+    regions = one_per_key(prefixes.where(F.length("prefix").isin(*lengths)), "prefix", *found)
+    digits = F.regexp_replace(F.col("mobile").cast("string"), "[^0-9+]", "")
+    number = F.regexp_replace(digits, r"^(\+|00)", "+")
+    if country:
+        number = F.regexp_replace(number, rf"^\+{country}", "")
+    number = F.regexp_replace(number, r"^\+", "")
+    # Numbers repeat in few texts as compared with users, so they are made distinct before the join.
+    numbers = users.select(F.col("mobile").cast("string").alias("_mobile"), number.alias("_number"))
+    numbers = numbers.where(F.col("_mobile").isNotNull()).distinct()
+    starts = F.explode(F.array(*[F.substring("_number", 1, n) for n in sorted(lengths)]))
+    longest = F.max(F.struct(F.length("prefix").alias("_length"), *[F.col(f"_{tag}") for tag in parts]))
+    hits = numbers.select("_mobile", starts.alias("prefix")).distinct().join(regions, "prefix")
+    best = hits.groupBy("_mobile", F.xxhash64("_mobile").alias("_digest")).agg(longest.alias("_best")).drop("_digest")
+    keyed = users.withColumn("_mobile", F.col("mobile").cast("string"))
+    joined = keyed.join(best, "_mobile", "left")
+    return joined.select(
+        _id(),
+        *[
+            F.coalesce(F.nullif(F.col("_best")[f"_{tag}"], F.lit("")), F.lit(d.UNKNOWN)).alias(tag)
+            for tag in parts
+        ],
+    )
+
+
 def user_attributes(users: DataFrame) -> DataFrame:
     """Every tag of this module that needs nothing but the user row, in one projection."""
     return users.select(

@@ -131,7 +131,7 @@ def device_tag() -> GroupTag:
     )
 
 
-def _device(agent: str = "user_agent") -> Column:
+def device_of_agent(agent: str = "user_agent") -> Column:
     return first_like(F.col(agent), d.DEVICES)
 
 
@@ -169,14 +169,14 @@ def browse_period(logs, known=None, with_metric=False) -> DataFrame:
 
 def device_type(logs, known=None, with_metric=False) -> DataFrame:
     """Device a user views most pages with."""
-    rows = _views(logs, known, _device().alias("_device"))
+    rows = _views(logs, known, device_of_agent().alias("_device"))
     return group_tag(rows, "id", device_tag(), with_metric)
 
 
 def log_tags(logs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """The four tags above in one pass over the page views."""
     rows = _views(
-        logs, known, "loc_url", _hour(logs).alias("_hour"), _device().alias("_device")
+        logs, known, "loc_url", _hour(logs).alias("_hour"), device_of_agent().alias("_device")
     )
     tags = [browse_frequency_tag(), login_frequency_tag(), browse_period_tag(), device_tag()]
     return group_tags(rows, "id", tags)
@@ -200,7 +200,7 @@ def page_tags(logs: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 def activity_tags(logs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Browse period and device in one pass over the times and agents."""
-    rows = _views(logs, known, _hour(logs).alias("_hour"), _device().alias("_device"))
+    rows = _views(logs, known, _hour(logs).alias("_hour"), device_of_agent().alias("_device"))
     return group_tags(rows, "id", [browse_period_tag(), device_tag()])
 
 
@@ -342,7 +342,16 @@ def purchased_products(
 
     With `latest_only`, only those of the orders at the user's newest finish time.
     """
-    lines = _ordered_lines(orders, goods, known, latest_only)
+    return _longest_names(_ordered_lines(orders, goods, known, latest_only))
+
+
+def products_of_lines(lines: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """`purchased_products` from lines that stand beside their order's memberId already."""
+    rows = within(lines.withColumn("_user", member_tail_user(lines)), known, "_user")
+    return _longest_names(rows.withColumn("id", F.col("_user")))
+
+
+def _longest_names(lines: DataFrame) -> DataFrame:
     # A text's order needs a sort; repeated names are hashed away before it.
     lines = lines.select("id", "productId", "productName").distinct()
     return lines.groupBy("id", "productId").agg(longest_text("productName")).select(

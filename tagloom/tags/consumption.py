@@ -203,6 +203,19 @@ def order_tags(orders: DataFrame, known: DataFrame | None = None) -> DataFrame:
     return group_tags(rows, "id", tags)
 
 
+def order_measures(orders: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(id, orders, amount, mean_amount, whole_max, cycle): the measures behind the tags, in one pass."""
+    rows = _rows(orders, known, "orderStatus", _amount(orders), _whole(orders), _finished_at(orders))
+    at, done = _if_finished("_at"), F.count_if(_finished())
+    return rows.groupBy("id").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum(_if_finished("_amount")).alias("amount"),
+        F.avg(_if_finished("_amount")).alias("mean_amount"),
+        F.max(_if_finished("_whole")).alias("whole_max"),
+        ((F.max(at) - F.min(at)) / F.nullif(done, F.lit(0))).alias("cycle"),
+    )
+
+
 def payment_mode(
     orders: DataFrame,
     known: DataFrame | None = None,
