@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import number_value, range_score, whole_number
+from ..sources.checkpoints import checkpointed
 from ..tags import dictionaries as d
 
 SCORES = ("rencency", "frequency", "moneyTotal")
@@ -56,20 +57,16 @@ def _features(scores: DataFrame) -> DataFrame:
     ).transform(scores)
 
 
-def fit_segments(
-    scores: DataFrame, k: int = 4, seed: int = 100, iterations: int = 2
-) -> KMeansModel:
-    """K-means over the scores of all members.
+def _points(scores: DataFrame) -> DataFrame:
+    """The distinct score triples with their numbers of members: 125 rows at most, written once."""
+    counted = scores.dropna(subset=list(SCORES)).groupBy(*SCORES)
+    return checkpointed(counted.agg(F.count(F.lit(1)).cast("double").alias("weight")))
 
-    Three scores from 1 to 5 make at most 125 different points. Members are
-    counted by point, and the counts are the weights of the fit: the same
-    clusters, but the iterations run over 125 rows, and their fixed order makes
-    the result independent of how the members are partitioned.
-    """
-    points = scores.groupBy(*SCORES).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+def _fit(points: DataFrame, k: int, seed: int, iterations: int) -> KMeansModel:
     ordered = _features(points).repartition(1).sortWithinPartitions(*SCORES)
     return KMeans(
-        k=k,
+        k=min(k, points.count()),
         seed=seed,
         maxIter=iterations,
         featuresCol="feature",
@@ -78,9 +75,28 @@ def fit_segments(
     ).fit(ordered)
 
 
+def fit_segments(
+    scores: DataFrame, k: int = 4, seed: int = 100, iterations: int = 2
+) -> KMeansModel:
+    """K-means over the scores of all members, of which two at least must differ.
+
+    Three scores from 1 to 5 make at most 125 different points. Members are
+    counted by point, and the counts are the weights of the fit: the same
+    clusters, but the iterations run over 125 rows, and their fixed order makes
+    the result independent of how the members are partitioned. There are no more
+    clusters than points.
+    """
+    return _fit(_points(scores), k, seed, iterations)
+
+
 def rfm_segments(
     scores: DataFrame, k: int = 4, seed: int = 100, iterations: int = 2
 ) -> DataFrame:
-    """(memberId, three scores, predict); members with a null score are left out."""
-    model = fit_segments(scores, k, seed, iterations)
-    return model.transform(_features(scores)).drop("feature")
+    """(memberId, three scores, predict); members with a null score are left out.
+
+    Members who all have the same scores are one segment.
+    """
+    points = _points(scores)
+    if points.count() < 2:
+        return scores.dropna(subset=list(SCORES)).withColumn("predict", F.lit(0))
+    return _fit(points, k, seed, iterations).transform(_features(scores)).drop("feature")

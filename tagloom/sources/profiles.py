@@ -120,7 +120,9 @@ def write_profile_ranges(df: DataFrame, path: str, ranges: int, key: str = "id")
     """
     split = df.repartitionByRange(ranges, key).withColumn(RANGE, F.spark_partition_id())
     split.sortWithinPartitions(key).write.mode("errorifexists").partitionBy(RANGE).parquet(f"{path}/profile")
-    written = df.sparkSession.read.parquet(f"{path}/profile")
+    # A table without rows has no files, so its columns are kept apart.
+    split.limit(0).write.mode("errorifexists").parquet(f"{path}/columns")
+    written = df.sparkSession.read.schema(split.schema).parquet(f"{path}/profile")
     bounds = written.groupBy(RANGE).agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n"))
     bounds.coalesce(1).write.mode("errorifexists").parquet(f"{path}/ranges")
 
@@ -139,7 +141,8 @@ def read_profile_ranges(
     Only the folders of the ranges that may hold such ids are read. Ids are text and compared as text.
     """
     bounds = spark.read.parquet(f"{path}/ranges")
-    profile = spark.read.parquet(f"{path}/profile")
+    columns = spark.read.parquet(f"{path}/columns").schema
+    profile = spark.read.schema(columns).parquet(f"{path}/profile")
     wanted = F.lit(True)
     if ids is not None:
         wanted = wanted & F.exists(F.array(*[F.lit(i) for i in ids]).cast("array<string>"), lambda i: i.between(F.col("low"), F.col("high")))

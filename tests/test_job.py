@@ -97,3 +97,58 @@ def test_page_types_are_staged(spark, shop, tmp_path):
 def test_promote_needs_a_profile(spark, shop, tmp_path):
     with pytest.raises(ValueError):
         start(spark, "gender", "--promote", tmp_path, "--out", tmp_path / "v")
+
+
+def test_a_model_is_trained_once_and_mined_later(spark, shop, tmp_path, monkeypatch):
+    models = tmp_path / "models"
+    start(spark, "favorProductsModel", "--tables", shop, "--model", models)
+    monkeypatch.setattr(job.als, "fit_als", lambda *a, **k: pytest.fail("fitted again"))
+    start(spark, "favorProducts", "--model", models, "--out", tmp_path / "lists")
+    lists = pairs(read_profile(spark, str(tmp_path / "lists")), "id", "favorProducts")
+    assert set(lists) == {"1", "2", "3"} and set(lists["1"].split(",")) == {"1", "2"}
+    # Users of the present ratings get lists without a fit.
+    start(spark, "favorProducts", "--model", models, "--tables", shop, "--fold-in", "--out", tmp_path / "folded")
+    assert pairs(read_profile(spark, str(tmp_path / "folded")), "id", "favorProducts") == lists
+    with pytest.raises(ValueError):
+        start(spark, "favorProductsModel", "--tables", shop)
+
+
+def test_tags_staged_as_rows_are_promoted_together(spark, shop, tmp_path):
+    start(spark, "gender", "--tables", shop, "--out", tmp_path / "v1")
+    for tag in ("order_tags", "paymentMode"):
+        start(spark, tag, "--tables", shop, "--stage-rows", tmp_path / "rows")
+    start(
+        spark, "many", "--promote-rows", tmp_path / "rows", "--tags", "consumptionPower,paymentMode",
+        "--profile", tmp_path / "v1", "--out", tmp_path / "v2",
+    )
+    found = read_profile(spark, str(tmp_path / "v2"))
+    assert found.columns == ["id", "gender", "consumptionPower", "paymentMode"]
+    assert pairs(found, "id", "consumptionPower") == {"1": "超高", "2": None, "2000": None, "960": "很低"}
+
+
+def test_reports_are_written(spark, shop, tmp_path):
+    for name in job.REPORTS:
+        start(spark, name, "--tables", shop, "--out", tmp_path / name)
+    assert spark.read.parquet(str(tmp_path / "rfm")).count() == 3
+    assert spark.read.parquet(str(tmp_path / "alsRmse")).columns == ["predictions", "rmse"]
+
+
+def test_the_full_profile_has_all_columns(spark, shop):
+    made = job.JOBS["fullProfile"](job.Tables(spark, shop))
+    assert made.columns == ["id", *schemas.PROFILE_TAGS] and len(schemas.PROFILE_TAGS) == 43
+    assert made.where("favorProducts IS NOT NULL").count() == 3
+
+
+def test_what_is_staged_is_not_computed_again(spark, shop, tmp_path, monkeypatch):
+    read = []
+    monkeypatch.setattr(job, "read_staged_tag", lambda *a: read.append(a) or read_staged_tag(*a))
+    start(spark, "gender", "--tables", shop, "--stage", tmp_path / "s", "--out", tmp_path / "v")
+    assert read and rows(read_profile(spark, str(tmp_path / "v"))) == rows(read_staged_tag(spark, "gender", str(tmp_path / "s")))
+
+
+def test_a_profile_by_table_name(spark, shop, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS profile_v1")
+    start(spark, "gender", "--tables", shop, "--out", tmp_path / "v1", "--out-table", "profile_v1")
+    start(spark, "job", "--tables", shop, "--profile-table", "profile_v1", "--out", tmp_path / "v2")
+    assert read_profile(spark, str(tmp_path / "v2")).columns == ["id", "gender", "job"]
+    spark.sql("DROP TABLE profile_v1")

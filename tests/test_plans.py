@@ -16,7 +16,7 @@ from tagloom.session import configure
 from tagloom.tags import attribute, behaviour, consumption
 
 SF = str(TESTDATA / "sf0.001")
-EAGER = {"profile_promote", "profile_staged", "page_type_counts_staged", "rfm_segments"}
+EAGER = {"profile_promote", "profile_staged", "page_type_counts_staged", "rfm_segments", "rfm_segments_coverage"}
 LAZY = [n for n in QUERIES if not n.startswith("als_") and n not in EAGER]
 
 
@@ -45,6 +45,13 @@ def test_no_cross_join_no_python_no_single_task_sort(spark, no_broadcast, name):
     assert singles == 0 or text.count("Subquery") or name.startswith("mean_")
 
 
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith("als_favor")])
+def test_lists_pair_no_users_with_all_items(spark, no_broadcast, name):
+    text = plan(QUERIES[name](spark, SF))
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
+        assert word not in text
+
+
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "orders")
     orders(spark, {"memberId": "1", "orderStatus": "202"}).write.parquet(path)
