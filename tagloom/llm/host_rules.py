@@ -102,22 +102,29 @@ def rules() -> dict[str, Column]:
 def host_verdicts(judged: DataFrame, names: list[str], limit: float = HOST_LIMIT) -> DataFrame:
     """host, host_rejected, and the shrunk failure rate of each rule (`<rule>_rate`).
 
-    Rates are shrunk to the rate of all documents by a beta prior whose strength comes
-    from how far the hosts' own rates lie apart (method of moments): few documents alone
-    do not condemn a host.
+    Rates are shrunk to the rate of all documents by a beta prior. Its strength is fitted by the method of
+    moments of the beta-binomial distribution: the spread of the hosts' own rates around the mean p is
+    p (1 - p) / n by chance alone in a host of n documents, and what is beyond that, over 1 - 1 / n, is how far
+    hosts really lie apart. Where hosts of one document are all there is, nothing can be told, and the prior is
+    strongest: few documents alone do not condemn a host.
     """
     hosts = judged.groupBy("host").agg(
         F.count("*").alias("n"), *[F.sum(F.col(r).cast("long")).alias(r) for r in names]
     )
     hosts = Scratch(judged.sparkSession, "hosts").keep(hosts)
-    # One row, whatever the number of hosts.
+    # One row each, whatever the number of hosts.
     mean = hosts.agg(*[(F.sum(r) / F.sum("n")).alias(r) for r in names]).first()
     mean = {r: float(mean[r] or 0.0) for r in names}
-    spread = hosts.agg(*[F.avg(F.pow(F.col(r) / F.col("n") - F.lit(mean[r]), 2)).alias(r) for r in names]).first()
+    spread = [F.avg(F.pow(F.col(r) / F.col("n") - F.lit(mean[r]), 2)).alias(r) for r in names]
+    spread = hosts.agg(*spread, F.avg(1 / F.col("n")).alias("_chance")).first()
+    chance = float(spread["_chance"] or 0.0)
     rated = hosts
     for r in names:
-        p, v = mean[r], float(spread[r] or 0.0)
-        strength = min(MOST_PRIOR, max(LEAST_PRIOR, p * (1 - p) / v - 1)) if v > 0 else MOST_PRIOR
+        p = mean[r]
+        beyond = float(spread[r] or 0.0) - p * (1 - p) * chance
+        strength = MOST_PRIOR
+        if beyond > 0 and chance < 1:
+            strength = min(MOST_PRIOR, max(LEAST_PRIOR, p * (1 - p) * (1 - chance) / beyond - 1))
         rated = rated.withColumn(f"{r}_rate", (F.col(r) + F.lit(p * strength)) / (F.col("n") + F.lit(strength)))
     worst = F.greatest(*[F.col(f"{r}_rate") for r in names], F.lit(0.0))
     return rated.select("host", (worst > limit).alias("host_rejected"), *[f"{r}_rate" for r in names])
