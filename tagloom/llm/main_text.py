@@ -30,9 +30,11 @@ MARKED = re.compile(
     r"replies|disqus|sidebar|side-bar|menu|navbar|nav|navigation|breadcrumbs?|footer|share|sharing|social|related|"
     r"recommended|newsletter|subscribe|signup|login|pagination|toolbar|masthead)(?![a-z])"
 )
+#: Attributes end at the next tag where their own is not closed, so a broken page is read once.
+_ATTRIBUTES = r"(?:\"[^\"]*\"|'[^']*'|[^'\"<>]++)*+"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*(?:>|$)|"
-    r"<(/?)([a-z][a-z0-9-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
+    r"<!--.*?(?:-->|$)|<(" + "|".join(RAW) + r")\b" + _ATTRIBUTES + r">.*?(?:</\1\s*>|$)|<[!?][^>]*(?:>|$)|"
+    r"<(/?)([a-z][a-z0-9-]*)(" + _ATTRIBUTES + r")>",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
