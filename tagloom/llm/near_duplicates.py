@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm import textcols as T
 from tagloom.llm.lsh import similar_components
-from tagloom.llm.narrow import possible, residues
+from tagloom.llm.narrow import fresh, possible, residues
 from tagloom.llm.scratch import Scratch
 
 #: 30 bands of 5 values miss a pair of similarity 0.8 less than once in 100,000 times.
@@ -122,10 +122,22 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
 
 
 def keep_one_of_each_group(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` that `near_duplicates` keeps, with all their columns."""
-    dropped = near_duplicates(docs, shingle_words, percent).where("NOT kept").select("doc_id").distinct()
-    dropped = Scratch(docs.sparkSession, "dropped").keep(dropped)
-    gone = residues(dropped, "doc_id")
-    names = docs.columns
-    near = possible(docs, gone, "doc_id").join(dropped, "doc_id", "left_anti").select(names)
-    return near.unionByName(possible(docs, gone, "doc_id", within=False))
+    """The rows of `docs` that `near_duplicates` keeps, with all their columns.
+
+    Of rows that share a kept doc_id the least stays, compared column by column, text first; rows without a
+    doc_id all stay. Only ids are counted for that: rows whose id occurs once are not moved.
+    """
+    scratch = Scratch(docs.sparkSession, "dropped")
+    names, key = docs.columns, fresh(docs, "_doc")
+    dropped = near_duplicates(docs, shingle_words, percent).where("NOT kept").select(F.col("doc_id").alias(key)).distinct()
+    dropped = scratch.keep(dropped)
+    ids = docs.select(F.col("doc_id").cast("long").alias(key)).where(F.col(key).isNotNull())
+    repeated = scratch.keep(ids.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key))
+    keyed = docs.withColumn(key, F.col("doc_id").cast("long"))
+    touched = residues(dropped.unionByName(repeated), key)
+    left = possible(keyed, touched, key).join(dropped, key, "left_anti")
+    one = F.min(F.struct("text", *[c for c in names if c != "text"])).alias("row")
+    copies = left.join(repeated, key, "left_semi").groupBy(key).agg(one).select("row.*").select(*names)
+    single = left.join(repeated, key, "left_anti").select(*names)
+    untouched = possible(keyed, touched, key, within=False).select(*names)
+    return untouched.unionByName(single).unionByName(copies)
