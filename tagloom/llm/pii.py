@@ -7,6 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.narrow import fresh
+from tagloom.llm.spans import bound, running_totals
+
 
 @dataclass(frozen=True)
 class Kind:
@@ -61,10 +64,30 @@ KINDS = (
         0.4,
         base=False,
     ),
+    # Credentials: their value must look random.
+    Kind(
+        "secret",
+        r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{8,}+""",
+        "(?i)password|passwd|secret|token|api_?key",
+        "key|auth|login|credential|password",
+        0.7,
+        base=False,
+    ),
+    Kind("access", r"AKIA[A-Z0-9]{12,}+", "AKIA", "aws|key|access", 0.8, base=False),
+    Kind(
+        "hex",
+        r"(?<![0-9a-zA-Z])[0-9a-f]{32,}+(?![0-9a-zA-Z])",
+        "[0-9a-f]{32}",
+        "key|token|secret|auth|password|credential",
+        0.4,
+        base=False,
+    ),
 )
 CONTEXT_SCORE, ACCEPTED = 0.35, 0.7
-#: Code points before and after a span in which context words are looked for.
+#: Code points before and after a span in which context words are looked for, as far as the next spans of its kind.
 BEFORE, AFTER = 40, 20
+#: Distinct characters that a credential's value must have.
+RANDOM = 8
 
 
 def _digits(found: Column) -> Column:
@@ -104,59 +127,48 @@ def _confirmed(kind: Kind, found: Column) -> Column:
         return F.length(_digits(found)).between(10, 15)
     if kind.name == "iban":
         return _mod97(found)
+    if kind.name in ("secret", "access", "hex"):
+        value = F.regexp_extract(found, "[A-Za-z0-9+/_.=-]+$", 0)
+        return value.rlike("[0-9]") & (F.size(F.array_distinct(F.split(value, ""))) >= RANDOM)
     return F.lit(True)
 
 
-_SPAN = "array<struct<start:int,rank:int,end:int,kind:string,score:double,found:string>>"
+_SPAN = "struct<start:int,rank:int,end:int,kind:string,score:double>"
 
 
-def _proposed(kind: Kind, rank: int, text: Column) -> Column:
-    """The matches of a kind as spans in code points.
+def _found(kind: Kind, rank: int, text: Column) -> Column:
+    """The confirmed matches of a kind as spans in code points, with their scores.
 
-    A split by the pattern yields what lies between the matches, so the lengths of both, added up
-    in turn, are the places of the matches.
+    A split by the pattern yields what lies between the matches. The running totals of both lengths are the
+    places of the matches, and the ends of what lies before and after a match are its context, so no span
+    looks at the text again.
     """
-    pieces = F.arrays_zip(
-        F.split(text, kind.pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("found"),
-    )
 
-    def step(state: Column, piece: Column) -> Column:
-        start = state["at"] + F.length(piece["gap"])
-        end = start + F.coalesce(F.length(piece["found"]), F.lit(0))
-        span = F.struct(
-            start.alias("start"),
+    def span(piece: Column) -> Column:
+        around = F.concat(F.right(piece["before"], F.lit(BEFORE)), F.lit(" "), F.left(piece["after"], F.lit(AFTER)))
+        near = F.lower(around).rlike(kind.context)
+        score = F.least(F.lit(kind.score) + F.when(near, F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0)), F.lit(1.0))
+        return F.struct(
+            (piece["end"] - F.length(piece["found"])).alias("start"),
             F.lit(rank).alias("rank"),
-            end.alias("end"),
+            piece["end"].alias("end"),
             F.lit(kind.name).alias("kind"),
-            F.lit(kind.score).alias("score"),
-            piece["found"].alias("found"),
+            score.alias("score"),
         )
-        spans = F.when(piece["found"].isNull(), state["spans"]).otherwise(F.concat(state["spans"], F.array(span)))
-        return F.struct(end.alias("at"), spans.alias("spans"))
-
-    none = F.array().cast(_SPAN)
-    walked = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda s: s["spans"])
-    hinted = F.contains(text, F.lit(kind.hint)) if len(kind.hint) == 1 else text.rlike(kind.hint)
-    return F.when(hinted, walked).otherwise(none)
 
+    def spans(found: Column) -> Column:
+        def placed(gaps: Column) -> Column:
+            before, after = (F.slice(gaps, F.lit(i), F.size(found)) for i in (1, 2))
+            ends = running_totals(F.zip_with(before, found, lambda g, f: F.length(g) + F.length(f)))
+            pieces = F.arrays_zip(found.alias("found"), before.alias("before"), after.alias("after"), ends.alias("end"))
+            return F.transform(F.filter(pieces, lambda p: _confirmed(kind, p["found"])), span)
 
-def _judged(kind: Kind, spans: Column, text: Column) -> Column:
-    """Spans that are confirmed and, with the context words around them, score enough."""
-
-    def scored(span: Column) -> Column:
-        first = F.greatest(span["start"] - BEFORE, F.lit(0))
-        around = F.concat(
-            F.substring(text, first + 1, span["start"] - first),
-            F.lit(" "),
-            F.substring(text, span["end"] + 1, F.lit(AFTER)),
-        )
-        near = F.lower(around).rlike(kind.context)
-        score = F.least(span["score"] + F.when(near, F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0)), F.lit(1.0))
-        return F.struct(span["start"], span["rank"], span["end"], span["kind"], score.alias("score"))
+        return bound(F.split(text, kind.pattern, -1), placed)
 
-    judged = F.transform(F.filter(spans, lambda s: _confirmed(kind, s["found"])), scored)
-    return judged if kind.base else F.filter(judged, lambda s: s["score"] >= ACCEPTED)
+    listed = bound(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), spans)
+    judged = listed if kind.base else F.filter(listed, lambda s: s["score"] >= ACCEPTED)
+    hinted = F.contains(text, F.lit(kind.hint)) if kind.hint.isalpha() or len(kind.hint) == 1 else text.rlike(kind.hint)
+    return F.when(hinted, judged).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def _listed(spans: Column) -> Column:
@@ -174,11 +186,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
     are empty and have none. A column of `docs` called found is replaced.
     """
     names = [c for c in docs.columns if c.lower() != "found"]
-    text = F.col("_text")
-    rows = docs.select(*names, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
-    rows = rows.select(*names, "_text", *[_proposed(k, i, text).alias(f"_{k.name}") for i, k in enumerate(KINDS)])
-    rows = rows.select(*names, *[_judged(k, F.col(f"_{k.name}"), text).alias(f"_{k.name}") for k in KINDS])
-    return rows.select(*names, F.array_sort(F.concat(*[f"_{k.name}" for k in KINDS])).alias("found"))
+    held = fresh(docs, "_text")
+    rows = docs.select(*names, F.coalesce(F.col("text").cast("string"), F.lit("")).alias(held))
+    spans = F.concat(*[_found(k, i, F.col(held)) for i, k in enumerate(KINDS)])
+    return rows.select(*names, F.array_sort(spans).alias("found"))
 
 
 def personal_data_digest(docs: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.narrow import fresh
 from tagloom.llm.scratch import Scratch
+from tagloom.llm.spans import bound, running_totals
 
 
 @dataclass(frozen=True)
@@ -57,50 +58,12 @@ COPIED_OWNERS = 3
 #: A value looks live with that many distinct characters, some digit, and no word of an example.
 LIVE_DISTINCT = 8
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]?|xxxx|test|12345678|abcdefgh"
-#: Parts in which a list is added up, and parts of each verdict in a join.
-BLOCK, SALTS = 64, 16
+#: Parts of each verdict in a join.
+SALTS = 16
 
 _SPAN = "struct<start:int,rank:int,end:int,kind:string,value:binary,live:boolean>"
 
 
-def _scan(values: Column) -> Column:
-    """Running totals of a short list."""
-    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out"))
-
-    def add(state: Column, x: Column) -> Column:
-        total = state["sum"] + x
-        return F.struct(total.alias("sum"), F.concat(state["out"], F.array(total)).alias("out"))
-
-    return F.aggregate(values, start, add, lambda s: s["out"])
-
-
-def _bound(value: Column, fn) -> Column:
-    """fn(value), with `value` computed once however often fn names it."""
-    return F.transform(F.array(value), fn)[0]
-
-
-def running_totals(values: Column) -> Column:
-    """Running totals of a list of ints: those of its blocks, each raised by the total of the blocks before it.
-
-    A list that grows by one element at a time is copied each time; in blocks of a fixed size the copies
-    stay small however long the list.
-    """
-
-    def blocks(v: Column) -> Column:
-        numbers = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / F.lit(BLOCK)).cast("int"))
-        return F.transform(numbers, lambda b: _scan(F.slice(v, b * BLOCK + 1, F.lit(BLOCK))))
-
-    def raised(parts: Column) -> Column:
-        sums = F.slice(F.transform(parts, lambda p: F.element_at(p, -1)), F.lit(1), F.size(parts) - 1)
-        before = F.concat(F.array(F.lit(0)), _scan(sums))
-        return F.flatten(F.zip_with(parts, before, lambda part, b: F.transform(part, lambda x: x + b)))
-
-    def total(v: Column) -> Column:
-        return F.when(F.size(v) > 0, _bound(blocks(v), raised)).otherwise(F.array().cast("array<int>"))
-
-    return _bound(values, total)
-
-
 def _looks_live(value: Column) -> Column:
     return (
         value.rlike("[0-9]")
@@ -135,7 +98,7 @@ def _proposed(kind: Kind, rank: int, text: Column) -> Column:
         return F.transform(F.filter(pieces, lambda p: F.length(p["value"]) >= kind.least), span)
 
     hinted = F.contains(text, F.lit(kind.hint)) if kind.hint else text.rlike(kind.pattern)
-    proposed = _bound(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), spans)
+    proposed = bound(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), spans)
     return F.when(hinted, proposed).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
