@@ -17,7 +17,7 @@ WINDOW = 5
 #: A host whose shrunk failure rate of any rule is above this is rejected.
 HOST_LIMIT = 0.5
 #: Documents' worth of evidence in the prior: bounds of what the spread of hosts suggests.
-LEAST_PRIOR, MOST_PRIOR = 1.0, 1000.0
+LEAST_PRIOR, MOST_PRIOR = 5.0, 1000.0
 
 
 def _repeated(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,8 +105,9 @@ def host_verdicts(judged: DataFrame, names: list[str], limit: float = HOST_LIMIT
     Rates are shrunk to the rate of all documents by a beta prior. Its strength is fitted by the method of
     moments of the beta-binomial distribution: the spread of the hosts' own rates around the mean p is
     p (1 - p) / n by chance alone in a host of n documents, and what is beyond that, over 1 - 1 / n, is how far
-    hosts really lie apart. Where hosts of one document are all there is, nothing can be told, and the prior is
-    strongest: few documents alone do not condemn a host.
+    hosts really lie apart. Hosts count by their documents, as small ones tell little. Where hosts of one
+    document are all there is, nothing can be told, and the prior is strongest; it never has less weight than
+    LEAST_PRIOR documents: few documents alone do not condemn a host.
     """
     hosts = judged.groupBy("host").agg(
         F.count("*").alias("n"), *[F.sum(F.col(r).cast("long")).alias(r) for r in names]
@@ -115,13 +116,14 @@ def host_verdicts(judged: DataFrame, names: list[str], limit: float = HOST_LIMIT
     # One row each, whatever the number of hosts.
     mean = hosts.agg(*[(F.sum(r) / F.sum("n")).alias(r) for r in names]).first()
     mean = {r: float(mean[r] or 0.0) for r in names}
-    spread = [F.avg(F.pow(F.col(r) / F.col("n") - F.lit(mean[r]), 2)).alias(r) for r in names]
-    spread = hosts.agg(*spread, F.avg(1 / F.col("n")).alias("_chance")).first()
-    chance = float(spread["_chance"] or 0.0)
+    spread = [F.sum(F.col("n") * F.pow(F.col(r) / F.col("n") - F.lit(mean[r]), 2)).alias(r) for r in names]
+    spread = hosts.agg(*spread, F.count(F.lit(1)).alias("_hosts"), F.sum("n").alias("_docs")).first()
+    docs = spread["_docs"] or 1
+    chance = spread["_hosts"] / docs
     rated = hosts
     for r in names:
         p = mean[r]
-        beyond = float(spread[r] or 0.0) - p * (1 - p) * chance
+        beyond = float(spread[r] or 0.0) / docs - p * (1 - p) * chance
         strength = MOST_PRIOR
         if beyond > 0 and chance < 1:
             strength = min(MOST_PRIOR, max(LEAST_PRIOR, p * (1 - p) * (1 - chance) / beyond - 1))

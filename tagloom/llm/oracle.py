@@ -67,11 +67,11 @@ WITH d AS (
   SELECT host, rule, count(*) AS n, sum(f::INT) AS f
   FROM (SELECT host, unnest([1, 2, 3, 4]) AS rule, unnest([f1, f2, f3, f4]) AS f FROM j) GROUP BY host, rule
 ), prior AS (
-  SELECT rule, sum(f) / sum(n) AS p, avg(pow(f / n - q, 2)) - any_value(q) * (1 - any_value(q)) * avg(1 / n) AS v,
-    avg(1 / n) AS c
+  SELECT rule, sum(f) / sum(n) AS p, sum(n * pow(f / n - q, 2)) / sum(n) - any_value(q) * (1 - any_value(q)) * count(*) / sum(n) AS v,
+    count(*) / sum(n) AS c
   FROM failed JOIN (SELECT rule, sum(f) / sum(n) AS q FROM failed GROUP BY rule) USING (rule) GROUP BY rule
 ), strength AS (
-  SELECT rule, p, CASE WHEN v > 0 AND c < 1 THEN least(1000, greatest(1, p * (1 - p) * (1 - c) / v - 1)) ELSE 1000 END AS s FROM prior
+  SELECT rule, p, CASE WHEN v > 0 AND c < 1 THEN least(1000, greatest(5, p * (1 - p) * (1 - c) / v - 1)) ELSE 1000 END AS s FROM prior
 ), verdict AS (
   SELECT host, max((f + p * s) / (n + s)) > 0.5 AS rejected FROM failed JOIN strength USING (rule) GROUP BY host
 )
