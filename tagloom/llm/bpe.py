@@ -11,6 +11,13 @@ import numpy as np
 from tagloom.llm import textcols as T
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
+#: Where letters, marks and spaces are the same in every edition of Unicode: fixed ranges, both ends included.
+SETTLED = (
+    (0x0000, 0x024F), (0x0391, 0x03A1), (0x03A3, 0x03C9), (0x0400, 0x045F), (0x2010, 0x2027), (0x20AC, 0x20AC),
+    (0x3041, 0x3094), (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3),
+)
+#: What the ids of special tokens begin with in a text.
+SPECIAL = b"<|"
 #: Pieces whose ids a task remembers; only speed and memory depend on it.
 REMEMBERED = 400_000
 
@@ -30,6 +37,14 @@ def _classes() -> np.ndarray:
     return table
 
 
+@cache
+def _settled() -> np.ndarray:
+    table = np.zeros(0x110000, dtype=bool)
+    for first, last in SETTLED:
+        table[first : last + 1] = True
+    return table
+
+
 def _piece_starts(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """First code points of the pieces of rows without an apostrophe.
 
@@ -49,16 +64,22 @@ def _piece_starts(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of a byte-level BPE vocabulary (a file of ranks) for slices of text."""
+    """Ids of a byte-level BPE vocabulary for slices of text.
+
+    `path` is its file of ranks; the tokenizer's own file lies beside it, as .json. Rows that may hold a special token, or
+    characters whose class depends on the edition of Unicode, are encoded by that tokenizer as they are.
+    """
 
     def __init__(self, path: str, pattern: str):
         import tiktoken
+        from tokenizers import Tokenizer
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         if max(ranks.values()) >= 1 << 16:
             raise ValueError("ids are kept in 16 bits")
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.tokenizer = Tokenizer.from_file(path.removesuffix(".tiktoken") + ".json")
         self.known: dict[int, np.ndarray] = {}
 
     def _plain(self, text: str) -> np.ndarray:
@@ -70,12 +91,19 @@ class Encoder:
         quoted = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(part.data == 0x27)])[part.offsets]) > 0)
         for r in quoted:  # contractions have rules of their own
             out[r] = self._plain(part.text(r))
+        marks = np.flatnonzero((part.data[:-1] == SPECIAL[0]) & (part.data[1:] == SPECIAL[1]))
+        special = np.searchsorted(part.offsets, marks, side="right") - 1
         text = part.data.tobytes().decode()
         points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
         if not len(points):
             return out
         chars = np.concatenate([[0], np.cumsum(T.code_point_starts(part.data))])
         offsets = chars[part.offsets]
+        unsettled = np.searchsorted(offsets, np.flatnonzero(~_settled()[points]), side="right") - 1
+        exact = np.union1d(special, unsettled)
+        for r in exact.tolist():
+            out[r] = np.asarray(self.tokenizer.encode(part.text(r), add_special_tokens=False).ids, dtype=np.uint16)
+        quoted = np.union1d(quoted, exact)
         starts = _piece_starts(points, offsets)
         ends = np.append(starts[1:], len(points))
         values = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)

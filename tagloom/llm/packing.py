@@ -21,6 +21,7 @@ SHARD_TOKENS = 1 << 20
 #: Beyond every id of the vocabulary.
 NO_TERM = 1 << 16
 K1, B = 1.2, 0.75
+#: The ranks of the vocabulary; the file of this name with .json is the tokenizer that the ids are those of.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 

@@ -119,3 +119,23 @@ def test_credentials_are_personal_data_where_they_look_random(spark):
     table = spark.createDataFrame(own, "doc_id long, text string, _text string, _email string, found string, _hex string")
     got = {r.doc_id: [s.kind for s in r.found] for r in personal_data(table).collect()}
     assert got == {1: ["secret", "hex"], 2: ["hex"], 3: [], 4: [], 5: ["access"]}
+
+
+def test_ids_are_those_of_the_tokenizer():
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from tagloom.llm.bpe import encoder
+    from tagloom.llm.textcols import slices
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mine = encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    rnd = random.Random(7)
+    points = [*range(32, 127), 10, 9, *range(0xC0, 0x180), *range(0x391, 0x3C9), 0x4E2D, 0x3042, 0x20AC, 0x2019]
+    texts = ["<|endoftext|>", "a<|endoftext|> b", "<| x", "", " ", "it's l'\u00e9t\u00e9", "x" * 5000, "  \n\n a"]
+    texts += ["".join(chr(rnd.choice(points)) for _ in range(rnd.randrange(30))) for _ in range(500)]
+    anything = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts += ["".join(rnd.choice([chr(rnd.choice(anything)), "a", " ", "1"]) for _ in range(12)) for _ in range(3000)]
+    got = [ids.tolist() for part in slices(pa.array(texts)) for ids in mine.rows(part)]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
