@@ -1,9 +1,9 @@
 """Exact components of similar sets from banded signatures.
 
 Buckets propose pairs, the full sets confirm them. A bucket never emits all its pairs:
-each member is compared with the least one. After that only members that are still in
-different components are compared, some challengers at a time, and only where the
-members that a set shares with any other one leave room for the similarity.
+each member is compared with the least one. After that only sets that are still in
+different components are compared, some challengers at a time, and only where they share
+one of their rarest members and its place in both leaves room for the similarity.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from tagloom.llm.components import components
 from tagloom.llm.narrow import possible, residues
 from tagloom.llm.scratch import Scratch
 
-#: Members of a bucket compared with all others in the first extra round; four times as many in each next one.
-CHALLENGERS = 64
+#: Holders of a rare member compared with all others in the first extra round; four times as many in each next one.
+CHALLENGERS = 256
 
 
 @dataclass(frozen=True)
@@ -58,38 +58,33 @@ def _pair(a: str, b: str) -> list:
     return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
 
 
-def _could_reach(percent: int, n, shared, other_n, other_shared):
-    """False only where no pair can reach the similarity: an intersection holds nothing that one side has alone."""
-    most = F.least(shared, other_shared)
-    return most * (100 + percent) >= (n + other_n) * percent
-
+def _prefixes(ids: DataFrame, sets: DataFrame, percent: int, reading: Reading) -> DataFrame:
+    """(key, id, n, place): the members of each set of which any similar set must share one.
 
-def _with_bounds(open_rows: DataFrame, sets: DataFrame, percent: int, reading: Reading) -> DataFrame:
-    """Adds n (size of the set) and shared (members that occur in another open set); drops rows that can link with none."""
-    ids = open_rows.select("id").distinct()
+    Members are ordered by the number of sets among `ids` that hold them, rarest first. Similar sets have
+    at least percent of n in common, so that the rarest common member is among the first n - ceil(percent of n) + 1
+    of both. Members that no other set holds count for the place and are left out. A set is ordered by
+    itself: no more rows than it has members meet in a window.
+    """
     own = sets.join(ids, "id", "left_semi")
-    alone = (
-        reading.each(own)
-        .groupBy("member")
-        .agg(F.count("*").alias("held"), F.min("id").alias("id"))
-        .where("held = 1")
-        .groupBy("id")
-        .agg(F.count("*").alias("alone"))
-    )
-    sizes = (
-        own.select("id", "n")
-        .join(alone, "id", "left")
-        .select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
-    )
-    rows = open_rows.join(sizes, "id")
-    least = rows.groupBy("key").agg(F.min("n").alias("least_n"))
-    return (
-        rows.join(least, "key")
-        .where(_could_reach(percent, F.col("n"), F.col("shared"), F.col("least_n"), F.col("shared")))
-        .drop("least_n")
+    each = reading.each(own)
+    held = each.groupBy("member").agg(F.count("*").alias("held")).where("held > 1")
+    of_set = Window.partitionBy("id")
+    rank = F.row_number().over(of_set.orderBy("held", "member"))
+    placed = each.join(held, "member").withColumns({"rank": rank, "shared": F.count("*").over(of_set)})
+    placed = placed.join(own.select("id", "n"), "id").withColumn("place", F.col("n") - F.col("shared") + F.col("rank"))
+    least = f"CAST(({percent} * n + 99) DIV 100 AS long)"
+    return placed.where(f"shared >= {least} AND place <= n - {least} + 1").select(
+        F.col("member").alias("key"), "id", "n", "place"
     )
 
 
+def _could_reach(percent: int, n, place, other_n, other_place):
+    """False only where sets whose rarest common member has these places cannot reach the similarity."""
+    most = F.lit(1) + F.least(n - place, other_n - other_place)
+    return most * (100 + percent) >= (n + other_n) * percent
+
+
 def similar_components(
     items: DataFrame,
     fetch: Callable[[DataFrame], DataFrame],
@@ -123,39 +118,41 @@ def similar_components(
     sets = scratch.keep(sets if "n" in sets.columns else sets.withColumn("n", F.size("members").cast("long")))
     links = scratch.keep(confirmed(pairs, sets, percent, reading))
     found = scratch.keep(components(links, scratch))
-    rows, few = members.select("key", "id"), CHALLENGERS
+    # What is left in buckets of several components is compared where the rarest members agree.
+    open_ids = scratch.keep(_still_open(members.select("key", "id"), found).select("id").distinct())
+    if open_ids.isEmpty():
+        return found, links
+    rows, few = scratch.keep(_prefixes(open_ids, sets, percent, reading)), CHALLENGERS
     while True:
         open_rows = scratch.keep(_still_open(rows, found))
         if open_rows.isEmpty():
             return found, links
-        # Rows that can link with nothing any more leave; what is left may then be settled.
-        bounded = scratch.keep(_with_bounds(open_rows, sets, percent, reading))
-        sizes = bounded.groupBy("key", "label").agg(F.count("*").alias("n"))
-        largest = sizes.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("largest"))
+        sizes = open_rows.groupBy("key", "label").agg(F.count("*").alias("rows"))
+        largest = sizes.groupBy("key").agg(F.max(F.struct("rows", "label"))["label"].alias("largest"))
         first = Window.partitionBy("key").orderBy("id")
         challengers = scratch.keep(
-            bounded.join(largest, "key")
+            open_rows.join(largest, "key")
             .where("label <> largest")
-            .withColumn("place", F.row_number().over(first))
-            .where(F.col("place") <= few)
+            .withColumn("nth", F.row_number().over(first))
+            .where(F.col("nth") <= few)
             .select(
                 "key",
                 F.col("id").alias("by"),
                 F.col("label").alias("own"),
                 F.col("n").alias("own_n"),
-                F.col("shared").alias("own_shared"),
+                F.col("place").alias("own_place"),
             )
         )
-        reach = _could_reach(percent, F.col("n"), F.col("shared"), F.col("own_n"), F.col("own_shared"))
+        reach = _could_reach(percent, F.col("n"), F.col("place"), F.col("own_n"), F.col("own_place"))
         pairs = scratch.keep(
-            bounded.join(challengers, "key").where((F.col("label") != F.col("own")) & reach).select(*_pair("id", "by")).distinct()
+            open_rows.join(challengers, "key").where((F.col("label") != F.col("own")) & reach).select(*_pair("id", "by")).distinct()
         )
         more = scratch.keep(confirmed(pairs, sets, percent, reading))
         if not more.isEmpty():
             links = scratch.keep(links.unionByName(more).distinct())
             found = _merged(found, more, scratch)
         done = challengers.select("key", F.col("by").alias("id"))
-        rows, few = scratch.keep(bounded.select("key", "id").join(done, ["key", "id"], "left_anti")), 4 * few
+        rows, few = scratch.keep(open_rows.drop("label").join(done, ["key", "id"], "left_anti")), 4 * few
 
 
 def _merged(found: DataFrame, more: DataFrame, scratch: Scratch) -> DataFrame:
@@ -173,8 +170,8 @@ def _merged(found: DataFrame, more: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _still_open(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, id, label) of the buckets that hold several components."""
+    """`rows` (key, id, ...) of the buckets that hold several components, and their label."""
     known = found.select(F.col("node").alias("id"), "component")
-    labelled = rows.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
+    labelled = rows.join(known, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
     split = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
     return labelled.join(split.select("key"), "key", "left_semi")
