@@ -150,10 +150,16 @@ def _line_texts(docs: DataFrame, least: int) -> DataFrame:
 def _common(pairs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = batch.column("x"), batch.column("y")
-            common = [
-                len(np.intersect1d(_set(x[i].as_py()), _set(y[i].as_py()), assume_unique=True)) for i in range(len(batch))
-            ]
+            sets: dict[int, np.ndarray] = {}
+
+            def own(end: str, text: str, i: int) -> np.ndarray:
+                """The set of a line, built once a batch."""
+                line = batch.column(end)[i].as_py()
+                if line not in sets:
+                    sets[line] = _set(batch.column(text)[i].as_py())
+                return sets[line]
+
+            common = [len(np.intersect1d(own("a", "x", i), own("b", "y", i), assume_unique=True)) for i in range(len(batch))]
             kept = ["a", "b", "n_a", "n_b"]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(common, pa.int64())], names=[*kept, "common"])
 

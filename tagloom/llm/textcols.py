@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; only memory and speed depend on it.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POLY = np.uint64(0xD6E8FEB86659FD93)
 _POLY_INVERSE = np.uint64(pow(int(_POLY), -1, 1 << 64))
