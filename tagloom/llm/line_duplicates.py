@@ -16,8 +16,8 @@ from tagloom.llm.lsh import Reading, similar_components
 from tagloom.llm.narrow import fresh, possible, residues
 from tagloom.llm.scratch import Scratch
 
-#: Characters of a shingle; unless told otherwise, shorter lines than LEAST characters are left alone.
-SHINGLE, LEAST = 8, 16
+#: Characters of a shingle; unless told otherwise, lines of LEAST characters or more take part: all that are not blank.
+SHINGLE, LEAST = 8, 1
 #: 14 bands of 4 values (28 permutations) miss a pair of similarity 0.8 in fewer than 1 of 1,000 cases.
 BANDS, ROWS, PERCENT = 14, 4, 80
 
@@ -224,7 +224,7 @@ def repeated_lines(docs: DataFrame, scratch: Scratch, least: int = LEAST) -> Dat
 def without_repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """The rows and columns of `docs`, and _removed and _left: lines taken out, words left.
 
-    Lines of `least` characters or more (16; 1 takes all) are similar where the Jaccard index of their sets of
+    Lines of `least` characters or more (1: all) are similar where the Jaccard index of their sets of
     8-character shingles is 0.8 or more; of each component of similar lines the first (least doc_id,
     then line number) stays, everywhere else they are taken out with their line break.
     Lines of under 8 characters are similar to exact copies only. Shorter lines than `least` and blank ones stay. n_chars, where there is such a column, follows the new text.

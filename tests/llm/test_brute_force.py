@@ -129,8 +129,9 @@ def test_passages_of_51_words_within_lines(spark):
 
 def test_similar_lines(spark, texts):
     lines = [(i, k, _lower(x.strip(" \t\n\v\f\r"))) for i, t in sorted(texts.items()) for k, x in enumerate(t.split("\n"))]
-    lines = [x for x in lines if len(x[2]) >= 16]
-    sets = {x: frozenset(x[j : j + 8] for j in range(len(x) - 7)) for _, _, x in lines}
+    lines = [x for x in lines if x[2]]
+    # Lines without a whole shingle are like their exact copies alone.
+    sets = {x: frozenset(x[j : j + 8] for j in range(len(x) - 7)) or frozenset([(x,)]) for _, _, x in lines}
     held = collections.defaultdict(list)
     parent = {x: x for x in sets}
 
