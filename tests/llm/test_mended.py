@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from tagloom.llm.hamming import nearest
 from tagloom.llm.host_rules import host_rules
 from tagloom.llm.main_text import TOKEN, main_text
@@ -139,3 +141,38 @@ def test_ids_are_those_of_the_tokenizer():
     texts += ["".join(rnd.choice([chr(rnd.choice(anything)), "a", " ", "1"]) for _ in range(12)) for _ in range(3000)]
     got = [ids.tolist() for part in slices(pa.array(texts)) for ids in mine.rows(part)]
     assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_unlike_members_of_crowded_buckets_meet_by_rare_members(spark, monkeypatch):
+    """Families around the limit of similarity, with few challengers a round, against all pairs."""
+    from tagloom.llm import lsh
+    from tagloom.llm.near_duplicates import near_duplicates
+
+    monkeypatch.setattr(lsh, "CHALLENGERS", 4)
+    rng = np.random.default_rng(5)
+    texts = []
+    for f in range(3):
+        base = [f"w{x}" for x in rng.integers(0, 400, 60)]
+        for _ in range(90):
+            own = list(base)
+            for place in rng.integers(0, 60, rng.integers(1, 8)):
+                own[place] = f"w{rng.integers(0, 40)}"
+            texts.append(" ".join(own))
+    sets = [frozenset(zip(t.split(), t.split()[1:])) for t in texts]
+    least = list(range(len(texts)))
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if 100 * len(x & sets[j]) >= 80 * len(x | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                least[b] = a
+    expected = {i: root(i) for i in range(len(texts))}
+    assert 3 < len(set(expected.values())) < len(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs, 2).collect()}
+    assert got == expected
