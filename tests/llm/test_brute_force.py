@@ -187,6 +187,41 @@ def test_pages(spark):
         assert got[i] == " ".join(html.unescape(article).split())
 
 
+def test_main_text_by_learnt_weights_alone(spark):
+    """Without the listed elements and class words, and on pages whose article mark is taken away."""
+    from tagloom.llm.main_text import extract, learnt
+
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    for weights in (learnt(table), learnt(table, starts=lambda feature: 0.0)):
+        assert all(w <= 0 for w in weights.features.values()) and weights.features[".ad"] < -1
+        for r in table.collect():
+            article = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
+            article = re.sub(r"</?b>", "", re.sub(r"</?(p|h1|br)\b[^>]*>", " ", article))
+            want = " ".join(html.unescape(article).split())
+            assert extract(r.html, weights) == want
+            assert extract(re.sub("</?article>", "", r.html), weights) == want
+
+
+def test_main_text_leaves_out_what_lies_inside(spark):
+    from tagloom.llm.main_text import extract, learnt
+
+    weights = learnt(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    body = "<h2>Head line</h2><p>First words of the text here.</p><ul><li>one item of it</li><li>two</li></ul><div><p>a plain part</p></div>"
+    body += "<p>See <a href=x>the linked words of a page</a> and more.</p>"
+    want = "Head line First words of the text here. one item of it two a plain part See the linked words of a page and more."
+    side = '<div class="sidebar"><h3>Other</h3><p>some words that are beside it all</p></div>'
+    said = '<section id="comments"><div class="comment"><p>Great text, thanks for all of it</p></div></section>'
+    half = body.index("<ul>")
+    for page in (
+        f"<body class='has-sidebar'><nav><a href=a>home</a></nav><article>{body}</article>{side}{said}<footer>foot</footer></body>",
+        f"<article>{side}{body[:half]}{side}<form><label>mail</label></form>{body[half:]}{said}<aside>beside</aside></article>",
+        f"<body><header><h1>Site</h1></header><div class='content'>{body}</div>{side}{said}<div class='cookie-notice'>we use them</div>",
+    ):
+        assert extract(page, weights) == want
+    deep = "".join(f"<div class=a{'b' * (i % 50)}{chr(97 + i % 26)}>w " for i in range(60_000))
+    assert extract(deep, weights).startswith("w w")
+
+
 def test_mixture_meets_its_weights(spark):
     from tagloom.llm.mixing import mixture
 
