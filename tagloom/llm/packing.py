@@ -275,8 +275,7 @@ def packing(docs: DataFrame, vocabulary: str = VOCABULARY, window: int = WINDOW)
 
     # A term that would not fill a good part of a shard leaves its documents among strangers.
     shared = seen >= max(2, SHARD_TOKENS / (4 * mean))
-    whole = n_tokens <= SHARD_TOKENS
-    placed = rows.withColumn("shard", F.lit(0).cast("long")) if whole else dealt(rows, idf, mean, shared, SHARD_TOKENS)
+    placed = dealt(rows, idf, mean, shared, SHARD_TOKENS)
     return (
         placed.groupBy("shard")
         .applyInPandas(
