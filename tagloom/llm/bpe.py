@@ -19,7 +19,7 @@ SETTLED = (
 #: What the ids of special tokens begin with in a text.
 SPECIAL = b"<|"
 #: Pieces whose ids a task remembers; only speed and memory depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 
 @cache
@@ -80,7 +80,23 @@ class Encoder:
             raise ValueError("ids are kept in 16 bits")
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.tokenizer = Tokenizer.from_file(path.removesuffix(".tiktoken") + ".json")
-        self.known: dict[int, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Nothing is remembered: hashes of pieces in order, where the ids of each lie in `ids`, and how many they are."""
+        self.hashes, self.ids = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint16)
+        self.at, self.sizes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def _remember(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Encodes the pieces, whose hashes are in order and new, and keeps their ids."""
+        found = [self.encoding.encode_ordinary(piece) for piece in pieces]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        ids = np.fromiter((i for own in found for i in own), dtype=np.uint16, count=int(sizes.sum()))
+        place = np.searchsorted(self.hashes, hashes)
+        self.at = np.insert(self.at, place, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.sizes = np.insert(self.sizes, place, sizes)
+        self.hashes = np.insert(self.hashes, place, hashes)
+        self.ids = np.concatenate([self.ids, ids])
 
     def _plain(self, text: str) -> np.ndarray:
         return np.asarray(self.encoding.encode_ordinary(text), dtype=np.uint16)
@@ -109,20 +125,18 @@ class Encoder:
         values = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         hashes = T.span_hashes(values ^ (values >> np.uint64(29)), starts, ends)
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        ids = []
-        for h, i in zip(distinct.tolist(), first.tolist()):
-            found = self.known.get(h)
-            if found is None:
-                found = self.known[h] = self._plain(text[starts[i] : ends[i]])
-            ids.append(found)
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.concatenate(ids)
-        at = np.concatenate([[0], np.cumsum(sizes)[:-1]])[which]
-        size = sizes[which]
+        if len(self.hashes) > REMEMBERED:
+            self._forget()
+        place = np.searchsorted(self.hashes, distinct)
+        new = np.ones(len(distinct), dtype=bool)
+        new[place < len(self.hashes)] = self.hashes[place[place < len(self.hashes)]] != distinct[place < len(self.hashes)]
+        if new.any():
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self._remember(distinct[new], [text[i:j] for i, j in spans])
+            place = np.searchsorted(self.hashes, distinct)
+        at, size = self.at[place][which], self.sizes[place][which]
         before = np.concatenate([[0], np.cumsum(size)])
-        every = flat[np.repeat(at - before[:-1], size) + np.arange(before[-1])]
+        every = self.ids[np.repeat(at - before[:-1], size) + np.arange(before[-1])]
         bounds = before[np.searchsorted(starts, offsets)]
         for r in np.setdiff1d(np.arange(len(part)), quoted):
             out[r] = every[bounds[r] : bounds[r + 1]]
