@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm import textcols as T
-from tagloom.llm.lsh import Reading, similar_components
+from tagloom.llm.lsh import PARITY_TYPE, Reading, parities, similar_components
 from tagloom.llm.narrow import fresh, possible, residues
 from tagloom.llm.scratch import Scratch
 
@@ -124,7 +124,8 @@ def line_sketches(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def _line_texts(docs: DataFrame, least: int) -> DataFrame:
-    """id, n, members: the lines that the column `wanted` (their h1) of each document names, as text, and their number of shingles."""
+    """id, n, members, bits: the lines that the column `wanted` (their h1) of each document names, as text, with the
+    number and the parities of their shingles."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,16 +136,20 @@ def _line_texts(docs: DataFrame, least: int) -> DataFrame:
                 asked = {(r, h) for r in range(len(part)) for h in wanted[part.first + r]}
                 chosen = {of[i]: i for i in range(len(of) - 1, -1, -1) if of[i] in asked}
                 lines = [found["text"][found["starts"][i] : found["ends"][i]] for i in chosen.values()]
+                sets = [_set(x) for x in lines]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([h for _, h in chosen], pa.int64()),
-                        pa.array([len(_set(x)) for x in lines], pa.int64()),
+                        pa.array([len(x) for x in sets], pa.int64()),
                         pa.array(lines, pa.string()),
+                        parities([T.mix64(x, 9) for x in sets]),
                     ],
-                    names=["id", "n", "members"],
+                    names=["id", "n", "members", "bits"],
                 )
 
-    return docs.select(F.col("text").cast("string"), "wanted").mapInArrow(texts, "id long, n long, members string")
+    return docs.select(F.col("text").cast("string"), "wanted").mapInArrow(
+        texts, f"id long, n long, members string, bits {PARITY_TYPE}"
+    )
 
 
 def _common(pairs: DataFrame) -> DataFrame:

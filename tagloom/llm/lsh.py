@@ -2,16 +2,20 @@
 
 Buckets propose pairs, the full sets confirm them. A bucket never emits all its pairs:
 each member is compared with the least one. After that only sets that are still in
-different components are compared, some challengers at a time, and only where they share
-one of their rarest members and its place in both leaves room for the similarity.
+different components are compared: within buckets of bounded size every pair that sizes and
+parities of the members leave possible, elsewhere some challengers at a time, and only where
+they share one of their rarest members and its place in both leaves room for the similarity.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.components import components
@@ -20,6 +24,27 @@ from tagloom.llm.scratch import Scratch
 
 #: Holders of a rare member compared with all others in the first extra round; four times as many in each next one.
 CHALLENGERS = 256
+#: Open buckets of at most so many sets are compared pair by pair, larger ones by the rarest members of their sets.
+CROWD = 1024
+#: Longs of the parities of a set: of so many classes of members times 64, whether it holds an odd number of each.
+PARITY = 16
+PARITY_TYPE = f"struct<{', '.join(f'w{i}: long' for i in range(PARITY))}>"
+
+
+def parities(hashes: list[np.ndarray]) -> pa.Array:
+    """The column `bits` (PARITY_TYPE) of sets of well mixed 64-bit hashes."""
+    words = np.zeros((len(hashes), PARITY), dtype=np.uint64)
+    for own, members in zip(words, hashes):
+        odd = np.bincount((members % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY).astype(np.uint8) & 1
+        own[:] = np.packbits(odd, bitorder="little").view("<u8")
+    columns = [pa.array(np.ascontiguousarray(words[:, i]).view(np.int64)) for i in range(PARITY)]
+    return pa.StructArray.from_arrays(columns, names=[f"w{i}" for i in range(PARITY)])
+
+
+def _parities_allow(percent: int, n, bits, other_n, other_bits) -> Column:
+    """False only for sets that cannot be similar: every parity that differs is a member that one of them lacks."""
+    differ = reduce(Column.__add__, [F.bit_count(bits[f"w{i}"].bitwiseXOR(other_bits[f"w{i}"])) for i in range(PARITY)])
+    return differ.cast("long") * (100 + percent) <= (n + other_n) * (100 - percent)
 
 
 @dataclass(frozen=True)
@@ -41,15 +66,19 @@ HASHES = Reading(
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, reading: Reading = HASHES) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union of their sets (id, n, members)."""
+    """Pairs (a, b) with 100 * intersection >= percent * union of their sets (id, n, members, perhaps bits)."""
+    known = [c for c in ("n", "bits") if c in sets.columns]
 
-    def of(column: str, name: str, by: str) -> DataFrame:
-        return sets.select(F.col("id").alias(by), F.col(column).alias(name))
+    def of(names: dict[str, str], by: str) -> DataFrame:
+        return sets.select(F.col("id").alias(by), *[F.col(c).alias(name) for c, name in names.items()])
 
-    # Sizes alone rule out most of what cannot be similar, before any set is moved.
-    sized = pairs.join(of("n", "n_a", "a"), "a").join(of("n", "n_b", "b"), "b")
+    # Sizes and parities alone rule out most of what cannot be similar, before any set is moved.
+    sized = pairs.join(of({c: f"{c}_a" for c in known}, "a"), "a").join(of({c: f"{c}_b" for c in known}, "b"), "b")
     sized = sized.where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (F.least("n_a", "n_b") > 0))
-    both = reading.common(sized.join(of("members", "x", "a"), "a").join(of("members", "y", "b"), "b"))
+    if "bits" in known:
+        sized = sized.where(_parities_allow(percent, F.col("n_a"), F.col("bits_a"), F.col("n_b"), F.col("bits_b")))
+    sized = sized.select("a", "b", "n_a", "n_b")
+    both = reading.common(sized.join(of({"members": "x"}, "a"), "a").join(of({"members": "y"}, "b"), "b"))
     union = F.col("n_a") + F.col("n_b") - F.col("common")
     return both.where(F.col("common") * 100 >= union * percent).select("a", "b")
 
@@ -59,7 +88,7 @@ def _pair(a: str, b: str) -> list:
 
 
 def _prefixes(ids: DataFrame, sets: DataFrame, percent: int, reading: Reading) -> DataFrame:
-    """(key, id, n, place): the members of each set of which any similar set must share one.
+    """(key, id, n, place, p1, p2): the members of each set of which any similar set must share one, and the two before each.
 
     Members are ordered by the number of sets among `ids` that hold them, rarest first. Similar sets have
     at least percent of n in common, so that the rarest common member is among the first n - ceil(percent of n) + 1
@@ -70,12 +99,14 @@ def _prefixes(ids: DataFrame, sets: DataFrame, percent: int, reading: Reading) -
     each = reading.each(own)
     held = each.groupBy("member").agg(F.count("*").alias("held")).where("held > 1")
     of_set = Window.partitionBy("id")
-    rank = F.row_number().over(of_set.orderBy("held", "member"))
-    placed = each.join(held, "member").withColumns({"rank": rank, "shared": F.count("*").over(of_set)})
+    in_order = of_set.orderBy("held", "member")
+    before = {f"p{i}": F.lag("member", i).over(in_order) for i in (1, 2)}
+    rank = F.row_number().over(in_order)
+    placed = each.join(held, "member").withColumns({"rank": rank, "shared": F.count("*").over(of_set), **before})
     placed = placed.join(own.select("id", "n"), "id").withColumn("place", F.col("n") - F.col("shared") + F.col("rank"))
     least = f"CAST(({percent} * n + 99) DIV 100 AS long)"
     return placed.where(f"shared >= {least} AND place <= n - {least} + 1").select(
-        F.col("member").alias("key"), "id", "n", "place"
+        F.col("member").alias("key"), "id", "n", "place", "p1", "p2"
     )
 
 
@@ -85,6 +116,32 @@ def _could_reach(percent: int, n, place, other_n, other_place):
     return most * (100 + percent) >= (n + other_n) * percent
 
 
+def _met_before() -> Column:
+    """True only where one of the two members before the shared one is shared as well: the pair has met there."""
+    same = [F.col(p) == F.col(f"own_{q}") for p in ("p1", "p2") for q in ("p1", "p2")]
+    return F.coalesce(reduce(Column.__or__, [F.coalesce(x, F.lit(False)) for x in same]), F.lit(False))
+
+
+def _within(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of sets of different labels in the buckets `opened` (key, id, label) that may be similar.
+
+    A pair is made in the first of its buckets alone.
+    """
+    own = opened.groupBy("id", "label").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    own = own.join(sets.select("id", "n", "bits"), "id").select("*", F.posexplode("keys").alias("nth", "key"))
+    own = own.select("key", "id", "label", "n", "bits", F.slice("keys", F.lit(1), F.col("nth")).alias("before"))
+    other = own.select("key", *[F.col(c).alias(f"own_{c}") for c in own.columns if c != "key"])
+    n, own_n = F.col("n"), F.col("own_n")
+    possible_pair = (
+        (F.col("id") > F.col("own_id"))
+        & (F.col("label") != F.col("own_label"))
+        & (F.least(n, own_n) * 100 >= F.greatest(n, own_n) * percent)
+        & _parities_allow(percent, n, F.col("bits"), own_n, F.col("own_bits"))
+        & ~F.arrays_overlap("before", "own_before")
+    )
+    return own.hint("merge").join(other, "key").where(possible_pair).select(F.col("id").alias("a"), F.col("own_id").alias("b"))
+
+
 def similar_components(
     items: DataFrame,
     fetch: Callable[[DataFrame], DataFrame],
@@ -96,7 +153,7 @@ def similar_components(
 
     items: id, bands (array of bucket keys), a stored table; an id may occur again with the same bands. fetch:
     (distinct ids) -> id, members (the full set as `reading` reads it) and, unless members are an array,
-    n (its size). Links are confirmed on the full sets; a component
+    n (its size); with bits (their `parities`) fewer sets are compared. Links are confirmed on the full sets; a component
     holds everything that the links of all buckets connect.
     """
     buckets = items.select("id", F.explode("bands").alias("key"))
@@ -118,8 +175,17 @@ def similar_components(
     sets = scratch.keep(sets if "n" in sets.columns else sets.withColumn("n", F.size("members").cast("long")))
     links = scratch.keep(confirmed(pairs, sets, percent, reading))
     found = scratch.keep(components(links, scratch))
-    # What is left in buckets of several components is compared where the rarest members agree.
-    open_ids = scratch.keep(_still_open(members.select("key", "id"), found).select("id").distinct())
+    # What is left in buckets of several components: in small ones pair by pair, else where the rarest members agree.
+    opened = _still_open(members.select("key", "id"), found)
+    if "bits" in sets.columns:
+        opened = scratch.keep(opened.withColumn("crowd", F.count("*").over(Window.partitionBy("key"))))
+        pairs = scratch.keep(_within(opened.where(F.col("crowd") <= CROWD), sets, percent))
+        more = scratch.keep(confirmed(pairs, sets, percent, reading))
+        if not more.isEmpty():
+            links = scratch.keep(links.unionByName(more).distinct())
+            found = _merged(found, more, scratch)
+        opened = _still_open(opened.where(F.col("crowd") > CROWD).select("key", "id"), found)
+    open_ids = scratch.keep(opened.select("id").distinct())
     if open_ids.isEmpty():
         return found, links
     rows, few = scratch.keep(_prefixes(open_ids, sets, percent, reading)), CHALLENGERS
@@ -141,11 +207,16 @@ def similar_components(
                 F.col("label").alias("own"),
                 F.col("n").alias("own_n"),
                 F.col("place").alias("own_place"),
+                F.col("p1").alias("own_p1"),
+                F.col("p2").alias("own_p2"),
             )
         )
         reach = _could_reach(percent, F.col("n"), F.col("place"), F.col("own_n"), F.col("own_place"))
         pairs = scratch.keep(
-            open_rows.join(challengers, "key").where((F.col("label") != F.col("own")) & reach).select(*_pair("id", "by")).distinct()
+            open_rows.join(challengers, "key")
+            .where((F.col("label") != F.col("own")) & reach & ~_met_before())
+            .select(*_pair("id", "by"))
+            .distinct()
         )
         more = scratch.keep(confirmed(pairs, sets, percent, reading))
         if not more.isEmpty():
