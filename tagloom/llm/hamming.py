@@ -78,13 +78,14 @@ def nearest(vectors: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Dat
     totals = distinct.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("rows")).first()
     parts = _segments(totals.n, words)
     split = [F.struct(F.lit(j).alias("segment"), _segment(*p).alias("value")) for j, p in enumerate(parts)]
-    index = scratch.keep(distinct.select("code", F.explode(F.array(*split)).alias("s")).select("code", "s.*"))
+    held = F.size("ids").cast("long").alias("held")
+    index = scratch.keep(distinct.select("code", held, F.explode(F.array(*split)).alias("s")).select("code", "held", "s.*"))
     wanted = rows.where(F.col("vec_id") % every == 0)
     # Rows with the query's own id lie at its own code; so many more are looked for.
     own = wanted.groupBy("code", "vec_id").agg(F.least(F.count(F.lit(1)), F.lit(top)).alias("own"))
     need = F.least(F.max("own") + top, F.lit(totals["rows"] or 0))
     open_codes = scratch.keep(own.groupBy(F.col("code").alias("query")).agg(need.alias("need")))
-    best = None
+    best, done = None, []
     for radius in range(max(w for _, _, w in parts) + 1):
         probes = None
         for j, (word, shift, width) in enumerate(parts):
@@ -93,34 +94,32 @@ def nearest(vectors: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Dat
             masks = [sum(1 << b for b in c) for c in combinations(range(width), radius)]
             own = open_codes.withColumn("code", F.col("query")).withColumn("value", _segment(word, shift, width))
             mask = F.explode(F.from_json(F.lit(str(masks)), "array<long>"))
-            own = own.select("query", F.lit(j).alias("segment"), "value", mask.alias("mask"))
-            own = own.select("query", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
+            own = own.select("query", "need", F.lit(j).alias("segment"), "value", mask.alias("mask"))
+            own = own.select("query", "need", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
             probes = own if probes is None else probes.unionByName(own)
         # Both sides grow with the table, so they are merged: nothing is gathered in the driver to be broadcast.
-        found = probes.join(index.hint("merge"), ["segment", "value"]).select("query", "code").distinct()
+        found = probes.join(index.hint("merge"), ["segment", "value"]).select("query", "need", "code", "held")
         found = found.withColumn("distance", _distance(words))
-        everything = found if best is None else best.unionByName(found).distinct()
-        # Codes in order of distance until they hold enough rows; all at the last distance stay.
-        nearest_first = Window.partitionBy("query").orderBy("distance", "code")
-        ranked = everything.withColumn("place", F.row_number().over(nearest_first))
-        # As open_codes is stored, so are the numbers wanted; every code holds a row at least.
-        wanted_rows = open_codes.select(F.col("query").alias("q"), "need")
-        cut = ranked.join(wanted_rows.hint("merge"), (F.col("query") == F.col("q")) & (F.col("place") == F.col("need")))
-        cut = cut.select("q", F.col("distance").alias("bound"))
-        kept = everything.join(cut, F.col("query") == F.col("q"), "left").where("bound IS NULL OR distance <= bound")
-        best = scratch.keep(kept.select("query", "code", "distance"))
+        # One shuffle by query; all that follows in a round is decided where the codes of a query lie together.
+        everything = (found if best is None else best.unionByName(found)).repartition("query").distinct()
+        of_query = Window.partitionBy("query")
+        ranked = everything.withColumn("place", F.row_number().over(of_query.orderBy("distance", "code")))
+        # Codes in order of distance until they hold enough rows, each of them one at least; all at the last distance stay.
+        bound = F.max(F.when(F.col("place") == F.col("need"), F.col("distance"))).over(of_query)
         covered = len(parts) * (radius + 1) - 1
-        sizes = distinct.select("code", F.size("ids").alias("n"))
-        reached = (
-            best.where(F.col("distance") <= covered).join(sizes.hint("merge"), "code").groupBy("query").agg(F.sum("n").alias("n"))
-        )
-        reached = reached.select(F.col("query").alias("q"), "n")
-        met = (F.col("query") == F.col("q")) & (F.col("n") >= F.col("need"))
-        open_codes = scratch.keep(open_codes.join(reached, met, "left_anti"))
+        seen = F.sum(F.when(F.col("distance") <= covered, F.col("held")).otherwise(F.lit(0).cast("long"))).over(of_query)
+        kept = ranked.withColumns({"bound": bound, "done": seen >= F.col("need")}).where("bound IS NULL OR distance <= bound")
+        kept = scratch.keep(kept.select("query", "need", "code", "held", "distance", "place", "done"))
+        done.append(kept.where("done").select("query", "code", "distance"))
+        still = kept.where("NOT done")
+        best = still.select("query", "need", "code", "held", "distance")
+        # Each query has met its own code at least, so that it has a first row.
+        open_codes = still.where("place = 1").select("query", "need")
         if open_codes.isEmpty():
             break
-    if best is None:
-        best = scratch.keep(open_codes.selectExpr("query", "query AS code", "0 AS distance"))
+    else:
+        done.append(best.select("query", "code", "distance"))
+    best = reduce(DataFrame.unionByName, done)
     pairs = best.join(distinct.hint("merge"), "code").select("query", "distance", F.explode("ids").alias("vec_id"))
     closest = Window.partitionBy("query").orderBy("distance", "vec_id")
     pairs = pairs.withColumn("place", F.row_number().over(closest)).where(F.col("place") <= 2 * top)
