@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import unicodedata
 from functools import cache
+from itertools import chain
 
 import numpy as np
 
@@ -89,9 +90,10 @@ class Encoder:
 
     def _remember(self, hashes: np.ndarray, pieces: list[str]) -> None:
         """Encodes the pieces, whose hashes are in order and new, and keeps their ids."""
-        found = [self.encoding.encode_ordinary(piece) for piece in pieces]
+        # They are pieces of the pattern already: none is split again.
+        found = [self.encoding._encode_single_piece(piece) for piece in pieces]
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        ids = np.fromiter((i for own in found for i in own), dtype=np.uint16, count=int(sizes.sum()))
+        ids = np.fromiter(chain.from_iterable(found), dtype=np.uint16, count=int(sizes.sum()))
         place = np.searchsorted(self.hashes, hashes)
         self.at = np.insert(self.at, place, len(self.ids) + np.cumsum(sizes) - sizes)
         self.sizes = np.insert(self.sizes, place, sizes)

@@ -56,8 +56,8 @@ def frequencies(rows: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << 16, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                seen[np.unique(np.frombuffer(ids.as_py(), dtype="<u2"))] += 1
+            for _, _, term, _, _ in _distinct([np.frombuffer(ids.as_py(), dtype="<u2") for ids in batch.column(0)]):
+                seen += np.bincount(term, minlength=1 << 16)
         terms = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(terms.astype(np.int64)), pa.array(seen[terms])], names=["term", "n"])
 
@@ -68,10 +68,24 @@ def frequencies(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def _bm25(ids: np.ndarray, idf: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct terms of a document and their BM25 weights."""
-    terms, times = np.unique(ids, return_counts=True)
-    return terms, idf[terms] * times * (K1 + 1) / (times + K1 * (1 - B + B * len(ids) / mean))
+def _distinct(lists: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(begin, end, term, document, times) of so many documents at a time that the arrays stay small.
+
+    Each distinct term of each document once, by document and term; documents are numbered from `begin`.
+    """
+    size = np.array([len(x) for x in lists], dtype=np.int64)
+    piece = (np.cumsum(size) - size) >> 18
+    for begin, end in zip(*(np.searchsorted(piece, np.unique(piece), side) for side in ("left", "right"))):
+        owner = np.repeat(np.arange(end - begin, dtype=np.uint32), size[begin:end])
+        both = np.sort(owner << np.uint32(16) | np.concatenate(lists[begin:end]))
+        first = np.flatnonzero(np.concatenate([np.ones(min(len(both), 1), dtype=bool), both[1:] != both[:-1]]))
+        times = np.diff(np.append(first, len(both)))
+        yield begin, end, (both[first] & np.uint32(0xFFFF)).astype(np.int64), (both[first] >> np.uint32(16)).astype(np.int64), times
+
+
+def _bm25(term: np.ndarray, times: np.ndarray, size: np.ndarray, idf: np.ndarray, mean: float) -> np.ndarray:
+    """The BM25 weights of terms that occur so many times in documents of such sizes."""
+    return idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * size / mean))
 
 
 def _keys(rows: pa.Array, idf: np.ndarray, mean: float, shared: np.ndarray) -> np.ndarray:
@@ -79,18 +93,10 @@ def _keys(rows: pa.Array, idf: np.ndarray, mean: float, shared: np.ndarray) -> n
     lists = [np.frombuffer(ids.as_py(), dtype="<u2") for ids in rows]
     size = np.array([len(x) for x in lists], dtype=np.int64)
     out = np.full((len(rows), 2), NO_TERM, dtype=np.int64)
-    # So many tokens at a time that the arrays stay small.
-    piece = (np.cumsum(size) - size) >> 18
-    for begin, end in zip(*(np.searchsorted(piece, np.unique(piece), side) for side in ("left", "right"))):
-        ids = np.concatenate(lists[begin:end])
-        owner = np.repeat(np.arange(end - begin, dtype=np.uint32), size[begin:end])
-        both = np.sort(owner << np.uint32(16) | ids)
-        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
-        times = np.diff(np.append(first, len(both)))
-        term, doc = (both[first] & np.uint32(0xFFFF)).astype(np.int64), (both[first] >> np.uint32(16)).astype(np.int64)
+    for begin, _, term, doc, times in _distinct(lists):
         own = shared[term]
         term, doc, times = term[own], doc[own], times[own]
-        weight = idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * size[begin + doc] / mean))
+        weight = _bm25(term, times, size[begin + doc], idf, mean)
         for column in range(2):
             starts = np.flatnonzero(np.diff(doc, prepend=-1))
             if not len(starts):
@@ -162,11 +168,10 @@ class Index:
     """BM25 index of one shard: postings by term, weights from corpus-wide frequencies."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
-        found = [_bm25(d, idf, mean) for d in docs]
-        owner = np.repeat(np.arange(len(docs)), [len(t) for t, _ in found])
-        term = np.concatenate([t for t, _ in found]).astype(np.int64)
-        weight = np.concatenate([w for _, w in found])
-        self.by_doc = np.concatenate([[0], np.cumsum([len(t) for t, _ in found])])
+        found = [(term, begin + doc, times) for begin, _, term, doc, times in _distinct(docs)]
+        term, owner, times = (np.concatenate(x) for x in zip(*found))
+        weight = _bm25(term, times, np.array([len(d) for d in docs])[owner], idf, mean)
+        self.by_doc = np.searchsorted(owner, np.arange(len(docs) + 1))
         self.term, self.size = term, len(docs)
         order = np.argsort(term, kind="stable")
         self.docs, self.weights = owner[order], weight[order]

@@ -83,3 +83,16 @@ def test_parities_never_rule_out_similar_sets(spark):
     got = {r.i: r.ok for r in table.select("i", lsh._parities_allow(80, table.n, table.x, table.m, table.y).alias("ok")).collect()}
     assert all(got[i] for i, similar in enumerate(want) if similar)
     assert sum(got.values()) < len(rows) - 5
+
+
+def test_distinct_terms_of_many_documents_at_once():
+    """As document by document, also across the pieces in which they are counted."""
+    from tagloom.llm.packing import _distinct
+
+    rng = np.random.default_rng(6)
+    docs = [rng.integers(0, 50_000, n).astype(np.uint16) for n in (1, 3, 300_000, 1, 7, 200_000, 90_000, 2)]
+    got = {}
+    for begin, end, term, doc, times in _distinct(docs):
+        got |= {begin + i: (term[doc == i].tolist(), times[doc == i].tolist()) for i in range(end - begin)}
+    assert got == {i: tuple(x.tolist() for x in np.unique(d, return_counts=True)) for i, d in enumerate(docs)}
+    assert list(_distinct([])) == []
