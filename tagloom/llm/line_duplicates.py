@@ -6,7 +6,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,71 +19,72 @@ from tagloom.llm.scratch import Scratch
 SHINGLE, LEAST = 8, 1
 #: 14 bands of 4 values (28 permutations) miss a pair of similarity 0.8 in fewer than 1 of 1,000 cases.
 BANDS, ROWS, PERCENT = 14, 4, 80
+#: The white space around a line that is not compared.
+BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def _lines(part: T.Slice, least: int) -> dict:
-    """Lines of a slice with `least` characters that are not blank: row, line (its number in the text), span in code points, digest.
+    """Lines of a slice with `least` characters that are not blank: row, line (its number in the text), digest, and their
+    code points one after the other, from `bounds` to `bounds`.
 
     A line is compared without the white space around it and with ASCII letters in lower case.
     """
-    text = T.lower_ascii(part.data).tobytes().decode()
-    points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-    chars = np.concatenate([[0], np.cumsum(T.code_point_starts(part.data))])
-    offsets = chars[part.offsets]
-    breaks = np.flatnonzero(points == 0x0A)
-    starts = np.union1d(offsets[:-1], breaks + 1)
-    starts = starts[starts < len(points)]
-    row = np.searchsorted(offsets, starts, side="right") - 1
-    ends = np.minimum(np.append(breaks, len(points))[np.searchsorted(breaks, starts)], offsets[row + 1])
-    # The number of a line is that of the breaks before it in its row.
-    line = np.searchsorted(breaks, starts) - np.searchsorted(breaks, offsets[row])
-    solid = (points != 0x20) & ((points < 0x09) | (points > 0x0D))
-    place = np.flatnonzero(solid)
-    first = np.searchsorted(place, starts)
-    last = np.searchsorted(place, ends)
-    some = last > first
-    starts, ends = place[first[some]], place[last[some] - 1] + 1
-    row, line = row[some], line[some]
-    long = ends - starts >= least
-    starts, ends, row, line = starts[long], ends[long], row[long], line[long]
-    wide = points.astype(np.uint64)
-    digests = [hashlib.blake2b(text[a:b].encode(), digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())]
-    digest = np.frombuffer(b"".join(digests), dtype="<u8").reshape(-1, 2)
+    row, line, sizes, contents = [], [], [], []
+    for r in range(len(part)):
+        for i, x in enumerate(part.text(r).split("\n")):
+            x = x.strip(BLANKS)
+            if x and len(x) >= least:
+                row.append(r)
+                line.append(i)
+                sizes.append(len(x))
+                contents.append(x.encode().lower())  # ASCII letters alone
+    digest = np.frombuffer(b"".join([hashlib.blake2b(x, digest_size=16).digest() for x in contents]), dtype="<u8").reshape(-1, 2)
     return {
-        "text": text,
-        "points": wide,
-        "row": row,
-        "line": line.astype(np.int32),
-        "starts": starts,
-        "ends": ends,
+        "points": np.frombuffer(b"".join(contents).decode().encode("utf-32-le"), dtype=np.uint32).astype(np.uint64),
+        "row": np.array(row, dtype=np.int64),
+        "line": np.array(line, dtype=np.int32),
+        "bounds": np.cumsum([0, *sizes]),
         "h1": digest[:, 0].copy(),
         "h2": digest[:, 1].copy(),
     }
 
 
+def _line(rows: list[str], line: int, h1: int) -> str | None:
+    """A line of a text split at its breaks as `_lines` cuts it; None unless its digest begins with `h1`."""
+    if line >= len(rows):
+        return None
+    content = rows[line].strip(BLANKS).encode().lower()  # ASCII letters alone
+    same = hashlib.blake2b(content, digest_size=16).digest()[:8] == h1.to_bytes(8, "little", signed=True)
+    return content.decode() if same else None
+
+
 def _windows(points: np.ndarray) -> np.ndarray:
     """One polynomial value for each run of SHINGLE (a power of two) code points, by doubling."""
     total, factor, width = points, 0x9E3779B97F4A7C15, 1
     while width < SHINGLE:
-        total = total[:-width] * np.uint64(factor) + total[width:]
-        factor, width = factor * factor % (1 << 64), 2 * width
+        front = total[:-width] * np.uint64(factor)
+        front += total[width:]
+        total, factor, width = front, factor * factor % (1 << 64), 2 * width
     return total
 
 
 def _set(line: str) -> np.ndarray:
     """The distinct shingles of a line as `_lines` cuts it."""
-    return np.unique(_windows(np.frombuffer(line.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)))
+    every = np.sort(_windows(np.frombuffer(line.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)))
+    return every[np.concatenate([np.ones(min(len(every), 1), dtype=bool), every[1:] != every[:-1]])]
 
 
-def _shingles(found: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the line, hash) of all character shingles, repeats included."""
-    points, size = found["points"], np.maximum(found["ends"] - found["starts"] - SHINGLE + 1, 0)
-    if not len(size):
+def _shingles(found: dict, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the line, hash) of all character shingles of the lines `wanted` (marked), repeats included."""
+    bounds = found["bounds"]
+    size = np.where(wanted, np.maximum(np.diff(bounds) - SHINGLE + 1, 0), 0)
+    if not size.any():
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    total = _windows(points)
-    before = np.concatenate([[0], np.cumsum(size)])
-    at = np.repeat(found["starts"] - before[:-1], size) + np.arange(before[-1])
-    return np.repeat(np.arange(len(size)), size), T.mix64(total[at], 9)
+    total = _windows(found["points"])
+    # From each line's first window to its last; what lies between belongs to two lines or to none that is wanted.
+    edges = np.stack([size, np.diff(np.minimum(bounds, len(total))) - size], axis=1)
+    inside = np.repeat(np.tile([True, False], len(size)), edges.ravel())
+    return np.repeat(np.arange(len(size)), size), T.mix64(total[inside], 9)
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -94,16 +94,21 @@ def _signed(values: np.ndarray) -> pa.Array:
 def line_sketches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, line, h1, h2 (digest of the content), bands: one row per line that takes part.
 
-    Lines without a whole shingle have no bands: they are like their exact copies alone.
+    Lines without a whole shingle have no bands: they are like their exact copies alone. Of equal lines of a batch the
+    first alone has them.
     """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            seen: set[int] = set()
             for part in T.slices(batch.column(1)):
                 found = _lines(part, least)
                 n = len(found["row"])
-                owner, hashes = _shingles(found)
-                some = found["ends"] - found["starts"] >= SHINGLE
+                some = np.diff(found["bounds"]) >= SHINGLE
+                for i, h in enumerate(found["h1"].tolist()):
+                    some[i] &= h not in seen
+                    seen.add(h)
+                owner, hashes = _shingles(found, some)
                 keys = T.band_keys(T.min_max_signatures(n, owner, hashes, BANDS * ROWS // 2), BANDS, ROWS)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -123,48 +128,51 @@ def line_sketches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     )
 
 
-def _line_texts(docs: DataFrame, least: int) -> DataFrame:
-    """id, n, members, bits: the lines that the column `wanted` (their h1) of each document names, as text, with the
+def _line_texts(docs: DataFrame) -> DataFrame:
+    """id, n, members, bits: the lines that the column `wanted` (line, h1) of each document names, as text, with the
     number and the parities of their shingles."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.column(1).to_pylist()
-            for part in T.slices(batch.column(0)):
-                found = _lines(part, least)
-                of = list(zip(found["row"].tolist(), found["h1"].view(np.int64).tolist()))
-                asked = {(r, h) for r in range(len(part)) for h in wanted[part.first + r]}
-                chosen = {of[i]: i for i in range(len(of) - 1, -1, -1) if of[i] in asked}
-                lines = [found["text"][found["starts"][i] : found["ends"][i]] for i in chosen.values()]
-                sets = [_set(x) for x in lines]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([h for _, h in chosen], pa.int64()),
-                        pa.array([len(x) for x in sets], pa.int64()),
-                        pa.array(lines, pa.string()),
-                        parities([T.mix64(x, 9) for x in sets]),
-                    ],
-                    names=["id", "n", "members", "bits"],
-                )
+            lines: dict[int, str] = {}
+            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows = (text or "").split("\n")
+                for w in wanted:
+                    if w["h1"] not in lines and (content := _line(rows, w["line"], w["h1"])) is not None:
+                        lines[w["h1"]] = content
+            sets = [_set(x) for x in lines.values()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(lines), pa.int64()),
+                    pa.array([len(x) for x in sets], pa.int64()),
+                    pa.array(list(lines.values()), pa.string()),
+                    parities([T.mix64(x, 9) for x in sets]),
+                ],
+                names=["id", "n", "members", "bits"],
+            )
 
     return docs.select(F.col("text").cast("string"), "wanted").mapInArrow(
         texts, f"id long, n long, members string, bits {PARITY_TYPE}"
     )
 
 
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """The size of the intersection of two sets."""
+    both = np.concatenate([x, y])
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 def _common(pairs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets: dict[int, np.ndarray] = {}
-
-            def own(end: str, text: str, i: int) -> np.ndarray:
-                """The set of a line, built once a batch."""
-                line = batch.column(end)[i].as_py()
-                if line not in sets:
-                    sets[line] = _set(batch.column(text)[i].as_py())
-                return sets[line]
-
-            common = [len(np.intersect1d(own("a", "x", i), own("b", "y", i), assume_unique=True)) for i in range(len(batch))]
+            sets: dict[int, np.ndarray] = {}  # the set of a line is built once a batch
+            ends = [batch.column(c).to_pylist() for c in ("a", "b")]
+            for end, text in zip(ends, ("x", "y")):
+                where = {line: i for i, line in enumerate(end) if line not in sets}
+                texts = batch.column(text).take(pa.array(where.values(), pa.int64())).to_pylist()
+                sets.update((line, _set(x)) for line, x in zip(where, texts))
+            common = [_shared(sets[a], sets[b]) for a, b in zip(*ends)]
             kept = ["a", "b", "n_a", "n_b"]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(common, pa.int64())], names=[*kept, "common"])
 
@@ -201,11 +209,12 @@ def repeated_lines(docs: DataFrame, scratch: Scratch, least: int = LEAST) -> Dat
     def fetch(ids: DataFrame) -> DataFrame:
         near = possible(firsts.select("first", "h1"), residues(ids, "id"), "h1").join(ids, F.col("h1") == F.col("id"), "left_semi")
         near = near.groupBy("h1").agg(F.min("first").alias("first"))
-        wanted = near.groupBy(F.col("first.doc_id").alias("doc")).agg(F.collect_list("h1").alias("wanted"))
+        line = F.struct(F.col("first.line").alias("line"), "h1")
+        wanted = near.groupBy(F.col("first.doc_id").alias("doc")).agg(F.collect_list(line).alias("wanted"))
         wanted = scratch.keep(wanted)
         texts = known.select(F.col("doc_id").cast("long").alias("doc"), "text")
         found = possible(texts, residues(wanted, "doc"), "doc").join(wanted, "doc")
-        return _line_texts(found, least).dropDuplicates(["id"])
+        return _line_texts(found).dropDuplicates(["id"])
 
     found, _ = similar_components(lines.select(F.col("h1").alias("id"), "bands"), fetch, PERCENT, scratch, TEXTS)
     linked = possible(firsts.where("copies = 1"), residues(found, "node"), "h1")
@@ -250,27 +259,22 @@ def without_repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     untouched = possible(keyed, gone, key, within=False).select(*names, F.lit(0).alias("_removed"), left.alias("_left"))
     touched = possible(keyed, gone, key).join(dropped, key, "left")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array(batch["text"], pa.large_string())
-            out, removed = list(batch["text"]), [0] * len(batch)
-            for part in T.slices(texts):
-                found = _lines(part, least)
-                content = {
-                    (r, i): h for r, i, h in zip(found["row"].tolist(), found["line"].tolist(), found["h1"].view(np.int64).tolist())
-                }
-                for r in range(len(part)):
-                    marked = batch[drop].iloc[part.first + r]
-                    if marked is None or not len(marked):
-                        continue
-                    out_of = {d["line"] for d in marked if content.get((r, d["line"])) == d["h1"]}
-                    rows = part.text(r).split("\n")
-                    out[part.first + r] = "\n".join(x for i, x in enumerate(rows) if i not in out_of)
-                    removed[part.first + r] = len(out_of)
-            yield batch.drop(columns=drop).assign(text=out, _removed=removed)
+            at = names.index("text")
+            out, removed = batch.column(at).to_pylist(), [0] * len(batch)
+            for i, marked in enumerate(batch.column(len(names)).to_pylist()):
+                if not marked or not out[i]:
+                    continue
+                rows = out[i].split("\n")
+                out_of = {d["line"] for d in marked if _line(rows, d["line"], d["h1"]) is not None}
+                out[i] = "\n".join(x for k, x in enumerate(rows) if k not in out_of)
+                removed[i] = len(out_of)
+            columns = [pa.array(out, batch.schema.field(at).type) if k == at else batch.column(k) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int32())], names=[*names, "_removed"])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + ", _removed int"
-    cut_rows = touched.select(*names, drop).mapInPandas(cut, schema).withColumn("_left", left)
+    cut_rows = touched.select(*names, drop).mapInArrow(cut, schema).withColumn("_left", left)
     both = untouched.unionByName(cut_rows)
     if "n_chars" in names:
         length = F.length("text").cast(dict(docs.dtypes)["n_chars"])

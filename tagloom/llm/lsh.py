@@ -9,7 +9,7 @@ they share one of their rarest members and its place in both leaves room for the
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -26,6 +26,8 @@ from tagloom.llm.scratch import Scratch
 CHALLENGERS = 256
 #: Open buckets of at most so many sets are compared pair by pair, larger ones by the rarest members of their sets.
 CROWD = 1024
+#: Items whose buckets one group brings together, about, and bucket keys that a task collects before it hands them on.
+GROUPED, HANDED = 1 << 14, 1 << 20
 #: Longs of the parities of a set: of so many classes of members times 64, whether it holds an odd number of each.
 PARITY = 16
 PARITY_TYPE = f"struct<{', '.join(f'w{i}: long' for i in range(PARITY))}>"
@@ -33,10 +35,13 @@ PARITY_TYPE = f"struct<{', '.join(f'w{i}: long' for i in range(PARITY))}>"
 
 def parities(hashes: list[np.ndarray]) -> pa.Array:
     """The column `bits` (PARITY_TYPE) of sets of well mixed 64-bit hashes."""
-    words = np.zeros((len(hashes), PARITY), dtype=np.uint64)
-    for own, members in zip(words, hashes):
-        odd = np.bincount((members % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY).astype(np.uint8) & 1
-        own[:] = np.packbits(odd, bitorder="little").view("<u8")
+    words, classes = np.zeros((len(hashes), PARITY), dtype=np.uint64), 64 * PARITY
+    for first in range(0, len(hashes), 256):  # so many at a time that the counts stay small
+        some = hashes[first : first + 256]
+        owner = np.repeat(np.arange(len(some)) * classes, [len(x) for x in some])
+        members = (np.concatenate(some) % np.uint64(classes)).astype(np.int64)
+        odd = (np.bincount(owner + members, minlength=len(some) * classes) & 1).astype(np.uint8)
+        words[first : first + 256] = np.packbits(odd, bitorder="little").view("<u8").reshape(-1, PARITY)
     columns = [pa.array(np.ascontiguousarray(words[:, i]).view(np.int64)) for i in range(PARITY)]
     return pa.StructArray.from_arrays(columns, names=[f"w{i}" for i in range(PARITY)])
 
@@ -142,6 +147,66 @@ def _within(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return own.hint("merge").join(other, "key").where(possible_pair).select(F.col("id").alias("a"), F.col("own_id").alias("b"))
 
 
+def _by_key(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each distinct key in order, its least and greatest id and its number of rows."""
+    order = np.argsort(key)
+    key, ids = key[order], ids[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), dtype=bool), key[1:] != key[:-1]]))
+    if not len(first):
+        return key, ids, ids, first
+    return key[first], np.minimum.reduceat(ids, first), np.maximum.reduceat(ids, first), np.diff(np.append(first, len(key)))
+
+
+def shared_buckets(items: DataFrame) -> DataFrame:
+    """(key, n, hub, other) of the buckets of several ids: their least and greatest id; n is over 2 where there may be more.
+
+    items: id, bands, a stored table. Most buckets hold one id, so that a row for each would be the bulk of all that is
+    shuffled: a task sorts the keys of many items and hands them on by ranges, a block of keys and one of ids a range.
+    However large a bucket, it adds three entries to a block at most.
+    """
+    ranges = max(1, -(-items.count() // GROUPED))
+
+    def blocks(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
+        key, low, high, n = _by_key(np.concatenate(keys), np.concatenate(ids))
+        times = np.where(low == high, 1, np.minimum(n, 3))
+        both = np.repeat(high, times)
+        both[np.cumsum(times) - times] = low
+        key = np.repeat(key, times)
+        place = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+        first = np.flatnonzero(np.diff(place, prepend=-1))
+        spans = list(zip(first.tolist(), np.append(first[1:], len(place)).tolist()))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(place[first], pa.int64()),
+                pa.array([key[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array([both[a:b].tobytes() for a, b in spans], pa.binary()),
+            ],
+            names=["place", "keys", "ids"],
+        )
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids, held = [], [], 0
+        for batch in batches:
+            size = batch.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            keys.append(batch.column(1).flatten().to_numpy().view(np.uint64))
+            ids.append(np.repeat(batch.column(0).to_numpy(), size))
+            held += len(keys[-1])
+            if held >= HANDED:
+                yield blocks(keys, ids)
+                keys, ids, held = [], [], 0
+        if held:
+            yield blocks(keys, ids)
+
+    def gather(blocks: pa.Table) -> pa.Table:
+        keys, ids = (np.frombuffer(b"".join(blocks.column(c).to_pylist()), dtype=t) for c, t in (("keys", "<u8"), ("ids", "<i8")))
+        key, low, high, n = _by_key(keys, ids)
+        several = low != high
+        return pa.table({"key": key[several].view(np.int64), "n": n[several].astype(np.int64), "hub": low[several], "other": high[several]})
+
+    dealt = items.select(F.col("id").cast("long"), "bands").where("id IS NOT NULL").mapInArrow(deal, "place long, keys binary, ids binary")
+    return dealt.groupBy("place").applyInArrow(gather, "key long, n long, hub long, other long")
+
+
 def similar_components(
     items: DataFrame,
     fetch: Callable[[DataFrame], DataFrame],
@@ -151,18 +216,13 @@ def similar_components(
 ) -> tuple[DataFrame, DataFrame]:
     """(node, component) of the items that are linked with others, and the confirmed links (a, b).
 
-    items: id, bands (array of bucket keys), a stored table; an id may occur again with the same bands. fetch:
+    items: id, bands (array of bucket keys), a stored table; an id may occur again with the same bands or none. fetch:
     (distinct ids) -> id, members (the full set as `reading` reads it) and, unless members are an array,
     n (its size); with bits (their `parities`) fewer sets are compared. Links are confirmed on the full sets; a component
     holds everything that the links of all buckets connect.
     """
     buckets = items.select("id", F.explode("bands").alias("key"))
-    # One row per bucket and task reaches the shuffle, however large the bucket.
-    shared = scratch.keep(
-        buckets.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("id").alias("hub"), F.max("id").alias("other"))
-        .where("hub <> other")
-    )
+    shared = scratch.keep(shared_buckets(items.select("id", "bands")))
     crowded = shared.where("n > 2").select("key", "hub")
     members = scratch.keep(
         possible(buckets, residues(crowded, "key"), "key").join(crowded, "key").where("id <> hub").distinct()
