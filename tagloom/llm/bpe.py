@@ -84,21 +84,52 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        """Nothing is remembered: hashes of pieces in order, where the ids of each lie in `ids`, and how many they are."""
-        self.hashes, self.ids = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint16)
-        self.at, self.sizes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        """Nothing is remembered: `table` holds hashes of pieces (0: free place), `at` and `sizes` where the ids of each lie in `ids`."""
+        self.known, self.used, self.ids = 0, 0, np.zeros(1 << 16, dtype=np.uint16)
+        self._empty(1 << 16)
+
+    def _empty(self, places: int) -> None:
+        self.table = np.zeros(places, dtype=np.uint64)
+        self.at, self.sizes = np.zeros(places, dtype=np.int64), np.zeros(places, dtype=np.int32)
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash in the table, or the free one where it would go."""
+        last = len(self.table) - 1
+        place = (hashes >> np.uint64(65 - len(self.table).bit_length())).astype(np.int64)
+        here = self.table[place]
+        left = np.flatnonzero((here != hashes) & (here != 0))
+        while len(left):
+            place[left] = (place[left] + 1) & last
+            here = self.table[place[left]]
+            left = left[(here != hashes[left]) & (here != 0)]
+        return place
+
+    def _put(self, hashes: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> None:
+        """Enters distinct hashes that the table does not hold; of several that want one place the last gets it first."""
+        while len(hashes):
+            place = self._places(hashes)
+            self.table[place] = hashes
+            own = self.table[place] == hashes
+            self.at[place[own]], self.sizes[place[own]] = at[own], sizes[own]
+            hashes, at, sizes = hashes[~own], at[~own], sizes[~own]
 
     def _remember(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        """Encodes the pieces, whose hashes are in order and new, and keeps their ids."""
+        """Encodes the pieces, whose hashes are distinct and new, and keeps their ids."""
         # They are pieces of the pattern already: none is split again.
-        found = [self.encoding._encode_single_piece(piece) for piece in pieces]
+        encode = self.encoding._core_bpe.encode_single_piece
+        found = [encode(piece.encode()) for piece in pieces]
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         ids = np.fromiter(chain.from_iterable(found), dtype=np.uint16, count=int(sizes.sum()))
-        place = np.searchsorted(self.hashes, hashes)
-        self.at = np.insert(self.at, place, len(self.ids) + np.cumsum(sizes) - sizes)
-        self.sizes = np.insert(self.sizes, place, sizes)
-        self.hashes = np.insert(self.hashes, place, hashes)
-        self.ids = np.concatenate([self.ids, ids])
+        if 2 * (self.known + len(hashes)) > len(self.table):
+            held = np.flatnonzero(self.table)
+            old = self.table[held], self.at[held], self.sizes[held]
+            self._empty(1 << (4 * (self.known + len(hashes)) - 1).bit_length())
+            self._put(*old)
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + len(ids), dtype=np.uint16)])
+        self._put(hashes, self.used + np.cumsum(sizes) - sizes, sizes)
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.known, self.used = self.known + len(hashes), self.used + len(ids)
 
     def _plain(self, text: str) -> np.ndarray:
         return np.asarray(self.encoding.encode_ordinary(text), dtype=np.uint16)
@@ -126,17 +157,17 @@ class Encoder:
         ends = np.append(starts[1:], len(points))
         values = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         hashes = T.span_hashes(values ^ (values >> np.uint64(29)), starts, ends)
-        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) > REMEMBERED:
+        hashes |= np.uint64(1)  # none is 0
+        if self.known > REMEMBERED:
             self._forget()
-        place = np.searchsorted(self.hashes, distinct)
-        new = np.ones(len(distinct), dtype=bool)
-        new[place < len(self.hashes)] = self.hashes[place[place < len(self.hashes)]] != distinct[place < len(self.hashes)]
-        if new.any():
-            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
-            self._remember(distinct[new], [text[i:j] for i, j in spans])
-            place = np.searchsorted(self.hashes, distinct)
-        at, size = self.at[place][which], self.sizes[place][which]
+        place = self._places(hashes)
+        new = np.flatnonzero(self.table[place] == 0)
+        if len(new):
+            distinct, first = np.unique(hashes[new], return_index=True)
+            spans = zip(starts[new[first]].tolist(), ends[new[first]].tolist())
+            self._remember(distinct, [text[i:j] for i, j in spans])
+            place = self._places(hashes)
+        at, size = self.at[place], self.sizes[place]
         before = np.concatenate([[0], np.cumsum(size)])
         every = self.ids[np.repeat(at - before[:-1], size) + np.arange(before[-1])]
         bounds = before[np.searchsorted(starts, offsets)]

@@ -176,11 +176,25 @@ class Index:
         order = np.argsort(term, kind="stable")
         self.docs, self.weights = owner[order], weight[order]
         self.bounds = np.searchsorted(term[order], np.arange((1 << 16) + 1))
+        self.held = len(docs)
+
+    def _thin(self, unused: np.ndarray, left: int) -> None:
+        """Takes the documents out of the postings that are used up: they are nobody's neighbours any more."""
+        kept = unused[self.docs]
+        self.bounds = np.concatenate([[0], np.cumsum(kept)])[self.bounds]
+        self.docs, self.weights, self.held = self.docs[kept], self.weights[kept], left
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents that share a term with the seed, best first; ties by place."""
+        left = int(np.count_nonzero(unused))
+        if 4 * left < 3 * self.held:
+            self._thin(unused, left)
         terms = self.term[self.by_doc[seed] : self.by_doc[seed + 1]]
-        spans = [slice(self.bounds[t], self.bounds[t + 1]) for t in terms]
+        low, high = self.bounds[terms], self.bounds[terms + 1]
+        some = high > low
+        if not some.any():
+            return np.zeros(0, dtype=np.int64)
+        spans = [slice(a, b) for a, b in zip(low[some].tolist(), high[some].tolist())]
         score = np.bincount(
             np.concatenate([self.docs[s] for s in spans]),
             weights=np.concatenate([self.weights[s] for s in spans]),
