@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import unicodedata
-from functools import cache
+from functools import cache, cached_property
 from itertools import chain
 
 import numpy as np
@@ -19,8 +19,8 @@ SETTLED = (
 )
 #: What the ids of special tokens begin with in a text.
 SPECIAL = b"<|"
-#: Pieces whose ids a task remembers; only speed and memory depend on it.
-REMEMBERED = 1_000_000
+#: Pieces whose ids a task remembers, and ids of all of them; only speed and memory depend on it.
+REMEMBERED, REMEMBERED_IDS = 1_000_000, 1 << 24
 
 
 @cache
@@ -73,16 +73,22 @@ class Encoder:
 
     def __init__(self, path: str, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         if max(ranks.values()) >= 1 << 16:
             raise ValueError("ids are kept in 16 bits")
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.tokenizer = Tokenizer.from_file(path.removesuffix(".tiktoken") + ".json")
+        self.file = path.removesuffix(".tiktoken") + ".json"
         self._forget()
 
+    @cached_property
+    def tokenizer(self):
+        """Read where a row asks for it: it takes more memory than the ranks."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.file)
+
     def _forget(self) -> None:
         """Nothing is remembered: `table` holds hashes of pieces (0: free place), `at` and `sizes` where the ids of each lie in `ids`."""
         self.known, self.used, self.ids = 0, 0, np.zeros(1 << 16, dtype=np.uint16)
@@ -90,7 +96,7 @@ class Encoder:
 
     def _empty(self, places: int) -> None:
         self.table = np.zeros(places, dtype=np.uint64)
-        self.at, self.sizes = np.zeros(places, dtype=np.int64), np.zeros(places, dtype=np.int32)
+        self.at, self.sizes = np.zeros(places, dtype=np.uint32), np.zeros(places, dtype=np.uint32)
 
     def _places(self, hashes: np.ndarray) -> np.ndarray:
         """The place of each hash in the table, or the free one where it would go."""
@@ -123,7 +129,7 @@ class Encoder:
         if 2 * (self.known + len(hashes)) > len(self.table):
             held = np.flatnonzero(self.table)
             old = self.table[held], self.at[held], self.sizes[held]
-            self._empty(1 << (4 * (self.known + len(hashes)) - 1).bit_length())
+            self._empty(1 << (2 * (self.known + len(hashes)) - 1).bit_length())
             self._put(*old)
         if self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + len(ids), dtype=np.uint16)])
@@ -158,7 +164,7 @@ class Encoder:
         values = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         hashes = T.span_hashes(values ^ (values >> np.uint64(29)), starts, ends)
         hashes |= np.uint64(1)  # none is 0
-        if self.known > REMEMBERED:
+        if self.known > REMEMBERED or self.used > REMEMBERED_IDS:
             self._forget()
         place = self._places(hashes)
         new = np.flatnonzero(self.table[place] == 0)
@@ -167,7 +173,7 @@ class Encoder:
             spans = zip(starts[new[first]].tolist(), ends[new[first]].tolist())
             self._remember(distinct, [text[i:j] for i, j in spans])
             place = self._places(hashes)
-        at, size = self.at[place], self.sizes[place]
+        at, size = self.at[place].astype(np.int64), self.sizes[place].astype(np.int64)
         before = np.concatenate([[0], np.cumsum(size)])
         every = self.ids[np.repeat(at - before[:-1], size) + np.arange(before[-1])]
         bounds = before[np.searchsorted(starts, offsets)]

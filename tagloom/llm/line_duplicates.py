@@ -124,7 +124,7 @@ def line_sketches(docs: DataFrame, least: int = LEAST) -> DataFrame:
                 )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        sketch, "doc_id long, line int, h1 long, h2 long, bands array<long>"
+        T.frugal(sketch), "doc_id long, line int, h1 long, h2 long, bands array<long>"
     )
 
 
@@ -152,7 +152,7 @@ def _line_texts(docs: DataFrame) -> DataFrame:
             )
 
     return docs.select(F.col("text").cast("string"), "wanted").mapInArrow(
-        texts, f"id long, n long, members string, bits {PARITY_TYPE}"
+        T.frugal(texts), f"id long, n long, members string, bits {PARITY_TYPE}"
     )
 
 
@@ -177,7 +177,7 @@ def _common(pairs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(common, pa.int64())], names=[*kept, "common"])
 
     schema = "a long, b long, n_a long, n_b long, common long"
-    return pairs.select("a", "b", "n_a", "n_b", "x", "y").mapInArrow(count, schema)
+    return pairs.select("a", "b", "n_a", "n_b", "x", "y").mapInArrow(T.frugal(count), schema)
 
 
 def _each(lines: DataFrame) -> DataFrame:
@@ -274,7 +274,7 @@ def without_repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int32())], names=[*names, "_removed"])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + ", _removed int"
-    cut_rows = touched.select(*names, drop).mapInArrow(cut, schema).withColumn("_left", left)
+    cut_rows = touched.select(*names, drop).mapInArrow(T.frugal(cut), schema).withColumn("_left", left)
     both = untouched.unionByName(cut_rows)
     if "n_chars" in names:
         length = F.length("text").cast(dict(docs.dtypes)["n_chars"])

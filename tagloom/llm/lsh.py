@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.llm import textcols as T
 from tagloom.llm.components import components
 from tagloom.llm.narrow import possible, residues
 from tagloom.llm.scratch import Scratch
@@ -28,6 +29,8 @@ CHALLENGERS = 256
 CROWD = 1024
 #: Items whose buckets one group brings together, about, and bucket keys that a task collects before it hands them on.
 GROUPED, HANDED = 1 << 14, 1 << 20
+#: Sorted keys made into blocks at once; only memory depends on it.
+SORTED = 1 << 16
 #: Longs of the parities of a set: of so many classes of members times 64, whether it holds an odd number of each.
 PARITY = 16
 PARITY_TYPE = f"struct<{', '.join(f'w{i}: long' for i in range(PARITY))}>"
@@ -147,10 +150,13 @@ def _within(opened: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return own.hint("merge").join(other, "key").where(possible_pair).select(F.col("id").alias("a"), F.col("own_id").alias("b"))
 
 
-def _by_key(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Each distinct key in order, its least and greatest id and its number of rows."""
+def _in_order(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(key)
-    key, ids = key[order], ids[order]
+    return key[order], ids[order]
+
+
+def _by_key(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each distinct key of a sorted column, its least and greatest id and its number of rows."""
     first = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), dtype=bool), key[1:] != key[:-1]]))
     if not len(first):
         return key, ids, ids, first
@@ -166,8 +172,8 @@ def shared_buckets(items: DataFrame) -> DataFrame:
     """
     ranges = max(1, -(-items.count() // GROUPED))
 
-    def blocks(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
-        key, low, high, n = _by_key(np.concatenate(keys), np.concatenate(ids))
+    def block(key: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        key, low, high, n = _by_key(key, ids)
         times = np.where(low == high, 1, np.minimum(n, 3))
         both = np.repeat(high, times)
         both[np.cumsum(times) - times] = low
@@ -184,6 +190,18 @@ def shared_buckets(items: DataFrame) -> DataFrame:
             names=["place", "keys", "ids"],
         )
 
+    def blocks(keys: list[np.ndarray], ids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Blocks of all that was collected; the lists are emptied, and no key lies in two pieces."""
+        key, own = np.concatenate(keys), np.concatenate(ids)
+        keys.clear()
+        ids.clear()
+        key, own = _in_order(key, own)
+        begin = 0
+        while begin < len(key):
+            end = int(np.searchsorted(key, key[min(begin + SORTED, len(key)) - 1], side="right"))
+            yield block(key[begin:end], own[begin:end])
+            begin = end
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ids, held = [], [], 0
         for batch in batches:
@@ -192,18 +210,18 @@ def shared_buckets(items: DataFrame) -> DataFrame:
             ids.append(np.repeat(batch.column(0).to_numpy(), size))
             held += len(keys[-1])
             if held >= HANDED:
-                yield blocks(keys, ids)
-                keys, ids, held = [], [], 0
+                yield from blocks(keys, ids)
+                held = 0
         if held:
-            yield blocks(keys, ids)
+            yield from blocks(keys, ids)
 
     def gather(blocks: pa.Table) -> pa.Table:
         keys, ids = (np.frombuffer(b"".join(blocks.column(c).to_pylist()), dtype=t) for c, t in (("keys", "<u8"), ("ids", "<i8")))
-        key, low, high, n = _by_key(keys, ids)
+        key, low, high, n = _by_key(*_in_order(keys, ids))
         several = low != high
         return pa.table({"key": key[several].view(np.int64), "n": n[several].astype(np.int64), "hub": low[several], "other": high[several]})
 
-    dealt = items.select(F.col("id").cast("long"), "bands").where("id IS NOT NULL").mapInArrow(deal, "place long, keys binary, ids binary")
+    dealt = items.select(F.col("id").cast("long"), "bands").where("id IS NOT NULL").mapInArrow(T.frugal(deal), "place long, keys binary, ids binary")
     return dealt.groupBy("place").applyInArrow(gather, "key long, n long, hub long, other long")
 
 

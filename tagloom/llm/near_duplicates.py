@@ -49,7 +49,7 @@ def sketches(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> D
                 )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        sketch, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
+        T.frugal(sketch), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
     )
 
 
@@ -68,7 +68,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
                 )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        sets, "id long, members array<long>"
+        T.frugal(sets), "id long, members array<long>"
     )
 
 

@@ -46,7 +46,7 @@ def tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 )
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        encode, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids binary"
+        T.frugal(encode), f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids binary"
     )
 
 
@@ -56,12 +56,12 @@ def frequencies(rows: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << 16, dtype=np.int64)
         for batch in batches:
-            for _, _, term, _, _ in _distinct([np.frombuffer(ids.as_py(), dtype="<u2") for ids in batch.column(0)]):
+            for _, _, term, _, _ in _distinct([np.frombuffer(ids.as_buffer(), dtype="<u2") for ids in batch.column(0)]):
                 seen += np.bincount(term, minlength=1 << 16)
         terms = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(terms.astype(np.int64)), pa.array(seen[terms])], names=["term", "n"])
 
-    found = rows.select("ids").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = rows.select("ids").mapInArrow(T.frugal(count), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(1 << 16, dtype=np.int64)
     for r in found:
         out[r.term] = r.n
@@ -90,7 +90,7 @@ def _bm25(term: np.ndarray, times: np.ndarray, size: np.ndarray, idf: np.ndarray
 
 def _keys(rows: pa.Array, idf: np.ndarray, mean: float, shared: np.ndarray) -> np.ndarray:
     """The two heaviest terms of each document among those of `shared`; NO_TERM where there are fewer."""
-    lists = [np.frombuffer(ids.as_py(), dtype="<u2") for ids in rows]
+    lists = [np.frombuffer(ids.as_buffer(), dtype="<u2") for ids in rows]
     size = np.array([len(x) for x in lists], dtype=np.int64)
     out = np.full((len(rows), 2), NO_TERM, dtype=np.int64)
     for begin, _, term, doc, times in _distinct(lists):
@@ -124,7 +124,7 @@ def dealt(rows: DataFrame, idf: np.ndarray, mean: float, shared: np.ndarray, sha
                 [batch.column(0), pa.array(found[:, 0]), pa.array(found[:, 1])], names=["n_tokens", "a", "b"]
             )
 
-    pairs = rows.select("n_tokens", "ids").mapInArrow(key, "n_tokens long, a long, b long")
+    pairs = rows.select("n_tokens", "ids").mapInArrow(T.frugal(key), "n_tokens long, a long, b long")
     pairs = Scratch(rows.sparkSession, "packing").keep(pairs.groupBy("a", "b").agg(F.sum("n_tokens").alias("n")))
     totals = {r.a: r.n for r in pairs.groupBy("a").agg(F.sum("n").alias("n")).collect()}
     base, parts = np.zeros(NO_TERM + 1, dtype=np.int64), np.ones(NO_TERM + 1, dtype=np.int64)
@@ -161,7 +161,7 @@ def dealt(rows: DataFrame, idf: np.ndarray, mean: float, shared: np.ndarray, sha
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(base[a] + low + some)], names=[*batch.schema.names, "shard"])
 
     schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
-    return rows.mapInArrow(deal, f"{schema}, shard long")
+    return rows.mapInArrow(T.frugal(deal), f"{schema}, shard long")
 
 
 class Index:

@@ -74,7 +74,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
                 )
 
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, " + ", ".join(f"{s} double" for s in STATISTICS)
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(measure, schema)
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(T.frugal(measure), schema)
 
 
 Rule = tuple[tuple[str, bool, float], ...]
