@@ -96,14 +96,15 @@ def _pair(a: str, b: str) -> list:
 
 
 def _prefixes(ids: DataFrame, sets: DataFrame, percent: int, reading: Reading) -> DataFrame:
-    """(key, id, n, place, p1, p2): the members of each set of which any similar set must share one, and the two before each.
+    """(key, id, label, n, place, p1, p2): the members of each set of `ids` (id, label) of which any similar set must share
+    one, and the two before each.
 
     Members are ordered by the number of sets among `ids` that hold them, rarest first. Similar sets have
     at least percent of n in common, so that the rarest common member is among the first n - ceil(percent of n) + 1
     of both. Members that no other set holds count for the place and are left out. A set is ordered by
     itself: no more rows than it has members meet in a window.
     """
-    own = sets.join(ids, "id", "left_semi")
+    own = sets.join(ids, "id")
     each = reading.each(own)
     held = each.groupBy("member").agg(F.count("*").alias("held")).where("held > 1")
     of_set = Window.partitionBy("id")
@@ -111,10 +112,10 @@ def _prefixes(ids: DataFrame, sets: DataFrame, percent: int, reading: Reading) -
     before = {f"p{i}": F.lag("member", i).over(in_order) for i in (1, 2)}
     rank = F.row_number().over(in_order)
     placed = each.join(held, "member").withColumns({"rank": rank, "shared": F.count("*").over(of_set), **before})
-    placed = placed.join(own.select("id", "n"), "id").withColumn("place", F.col("n") - F.col("shared") + F.col("rank"))
+    placed = placed.join(own.select("id", "n", "label"), "id").withColumn("place", F.col("n") - F.col("shared") + F.col("rank"))
     least = f"CAST(({percent} * n + 99) DIV 100 AS long)"
     return placed.where(f"shared >= {least} AND place <= n - {least} + 1").select(
-        F.col("member").alias("key"), "id", "n", "place", "p1", "p2"
+        F.col("member").alias("key"), "id", "label", "n", "place", "p1", "p2"
     )
 
 
@@ -254,7 +255,7 @@ def similar_components(
     links = scratch.keep(confirmed(pairs, sets, percent, reading))
     found = scratch.keep(components(links, scratch))
     # What is left in buckets of several components: in small ones pair by pair, else where the rarest members agree.
-    opened = _still_open(members.select("key", "id"), found)
+    opened = _still_open(scratch.keep(_labelled(members.select("key", "id"), found)))
     if "bits" in sets.columns:
         opened = scratch.keep(opened.withColumn("crowd", F.count("*").over(Window.partitionBy("key"))))
         pairs = scratch.keep(_within(opened.where(F.col("crowd") <= CROWD), sets, percent))
@@ -262,13 +263,13 @@ def similar_components(
         if not more.isEmpty():
             links = scratch.keep(links.unionByName(more).distinct())
             found = _merged(found, more, scratch)
-        opened = _still_open(opened.where(F.col("crowd") > CROWD).select("key", "id"), found)
-    open_ids = scratch.keep(opened.select("id").distinct())
+        opened = _still_open(scratch.keep(_labelled(opened.where(F.col("crowd") > CROWD).select("key", "id"), found)))
+    open_ids = scratch.keep(opened.select("id", "label").distinct())
     if open_ids.isEmpty():
         return found, links
     rows, few = scratch.keep(_prefixes(open_ids, sets, percent, reading)), CHALLENGERS
     while True:
-        open_rows = scratch.keep(_still_open(rows, found))
+        open_rows = scratch.keep(_still_open(rows))
         if open_rows.isEmpty():
             return found, links
         sizes = open_rows.groupBy("key", "label").agg(F.count("*").alias("rows"))
@@ -297,11 +298,13 @@ def similar_components(
             .distinct()
         )
         more = scratch.keep(confirmed(pairs, sets, percent, reading))
+        done = challengers.select("key", F.col("by").alias("id"))
+        rows, few = open_rows.join(done, ["key", "id"], "left_anti"), 4 * few
         if not more.isEmpty():
             links = scratch.keep(links.unionByName(more).distinct())
             found = _merged(found, more, scratch)
-        done = challengers.select("key", F.col("by").alias("id"))
-        rows, few = scratch.keep(open_rows.drop("label").join(done, ["key", "id"], "left_anti")), 4 * few
+            rows = _labelled(rows.drop("label"), found)
+        rows = scratch.keep(rows)
 
 
 def _merged(found: DataFrame, more: DataFrame, scratch: Scratch) -> DataFrame:
@@ -318,9 +321,13 @@ def _merged(found: DataFrame, more: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(moved.unionByName(single))
 
 
-def _still_open(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """`rows` (key, id, ...) of the buckets that hold several components, and their label."""
+def _labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """`rows` (id, ...) and their label: the component, or the id of an item that has none."""
     known = found.select(F.col("node").alias("id"), "component")
-    labelled = rows.join(known, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-    split = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-    return labelled.join(split.select("key"), "key", "left_semi")
+    return rows.join(known, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+
+
+def _still_open(rows: DataFrame) -> DataFrame:
+    """`rows` (key, id, label, ...), a stored table, of the buckets that hold several components."""
+    split = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+    return rows.join(split.select("key"), "key", "left_semi")
